@@ -96,7 +96,7 @@ def cluster_reach(
     return (
         by_cluster.groupBy("cluster", id_column)
         .agg(F.max("own").alias("own"), F.max("other").alias("other"))
-        .where("other and not own")
+        .where("other and not coalesce(own, false)")
         .groupBy("cluster")
         .agg(F.count("*").alias("reach"))
     )
