@@ -1,28 +1,33 @@
 """Materialising an intermediate result that several branches read."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
+    """The shared folder of the session for intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``. Only a local session without one gets a
     temporary folder.
     """
-    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = context.getCheckpointDir() or tempfile.mkdtemp(prefix="rulecast-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
+        configured = tempfile.mkdtemp(prefix="rulecast-")
+        spark.conf.set("spark.checkpoint.dir", configured)
     return configured
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder; survives the loss of executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared folder and read it from there.
+
+    The table survives the loss of executors, ends the lineage, lets every later reader prune
+    columns, and has a known size, by which Spark decides whether to broadcast it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/rulecast-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -30,46 +30,72 @@ CHANNELS = (
 )
 
 
-def _per_channel(rows: DataFrame, channels) -> DataFrame:
-    """One row per channel whose flag is 1."""
-    names = [F.when(F.col(c.flag) == 1, F.lit(c.name)) for c in channels]
-    active = F.filter(F.array(*names), lambda n: n.isNotNull())
-    return rows.withColumn("source", F.explode(active))
+def _best_per_channel(candidates: DataFrame, channels) -> DataFrame:
+    """Lowest priority per channel and device.
 
+    Priorities are reduced per device and flag first; channels, which share flags and rename
+    iPhones, are told apart on the few rows that remain.
+    """
+    flags = sorted({c.flag for c in channels})
+    reduced = candidates.groupBy("dvc_techname").agg(
+        *(F.min(F.when(F.col(f) == 1, F.col("uc1_priority"))).alias(f) for f in flags)
+    )
+
+    def entry(channel):
+        name = F.col("dvc_techname")
+        if channel.ios_name is not None:
+            name = F.regexp_replace(name, IOS_NAME, channel.ios_name)
+        return F.struct(
+            F.lit(channel.name).alias("source"),
+            name.alias("dvc_techname"),
+            F.col(channel.flag).alias("uc1_priority"),
+        )
+
+    entries = reduced.select(F.inline(F.array(*(entry(c) for c in channels))))
+    return best_rank(
+        entries.where(F.col("uc1_priority").isNotNull()),
+        ["source", "dvc_techname"],
+        "uc1_priority",
+    )
 
-def assign_devices(control: DataFrame, feedback: DataFrame, channels=CHANNELS) -> DataFrame:
+
+def _holders(offers: DataFrame, channels) -> DataFrame:
+    """The offers of each channel."""
+    entries = [
+        F.struct(F.lit(c.name).alias("source"), (F.col(c.flag) == 1).alias("active"))
+        for c in channels
+    ]
+    named = offers.select("offer", "uc1_priority", F.inline(F.array(*entries)))
+    return named.where("active").select("source", "offer", "uc1_priority").distinct()
+
+
+def assign_devices(
+    control: DataFrame, feedback: DataFrame, offers: DataFrame | None = None, channels=CHANNELS
+) -> DataFrame:
     """Device tokens per channel, offer and priority.
 
     Devices chosen by feedback replace an offer's control devices. In each channel a device keeps
-    its lowest priority number; all offers with that number get it.
+    its lowest priority number; all offers with that number get it. ``offers`` is the offer list
+    when it is at hand; otherwise it is taken from ``control``.
     """
-    offers = control.select("offer", "uc1_priority", *FLAGS).distinct()
+    terms = ["offer", "uc1_priority", *FLAGS]
+    listed = (control if offers is None else offers).select(*terms).distinct()
     decided = (
         feedback.groupBy("offer")
         .agg(F.count_if(F.col("dvc_techname").isNull()).alias("unnamed"))
         .where("unnamed = 0")
         .select("offer")
     )
-    by_price = control.select("offer", "uc1_priority", *FLAGS, "dvc_techname").join(
-        decided, "offer", "left_anti"
-    )
+    by_price = control.select(*terms, "dvc_techname").join(decided, "offer", "left_anti")
     chosen = feedback.where(F.col("dvc_techname").isNotNull())
-    by_feedback = salted_join(chosen, offers, ["offer"], F.col("dvc_techname"))
-    renamed = F.col("dvc_techname")
-    for channel in channels:
-        if channel.ios_name is not None:
-            alias = F.regexp_replace("dvc_techname", IOS_NAME, channel.ios_name)
-            renamed = F.when(F.col("source") == channel.name, alias).otherwise(renamed)
-    candidates = _per_channel(by_price.unionByName(by_feedback), channels)
-    best = best_rank(
-        candidates.select("source", renamed.alias("dvc_techname"), "uc1_priority"),
-        ["source", "dvc_techname"],
-        "uc1_priority",
+    by_feedback = salted_join(chosen, listed, ["offer"], F.col("dvc_techname"))
+    best = _best_per_channel(by_price.unionByName(by_feedback), channels)
+    won = salted_join(
+        best, _holders(listed, channels), ["source", "uc1_priority"], F.col("dvc_techname")
     )
-    holders = _per_channel(offers, channels).select("source", "offer", "uc1_priority").distinct()
-    won = salted_join(best, holders, ["source", "uc1_priority"], F.col("dvc_techname"))
+    token = clean_token(F.col("dvc_techname")).alias("dvc_techname")
     return (
-        won.select("source", "offer", "uc1_priority", clean_token(F.col("dvc_techname")).alias("dvc_techname"))
+        won.select("source", "offer", "uc1_priority", token)
         .where(F.char_length("dvc_techname") > SHORT_TOKEN)
         .distinct()
     )

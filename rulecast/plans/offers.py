@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rulecast.functions.dates import as_date, date_of_parts
 from rulecast.functions.numbers import as_number
@@ -14,6 +14,7 @@ PRICE_FACTOR = 40
 
 FLAGS = ["active_flg_kd", "active_flg_fb", "active_flg_pt"]
 THRESHOLDS = ["min_ctr", "min_landings", "min_submits", "min_s2l", "max_cps"]
+TERMS = ["offer", "uc1_priority", *FLAGS, *THRESHOLDS]
 PRICE_BITS = 18
 
 
@@ -51,28 +52,33 @@ def active_offers(control: DataFrame, run_date: dt.date | str) -> DataFrame:
     return control.where((F.col("start_date") <= day) & (day < F.col("end_date")) & configured)
 
 
-def control_devices(active: DataFrame, properties: DataFrame) -> DataFrame:
-    """Devices whose price lies in an offer's range, with the offer's terms."""
+def price_matches(active: DataFrame, properties: DataFrame) -> DataFrame:
+    """Offer terms and devices whose price lies in the offer's range.
+
+    A device with several prices in the range occurs several times.
+    """
     points = properties.select(
         "dvc_techname", (as_number(F.col("release_price")) * PRICE_FACTOR).alias("_price")
     ).distinct()
-    ranges = active.select(
-        "offer", "uc1_priority", *FLAGS, *THRESHOLDS, "target_rlp_min", "target_rlp_max"
-    ).distinct()
+    ranges = active.select(*TERMS, "target_rlp_min", "target_rlp_max").distinct()
     pairs = range_join(
         points, ranges, "_price", "target_rlp_min", "target_rlp_max", bits=PRICE_BITS
     )
-    terms = (
-        ("CTR>=", "min_ctr"), ("submits>=", "min_submits"), ("S2L>=", "min_s2l"), ("CPS<=", "max_cps"),
-    )
-    condition = F.concat_ws(" and ", *(F.concat(F.lit(sign), F.col(c)) for sign, c in terms))
-    return (
-        pairs.select("offer", "uc1_priority", *FLAGS, "dvc_techname", *THRESHOLDS)
-        .distinct()
-        .withColumn("feedback_cond", condition)
-    )
+    return pairs.select(*TERMS, "dvc_techname")
+
+
+def feedback_condition() -> Column:
+    """The thresholds as text, for people to read."""
+    signs = {"min_ctr": "CTR>=", "min_submits": "submits>=", "min_s2l": "S2L>=", "max_cps": "CPS<="}
+    return F.concat_ws(" and ", *(F.concat(F.lit(s), F.col(c)) for c, s in signs.items()))
+
+
+def control_devices(active: DataFrame, properties: DataFrame) -> DataFrame:
+    """Devices whose price lies in an offer's range, with the offer's terms."""
+    pairs = price_matches(active, properties).distinct()
+    return pairs.withColumn("feedback_cond", feedback_condition())
 
 
 def offer_list(control: DataFrame) -> DataFrame:
     """The offers that have a device, with their terms."""
-    return control.select("offer", "uc1_priority", *FLAGS, *THRESHOLDS, "feedback_cond").distinct()
+    return control.select(*TERMS).distinct().withColumn("feedback_cond", feedback_condition())

@@ -60,14 +60,10 @@ def success_gate(source: Column, terms: Column, use_s2l: bool = False) -> Column
     return passed | ((source == SUBMITS_ONLY_SOURCE) & enough)
 
 
-def device_outcomes(
-    totals: DataFrame,
-    activity: DataFrame,
-    offers: DataFrame,
-    evidence: Evidence = Evidence(),
-    use_s2l: bool = False,
+def offer_terms(
+    offers: DataFrame, activity: DataFrame, evidence: Evidence = Evidence()
 ) -> DataFrame:
-    """Per offer and device: is it a success, does it have enough landings.
+    """One row per offer launched long enough: all its terms, and whether enough devices convert.
 
     Terms of equally named offers travel together, so totals meet each offer once.
     """
@@ -75,16 +71,22 @@ def device_outcomes(
         as_number(F.col(c)).alias(c)
         for c in ("min_ctr", "min_submits", "min_s2l", "max_cps", "min_landings")
     ]
-    terms = (
+    launched = activity.where(F.col("launch_days") >= evidence.launch_days)
+    convincing = F.col("converting_devices") >= evidence.converting_devices
+    return (
         offers.select("offer", *numbers)
         .groupBy("offer")
         .agg(
             F.collect_set(F.struct("min_ctr", "min_submits", "min_s2l", "max_cps")).alias("terms"),
             F.min("min_landings").alias("min_landings"),
         )
-        .join(activity.where(F.col("launch_days") >= evidence.launch_days), "offer")
-        .withColumn("convincing", F.col("converting_devices") >= evidence.converting_devices)
+        .join(launched, "offer")
+        .select("offer", "terms", "min_landings", convincing.alias("convincing"))
     )
+
+
+def device_outcomes(totals: DataFrame, terms: DataFrame, use_s2l: bool = False) -> DataFrame:
+    """Per offer and device: is it a success, does it have enough landings."""
     judged = salted_join(totals, terms, ["offer"], F.col("dvc_techname"))
     passed = F.exists("terms", lambda t: success_gate(F.col("source"), t, use_s2l))
     enough_landings = F.sum("landings") >= F.max("min_landings")
@@ -107,34 +109,36 @@ def success_devices(outcomes: DataFrame) -> DataFrame:
     return outcomes.where("success").select("offer", "dvc_techname")
 
 
-def _choices(outcomes: DataFrame, evidence: Evidence) -> DataFrame:
-    """Per offer with a success: whether its landing devices replace its successes."""
+def offer_choices(outcomes: DataFrame, evidence: Evidence = Evidence()) -> DataFrame:
+    """Per offer with a success: has it few of them, and do landing devices replace them."""
     few = F.count_if(F.col("success") & F.col("dvc_techname").isNotNull()) < evidence.few_successes
     return (
         outcomes.groupBy("offer")
-        .agg(few.alias("few"), F.max("success").alias("any_success"), F.max("landing").alias("any_landing"))
+        .agg(
+            few.alias("few"),
+            F.max("success").alias("any_success"),
+            F.max("landing").alias("any_landing"),
+        )
         .where("any_success")
         .select("offer", "few", (F.col("few") & F.col("any_landing")).alias("by_landing"))
     )
 
 
-def landing_devices(outcomes: DataFrame, evidence: Evidence = Evidence()) -> DataFrame:
+def landing_devices(outcomes: DataFrame, choices: DataFrame) -> DataFrame:
     """Fallback by landings, for offers with some but few successes."""
-    few = _choices(outcomes, evidence).where("few")
+    few = choices.where("few").select("offer")
     rows = salted_join(outcomes.where("landing"), few, ["offer"], F.col("dvc_techname"))
     return rows.select("offer", "dvc_techname")
 
 
-def feedback_devices(
-    offers: DataFrame, outcomes: DataFrame, evidence: Evidence = Evidence()
-) -> DataFrame:
+def feedback_devices(offers: DataFrame, outcomes: DataFrame, choices: DataFrame) -> DataFrame:
     """Devices per listed offer: its landing fallback if it has one, else its successes.
 
     An offer with neither keeps one row without a device.
     """
     listed = offers.select("offer").distinct()
-    choices = _choices(outcomes, evidence).join(listed, "offer", "left_semi")
-    judged = salted_join(outcomes, choices, ["offer"], F.col("dvc_techname"))
+    chosen = choices.join(listed, "offer", "left_semi")
+    judged = salted_join(outcomes, chosen, ["offer"], F.col("dvc_techname"))
     picked = judged.where(F.when(F.col("by_landing"), F.col("landing")).otherwise(F.col("success")))
     none = listed.join(choices, "offer", "left_anti").withColumn(
         "dvc_techname", F.lit(None).cast("string")

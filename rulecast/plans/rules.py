@@ -9,13 +9,15 @@ from rulecast.functions.text import rule_text
 from rulecast.operators.aggregates import ordered_concat
 from rulecast.operators.lineage import materialize
 from rulecast.plans.assignment import CHANNELS, assign_devices
-from rulecast.plans.offers import active_offers, control_devices, offer_list
+from rulecast.plans.offers import active_offers, offer_list, price_matches
 from rulecast.plans.outcomes import (
     Evidence,
     device_outcomes,
     device_totals,
     feedback_devices,
     offer_activity,
+    offer_choices,
+    offer_terms,
 )
 
 # Brand names too general for a rule, in daily runs and in one-day runs.
@@ -44,20 +46,25 @@ def rule_tokens(
     history_start: dt.date | str | None = None,
     use_s2l: bool = False,
     channels=CHANNELS,
-    keep=lambda df: df,
+    materialized: bool = True,
 ) -> DataFrame:
     """From offer control, device properties and feedback history to tokens per channel and offer.
 
-    ``keep`` receives the intermediate results that several branches read.
+    ``materialized`` writes the results that several branches read to the shared checkpoint folder,
+    so that the history is read once for its totals and once, two columns wide, for launch days;
+    tables of offers then have a known size and are broadcast only if that is small.
     """
-    control = keep(control_devices(active_offers(offer_control, run_date), properties))
-    offers = offer_list(control)
+    keep = materialize if materialized else (lambda df: df)
+    control = keep(price_matches(active_offers(offer_control, run_date), properties))
+    offers = keep(offer_list(control))
     totals = keep(device_totals(feedback, history_start))
     if history_start is not None:
         feedback = feedback.where(F.col("sighted_date") >= F.lit(as_date(history_start)))
-    activity = offer_activity(feedback, totals)
-    outcomes = keep(device_outcomes(totals, activity, offers, evidence, use_s2l))
-    return assign_devices(control, feedback_devices(offers, outcomes, evidence), channels)
+    terms = keep(offer_terms(offers, offer_activity(feedback, totals), evidence))
+    outcomes = keep(device_outcomes(totals, terms, use_s2l))
+    choices = keep(offer_choices(outcomes, evidence))
+    chosen = feedback_devices(offers, outcomes, choices)
+    return assign_devices(control, chosen, offers, channels)
 
 
 def daily_rules(
@@ -66,17 +73,11 @@ def daily_rules(
     feedback: DataFrame,
     run_date: dt.date | str | None = None,
     exclusions=DAILY_EXCLUSIONS,
-    materialized: bool = False,
     **options,
 ) -> DataFrame:
-    """The rules of one day, with its partition columns.
-
-    ``materialized=True`` writes the totals of the feedback history and the few other results that
-    several branches read to the shared checkpoint folder, so the history is read once.
-    """
+    """The rules of one day, with its partition columns; options are those of ``rule_tokens``."""
     day = as_date(run_date) if run_date is not None else yesterday()
-    keep = materialize if materialized else (lambda df: df)
-    tokens = rule_tokens(offer_control, properties, feedback, day, keep=keep, **options)
+    tokens = rule_tokens(offer_control, properties, feedback, day, **options)
     rules = build_rules(tokens, exclusions)
     return rules.select(
         "*", *(F.lit(getattr(day, part)).alias(part) for part in ("year", "month", "day"))

@@ -12,6 +12,7 @@ from rulecast.functions.offers import (
 )
 from rulecast.functions.platform import fix_platform, platform_class
 from rulecast.functions.text import clean_token
+from rulecast.operators.lineage import materialize
 from rulecast.operators.nested import unnest
 from rulecast.plans import audience, catalog, clusters, feedback, offers, outcomes, rules
 from rulecast.plans.assignment import assign_devices
@@ -41,10 +42,11 @@ def _devices(spark, sf_dir):
 
 def _outcomes(spark, sf_dir):
     history = inputs.feedback(spark, sf_dir)
-    totals = outcomes.device_totals(history)
-    activity = outcomes.offer_activity(history, totals)
+    totals = materialize(outcomes.device_totals(history))
     listed = offers.offer_list(_devices(spark, sf_dir))
-    return listed, outcomes.device_outcomes(totals, activity, listed)
+    terms = materialize(outcomes.offer_terms(listed, outcomes.offer_activity(history, totals)))
+    judged = materialize(outcomes.device_outcomes(totals, terms))
+    return listed, judged, outcomes.offer_choices(judged)
 
 
 def _rule_inputs(spark, sf_dir):
@@ -81,7 +83,7 @@ def success_devices(spark, sf_dir):
 
 
 def landing_devices(spark, sf_dir):
-    return outcomes.landing_devices(_outcomes(spark, sf_dir)[1])
+    return outcomes.landing_devices(*_outcomes(spark, sf_dir)[1:])
 
 
 def feedback_devices(spark, sf_dir):
@@ -89,8 +91,7 @@ def feedback_devices(spark, sf_dir):
 
 
 def channel_devices(spark, sf_dir):
-    tokens = rules.rule_tokens(*_rule_inputs(spark, sf_dir), RUN_DATE)
-    return tokens
+    return rules.rule_tokens(*_rule_inputs(spark, sf_dir), RUN_DATE)
 
 
 def daily_rules(spark, sf_dir):
@@ -104,9 +105,9 @@ def rules_one_day(spark, sf_dir):
 def price_only_rules(spark, sf_dir):
     """Rules from price ranges alone: no offer has feedback yet."""
     control = _devices(spark, sf_dir)
-    listed = offers.offer_list(control).select("offer").distinct()
-    nothing = listed.withColumn("dvc_techname", F.lit(None).cast("string"))
-    return rules.build_rules(assign_devices(control, nothing))
+    listed_terms = offers.offer_list(control)
+    nothing = listed_terms.select("offer").distinct().withColumn("dvc_techname", F.lit(None).cast("string"))
+    return rules.build_rules(assign_devices(control, nothing, listed_terms))
 
 
 def tap_feedback(spark, sf_dir):
