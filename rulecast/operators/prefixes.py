@@ -1,11 +1,12 @@
 """``name LIKE concat(pattern, '%')`` for two tables, without a nested loop."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rulecast.operators.skew import salted_join
 
 WILDCARDS = r"[_%\\]"
 GRAM = 3
+WHOLE, PART = "=", "~"
 
 
 def best_prefix_rank(
@@ -13,60 +14,63 @@ def best_prefix_rank(
 ) -> DataFrame:
     """For each distinct name the lowest rank of the patterns it starts with, else NULL.
 
-    Patterns follow LIKE: ``_`` is any character, ``%`` any text, ``\\`` escapes. Those without
-    wildcards meet the name by equality with one of its prefixes. The others meet it through a
-    piece of up to three literal characters that must occur in the name, and are then checked by
-    LIKE. Patterns without any literal character only ask for a minimum length.
+    Patterns follow LIKE: ``_`` is any character, ``%`` any text, ``\\`` escapes. Both sides meet by
+    equality of an anchor. The anchor of a pattern without wildcards is the pattern, and a name has
+    all its prefixes as anchors. The anchor of any other pattern is a piece of up to three literal
+    characters, and a name has all its pieces of that size; these pairs are then checked by LIKE.
     """
     keys = names.select(F.col(name).alias("_name")).distinct()
-    best = patterns.groupBy(F.col(pattern).alias("_pattern")).agg(F.min(rank).alias("_rank"))
-    wild = F.col("_pattern").rlike(WILDCARDS)
-    found = _literal(keys, best.where(~wild)).unionByName(_wildcard(keys, best.where(wild)))
-    unmatched = keys.select("_name", F.lit(None).cast(best.schema["_rank"].dataType).alias("_rank"))
-    return (
-        found.unionByName(unmatched)
-        .groupBy(F.col("_name").alias(name))
-        .agg(F.min("_rank").alias(rank))
+    anchors = F.concat(_prefixes(F.col("_name")), _pieces(F.col("_name")))
+    spread = keys.select("_name", F.explode_outer(anchors).alias("_anchor"))
+    pairs = salted_join(
+        spread, _anchored(patterns, pattern, rank), ["_anchor"], F.col("_name"), "left"
     )
+    matches = F.like(F.col("_name"), F.concat(F.col("_like"), F.lit("%")))
+    hit = F.when(F.col("_like").isNull() | matches, F.col("_rank"))
+    return pairs.groupBy(F.col("_name").alias(name)).agg(F.min(hit).alias(rank))
 
 
-def _literal(keys: DataFrame, patterns: DataFrame) -> DataFrame:
-    length = F.length("_name")
-    prefixes = F.transform(F.sequence(F.lit(0), length), lambda n: F.left("_name", n))
-    spread = keys.where(F.col("_name").isNotNull()).select(
-        "_name", F.explode(prefixes).alias("_pattern")
-    )
-    return salted_join(spread, patterns, ["_pattern"], F.col("_name")).select("_name", "_rank")
+def _prefixes(name: Column) -> Column:
+    lengths = F.sequence(F.lit(0), F.length(name))
+    return F.transform(lengths, lambda n: F.concat(F.lit(WHOLE), F.left(name, n)))
+
+
+def _pieces(name: Column) -> Column:
+    def of_size(size):
+        starts = F.sequence(F.lit(1), F.length(name) - (size - 1))
+        pieces = F.transform(
+            starts, lambda i: F.concat(F.lit(PART), F.substring(name, i, F.lit(size)))
+        )
+        none = F.array().cast("array<string>")
+        return F.when(F.length(name) >= size, pieces).when(name.isNotNull(), none)
+
+    sizes = [of_size(size) for size in range(1, GRAM + 1)]
+    return F.array_distinct(F.concat(F.array(F.lit(PART)), *sizes))
 
 
-def _wildcard(keys: DataFrame, patterns: DataFrame) -> DataFrame:
+def _anchored(patterns: DataFrame, pattern: str, rank: str) -> DataFrame:
+    """Patterns with their anchor; ``_like`` is NULL where the anchor decides alone."""
     # A backslash before an ordinary character means that character.
-    text = F.regexp_replace("_pattern", r"\\(?![_%\\]|$)", "")
-    pieces = F.split(F.regexp_replace("_like", r"\\.?", "%"), "[_%]")
+    like = F.regexp_replace("_pattern", r"\\(?![_%\\]|$)", "")
+    literals = F.split(F.regexp_replace("_like", r"\\.?", "%"), "[_%]")
     longest = F.array_max(
-        F.transform(pieces, lambda p: F.struct(F.length(p).alias("n"), p.alias("piece")))
-    )["piece"]
-    shaped = patterns.select(text.alias("_like"), "_rank").withColumn(
-        "_gram", F.left(longest, F.lit(GRAM))
-    )
+        F.transform(literals, lambda p: F.struct(F.length(p).alias("n"), p.alias("text")))
+    )["text"]
     # Without a literal character only the number of ``_`` matters.
-    at_least = F.regexp_replace("_like", "%", "")
-    anchored = (
-        shaped.withColumn("_like", F.when(F.col("_gram") == "", at_least).otherwise(F.col("_like")))
-        .groupBy("_gram", "_like")
+    blank = F.regexp_replace("_like", "%", "")
+    wild = F.col("_pattern").rlike(WILDCARDS)
+    return (
+        patterns.where(F.col(pattern).isNotNull())
+        .select(F.col(pattern).alias("_pattern"), F.col(rank).alias("_rank"))
+        .withColumn("_like", F.when(wild, like))
+        .withColumn("_piece", F.left(longest, F.lit(GRAM)))
+        .select(
+            F.when(wild, F.concat(F.lit(PART), "_piece"))
+            .otherwise(F.concat(F.lit(WHOLE), "_pattern"))
+            .alias("_anchor"),
+            F.when(F.col("_piece") == "", blank).otherwise(F.col("_like")).alias("_like"),
+            "_rank",
+        )
+        .groupBy("_anchor", "_like")
         .agg(F.min("_rank").alias("_rank"))
     )
-
-    def grams(size):
-        starts = F.sequence(F.lit(1), F.length("_name") - (size - 1))
-        here = F.transform(starts, lambda i: F.substring(F.col("_name"), i, F.lit(size)))
-        none = F.array().cast("array<string>")
-        return F.when(F.length("_name") >= size, here).otherwise(none)
-
-    every = F.array_distinct(
-        F.concat(F.array(F.lit("")), *(grams(size) for size in range(1, GRAM + 1)))
-    )
-    spread = keys.where(F.col("_name").isNotNull()).select("_name", F.explode(every).alias("_gram"))
-    candidates = salted_join(spread, anchored, ["_gram"], F.col("_name"))
-    matches = F.like(F.col("_name"), F.concat(F.col("_like"), F.lit("%")))
-    return candidates.where(matches).select("_name", "_rank")

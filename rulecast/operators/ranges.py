@@ -30,39 +30,37 @@ def range_join(
         index = F.floor(value.cast("double") / F.lit(cell)) + F.lit(1 << (bits - 1))
         return F.greatest(F.lit(0), F.least(F.lit(top), index)).cast("bigint")
 
-    levels = F.sequence(F.lit(0), F.lit(bits))
-    blocks_of_point = F.transform(
-        levels, lambda k: F.struct(k.alias("_size"), _shift("_cell", k).alias("_block"))
-    )
+    sizes = F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("_size")
     spread = (
         points.where(F.col(point).isNotNull())
-        .withColumn("_cell", cell_of(F.col(point)))
-        .select(*points.columns, F.inline(blocks_of_point))
+        .select("*", cell_of(F.col(point)).alias("_cell"))
+        .select("*", sizes)
+        .select(*points.columns, "_size", F.expr("shiftright(_cell, _size)").alias("_block"))
     )
     covered = (
         ranges.where(F.col(low) <= F.col(high))
-        .withColumn("_first", cell_of(F.col(low)))
-        .withColumn("_last", cell_of(F.col(high)))
-        .select(*ranges.columns, F.inline(F.flatten(F.transform(levels, _blocks_of_range))))
+        .select("*", cell_of(F.col(low)).alias("_first"), cell_of(F.col(high)).alias("_last"))
+        .select("*", sizes)
+        # The blocks of this size that lie inside the range are numbered _start to _stop - 1.
+        .select(
+            "*",
+            F.expr("shiftright(_first + shiftleft(1L, _size) - 1, _size)").alias("_start"),
+            F.expr("shiftright(_last + 1, _size)").alias("_stop"),
+        )
+        .where("_start < _stop")
+        # Of these the split takes a left edge and a right edge that no larger block covers.
+        .select(
+            *ranges.columns,
+            "_size",
+            F.explode(
+                F.array(
+                    F.when(F.col("_start") % 2 == 1, F.col("_start")),
+                    F.when(F.col("_stop") % 2 == 1, F.col("_stop") - 1),
+                )
+            ).alias("_block"),
+        )
+        .where(F.col("_block").isNotNull())
     )
     pairs = salted_join(spread, covered, ["_size", "_block"], F.col(point))
     exact = F.col(point).between(F.col(low), F.col(high))
     return pairs.where(exact).drop("_size", "_block")
-
-
-def _shift(name, level):
-    return F.floor(F.col(name) / F.pow(F.lit(2.0), level)).cast("bigint")
-
-
-def _blocks_of_range(level):
-    """The blocks of one size in the range's split: a left edge, a right edge, both or none."""
-    width = F.pow(F.lit(2.0), level)
-    start = F.ceil(F.col("_first") / width).cast("bigint")
-    stop = F.floor((F.col("_last") + 1) / width).cast("bigint")
-
-    def block(number):
-        return F.struct(level.alias("_size"), number.alias("_block"))
-
-    left = F.when((start < stop) & (start % 2 == 1), block(start))
-    right = F.when((start < stop) & (stop % 2 == 1), block(stop - 1))
-    return F.filter(F.array(left, right), lambda b: b.isNotNull())

@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rulecast.operators.lineage import materialize
 from rulecast.operators.merging import exclude
 from rulecast.operators.skew import salted_join
 from rulecast.sources.readers import on_days
@@ -74,13 +75,15 @@ def cluster_reach(
     id_types: Sequence[str] = HARDWARE_IDS,
     id_column: str = "device_id",
     literal: bool = False,
+    materialized: bool = True,
 ) -> DataFrame:
     """Distinct ids per cluster on other carriers and not, by the same cluster, on the own one.
 
     ``patterns`` gives each cluster its regular expression, or with ``literal=True`` its tokens
     separated by ``|``. All clusters are counted in one pass: patterns see each distinct user agent
     once, and a single aggregation per cluster and id tells both sides apart. Clusters that reach
-    nobody have no row.
+    nobody have no row. ``materialized`` keeps the distinct (id, user agent) pairs as a table, so
+    that the dataset is read once.
     """
     carrier = F.col("carrier")
     own = carrier.isin(*own_carriers) & _within(own_window)
@@ -91,6 +94,8 @@ def cluster_reach(
         .groupBy(id_column, "user_agent")
         .agg(F.max(own).alias("own"), F.max(other).alias("other"))
     )
+    if materialized:
+        sightings = materialize(sightings)
     clusters = matched_clusters(sightings.select("user_agent").distinct(), patterns, literal)
     by_cluster = salted_join(sightings, clusters, ["user_agent"], F.col(id_column))
     return (

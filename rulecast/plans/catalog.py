@@ -70,12 +70,14 @@ def device_catalog(
             & F.col("partner_id").isin(*partners)
             & any_map_has_key("header.incoming_ids", "sightings_by_id_type", id_type)
         )
-        .select(
+        .groupBy(
             fix_platform(raw, agent).alias("platform"),
             platform_class(raw).alias("raw_class"),
             agent.alias("user_agent"),
         )
-        .distinct()
+        # Reading the count keeps this step; a bare DISTINCT would be merged into the one below.
+        .agg(F.count("*").alias("seen"))
+        .where("seen > 0")
     )
     name = catalog_name(F.col("platform"), F.col("raw_class"), F.col("user_agent"))
     return seen.select(name.alias("dvc_techname"), "platform").distinct()

@@ -15,7 +15,8 @@ PRICE_FACTOR = 40
 FLAGS = ["active_flg_kd", "active_flg_fb", "active_flg_pt"]
 THRESHOLDS = ["min_ctr", "min_landings", "min_submits", "min_s2l", "max_cps"]
 TERMS = ["offer", "uc1_priority", *FLAGS, *THRESHOLDS]
-PRICE_BITS = 18
+# Cells of one price unit: 2**13 of them span both open bounds.
+PRICE_BITS = 13
 
 
 def shape_offer_control(raw: DataFrame) -> DataFrame:
@@ -62,7 +63,13 @@ def price_matches(active: DataFrame, properties: DataFrame) -> DataFrame:
     ).distinct()
     ranges = active.select(*TERMS, "target_rlp_min", "target_rlp_max").distinct()
     pairs = range_join(
-        points, ranges, "_price", "target_rlp_min", "target_rlp_max", bits=PRICE_BITS
+        points,
+        ranges,
+        "_price",
+        "target_rlp_min",
+        "target_rlp_max",
+        cell=PRICE_FACTOR,
+        bits=PRICE_BITS,
     )
     return pairs.select(*TERMS, "dvc_techname")
 
