@@ -57,7 +57,8 @@ def _anchored(patterns: DataFrame, pattern: str, rank: str) -> DataFrame:
         F.transform(literals, lambda p: F.struct(F.length(p).alias("n"), p.alias("text")))
     )["text"]
     # Without a literal character only the number of ``_`` matters.
-    blank = F.regexp_replace("_like", "%", "")
+    blank = F.col("_like").rlike("^[_%]*$")
+    shape = F.when(blank, F.regexp_replace("_like", "%", "")).otherwise(F.col("_like"))
     wild = F.col("_pattern").rlike(WILDCARDS)
     return (
         patterns.where(F.col(pattern).isNotNull())
@@ -68,7 +69,7 @@ def _anchored(patterns: DataFrame, pattern: str, rank: str) -> DataFrame:
             F.when(wild, F.concat(F.lit(PART), "_piece"))
             .otherwise(F.concat(F.lit(WHOLE), "_pattern"))
             .alias("_anchor"),
-            F.when(F.col("_piece") == "", blank).otherwise(F.col("_like")).alias("_like"),
+            shape.alias("_like"),
             "_rank",
         )
         .groupBy("_anchor", "_like")
