@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rulecast.operators.skew import salted_join
+from rulecast.operators.skew import salted_join, spread_evenly
 
 WILDCARDS = r"[_%\\]"
 GRAM = 3
@@ -19,7 +19,7 @@ def best_prefix_rank(
     all its prefixes as anchors. The anchor of any other pattern is a piece of up to three literal
     characters, and a name has all its pieces of that size; these pairs are then checked by LIKE.
     """
-    keys = names.select(F.col(name).alias("_name")).distinct()
+    keys = spread_evenly(names.select(F.col(name).alias("_name")).distinct())
     anchors = F.concat(_prefixes(F.col("_name")), _pieces(F.col("_name")))
     spread = keys.select("_name", F.explode_outer(anchors).alias("_anchor"))
     pairs = salted_join(

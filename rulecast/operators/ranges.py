@@ -7,7 +7,7 @@ pair once, without a nested loop and without a bin width to tune. Bounds are re-
 
 from pyspark.sql import DataFrame, functions as F
 
-from rulecast.operators.skew import salted_join
+from rulecast.operators.skew import salted_join, spread_evenly
 
 
 def range_join(
@@ -32,7 +32,7 @@ def range_join(
 
     sizes = F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("_size")
     spread = (
-        points.where(F.col(point).isNotNull())
+        spread_evenly(points.where(F.col(point).isNotNull()))
         .select("*", cell_of(F.col(point)).alias("_cell"))
         .select("*", sizes)
         .select(*points.columns, "_size", F.expr("shiftright(_cell, _size)").alias("_block"))

@@ -1,4 +1,4 @@
-"""Join of a large side with a lookup, safe when one key holds much of the large side."""
+"""Spreading rows: lookups that survive a hot key, and steps that multiply rows."""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,3 +25,13 @@ def salted_join(
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def spread_evenly(df: DataFrame) -> DataFrame:
+    """Partition by all columns, over as many partitions as the session shuffles into.
+
+    For distinct rows that a next step multiplies. Adaptive execution sizes tasks by their input and
+    would give a small table to one task; a stated number of partitions is left as it is.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, F.xxhash64(*df.columns))
