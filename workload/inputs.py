@@ -114,7 +114,7 @@ select 'offer-' || cast(case when s.s_suppkey % 40 = 39 then s.s_suppkey - 1 els
        cast(case when s.s_suppkey % 19 = 18 then null else 3500 + (s.s_suppkey % 40) * 500 end as int) as target_rlp_max,
        case when s.s_suppkey % 23 = 22 then 'n/a' else '0.005' end as min_ctr,
        cast(1 + s.s_suppkey % 9 as string) as min_landings,
-       case when s.s_suppkey % 6 = 5 then '5' else cast(1 + s.s_suppkey % 4 as string) end as min_submits,
+       case when s.s_suppkey % 6 = 4 then '5' else cast(1 + s.s_suppkey % 4 as string) end as min_submits,
        '0.05' as min_s2l,
        case when s.s_suppkey % 3 = 0 then '0.2' else '30' end as max_cps
 from {supplier} s"""
