@@ -34,11 +34,6 @@ def override(base: DataFrame, replacement: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(taken.select(*base.columns))
 
 
-def keep_all(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join that keeps keys without a partner as one row of NULLs."""
-    return left.join(right, key, "left")
-
-
 def exclude(rows: DataFrame, others: DataFrame, key: str) -> DataFrame:
     """Rows whose key is absent from ``others``; a NULL key is kept."""
     return rows.join(others.select(key).distinct(), key, "left_anti")

@@ -61,6 +61,7 @@ def range_join(
         )
         .where(F.col("_block").isNotNull())
     )
-    pairs = salted_join(spread, covered, ["_size", "_block"], F.col(point))
+    # Salted by the whole point row: one value may be shared by many points.
+    pairs = salted_join(spread, covered, ["_size", "_block"], F.xxhash64(*points.columns))
     exact = F.col(point).between(F.col(low), F.col(high))
     return pairs.where(exact).drop("_size", "_block")

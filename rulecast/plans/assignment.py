@@ -86,7 +86,13 @@ def assign_devices(
         .where("unnamed = 0")
         .select("offer")
     )
-    by_price = control.select(*terms, "dvc_techname").join(decided, "offer", "left_anti")
+    by_price = salted_join(
+        control.select(*terms, "dvc_techname"),
+        decided,
+        ["offer"],
+        F.col("dvc_techname"),
+        "left_anti",
+    )
     chosen = feedback.where(F.col("dvc_techname").isNotNull())
     by_feedback = salted_join(chosen, listed, ["offer"], F.col("dvc_techname"))
     best = _best_per_channel(by_price.unionByName(by_feedback), channels)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rulecast.operators.lineage import materialize
 from rulecast.operators.merging import exclude
-from rulecast.operators.skew import salted_join
+from rulecast.operators.skew import salted_join, spread_evenly
 from rulecast.sources.readers import on_days
 
 # Id types that name a phone.
@@ -48,13 +48,18 @@ def audience_not_recent(
 
 
 def matched_clusters(agents: DataFrame, patterns: Mapping[str, str], literal: bool) -> DataFrame:
-    """One row per user agent and cluster whose pattern it contains."""
+    """One row per user agent and cluster whose pattern it contains.
+
+    Patterns with hundreds of alternatives are the costly step, so user agents, however few bytes
+    they are, go to all partitions.
+    """
     matches = [
         F.when(F.rlike("user_agent", F.lit(_pattern(p, literal))), F.lit(cluster))
         for cluster, p in patterns.items()
     ]
     hits = F.filter(F.array(*matches), lambda c: c.isNotNull())
-    return agents.select("user_agent", F.explode(hits).alias("cluster"))
+    distinct = spread_evenly(agents.select("user_agent").distinct())
+    return distinct.select("user_agent", F.explode(hits).alias("cluster"))
 
 
 def _pattern(pattern: str, literal: bool) -> str:
@@ -96,7 +101,7 @@ def cluster_reach(
     )
     if materialized:
         sightings = materialize(sightings)
-    clusters = matched_clusters(sightings.select("user_agent").distinct(), patterns, literal)
+    clusters = matched_clusters(sightings, patterns, literal)
     by_cluster = salted_join(sightings, clusters, ["user_agent"], F.col(id_column))
     return (
         by_cluster.groupBy("cluster", id_column)

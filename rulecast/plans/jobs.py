@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from rulecast.functions.dates import as_date, yesterday
+from rulecast.operators.lineage import scratch_tables
 from rulecast.plans import catalog, clusters, feedback, offers, rules
 from rulecast.sources.readers import on_days, read_device_clusters, read_offer_control
 from rulecast.sources.schemas import FEEDBACK, RULES
@@ -83,10 +84,9 @@ def run_daily_rules(
 ) -> None:
     """The day's rules into their partition."""
     day = _day(run_date)
-    table = rules.daily_rules(
-        *(spark.read.parquet(p) for p in (offer_control, properties, feedback_table)), day, **options
-    )
-    write_day(table, out, day)
+    tables = (spark.read.parquet(p) for p in (offer_control, properties, feedback_table))
+    with scratch_tables(spark):
+        write_day(rules.daily_rules(*tables, day, **options), out, day)
 
 
 def init_rules(spark: SparkSession, out: str) -> None:
@@ -104,12 +104,9 @@ def run_rules_one_day(
     **options,
 ) -> None:
     """Rules for one date as a table of their own."""
-    table = rules.rules_one_day(
-        *(spark.read.parquet(p) for p in (offer_control, properties, feedback_table)),
-        run_date,
-        **options,
-    )
-    replace_table(table, out)
+    tables = (spark.read.parquet(p) for p in (offer_control, properties, feedback_table))
+    with scratch_tables(spark):
+        replace_table(rules.rules_one_day(*tables, run_date, **options), out)
 
 
 def rules_of_day(spark: SparkSession, table: str, day) -> DataFrame:

@@ -1,10 +1,11 @@
+import glob
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from rulecast.operators.aggregates import ordered_concat
-from rulecast.operators.lineage import materialize
+from rulecast.operators.lineage import checkpoint_dir, materialize, scratch_tables
 from rulecast.operators.merging import exclude, outer_merge, override
 from rulecast.operators.nested import any_map_has_key, element_count, key_count, unnest, unnest_map
 from rulecast.operators.prefixes import best_prefix_rank
@@ -159,3 +160,19 @@ def test_materialize_keeps_rows_and_schema(spark):
     df = spark.createDataFrame([(1, ["a"], None)], "i int, l array<string>, s string")
     kept = materialize(df)
     assert rows(kept) == rows(df) and kept.dtypes == df.dtypes
+
+
+def test_scratch_tables_are_deleted(spark):
+    folder = checkpoint_dir(spark)
+    before = set(glob.glob(f"{folder}/rulecast-*"))
+    with scratch_tables(spark):
+        assert materialize(spark.range(5)).count() == 5
+        assert len(set(glob.glob(f"{folder}/rulecast-*")) - before) == 1
+    assert set(glob.glob(f"{folder}/rulecast-*")) == before
+
+
+def test_range_join_with_one_hot_value(spark):
+    points = spark.range(3000).select("id", F.lit(100.0).alias("x"))
+    ranges = spark.createDataFrame([(1, 50, 150), (2, 100, 100), (3, 101, 200)], "r int, low int, high int")
+    joined = range_join(points, ranges, "x", "low", "high")
+    assert rows(joined.groupBy("r").count()) == [(1, 3000), (2, 3000)]
