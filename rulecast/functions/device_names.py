@@ -48,6 +48,10 @@ IOS_CUTS = (r"(?s)^.*iphone;(?: u;)? cpu ", r"(?s)like mac os.*", r"(?s)_.*")
 IN_APP_HEAD = r"(?s)^.*fbdv/"
 IN_APP_MODEL = r"iphone[0-9]"
 
+IOS_MARK, IPOD_MARK = "cpu iphone os", "ipod"
+OTHER_IOS_MARK, IPHONE_IOS_MARK = "iphone; u; cpu iphone", "iphone; cpu os"
+IN_APP_MARKS = ("(null) [fban", "fbdv/iphone")
+
 # Browsers that hide the device. LIKE has no character classes, so the marks with
 # brackets stand for themselves.
 HIDDEN_PHONE_MARKS = ("android; mobile; rv", "mobile rv[0-9][0-9].[0-9] gecko")
@@ -79,14 +83,15 @@ def android_model(agent: Column, style: NameStyle) -> Column:
 
 def _apple_and_hidden(platform: Column, agent: Column):
     """Branches both styles share, in order."""
+    def has(mark):
+        return F.contains(agent, F.lit(mark))
+
     on_iphone = F.lower(platform) == "iphone"
-    ios = F.contains(agent, F.lit("cpu iphone os"))
-    other_ios = F.contains(agent, F.lit("iphone; u; cpu iphone")) | (
-        F.contains(agent, F.lit("iphone; cpu os")) & on_iphone
-    )
-    in_app = F.contains(agent, F.lit("(null) [fban")) & F.contains(agent, F.lit("fbdv/iphone"))
+    ios = has(IOS_MARK)
+    other_ios = has(OTHER_IOS_MARK) | (has(IPHONE_IOS_MARK) & on_iphone)
+    in_app = has(IN_APP_MARKS[0]) & has(IN_APP_MARKS[1])
     return [
-        (ios & F.contains(agent, F.lit("ipod")) & on_iphone, F.lit("ipod")),
+        (ios & has(IPOD_MARK) & on_iphone, F.lit(IPOD_MARK)),
         (ios | other_ios, cut(agent, *IOS_CUTS)),
         (in_app & on_iphone, F.regexp_extract(cut(agent, IN_APP_HEAD), IN_APP_MODEL, 0)),
         (contains_any(agent, HIDDEN_PHONE_MARKS), F.lit("unidentified android")),

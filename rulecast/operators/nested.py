@@ -6,22 +6,29 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def element_count(df: DataFrame, path: str) -> Column:
-    """Number of elements of an array column; 0 for NULL.
+    """Number of elements of an array or map column; 0 for NULL.
 
     For an array of structs only its narrowest leaf is named, so a columnar scan reads that leaf.
     """
-    kind = _type_at(df.schema, path).elementType
+    kind = _type_at(df.schema, path)
     target = path
-    if isinstance(kind, T.StructType):
-        leaf = min(kind.fields, key=lambda f: isinstance(f.dataType, (T.MapType, T.ArrayType)))
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType):
+        nested = (T.MapType, T.ArrayType, T.StructType)
+        leaf = min(kind.elementType.fields, key=lambda f: isinstance(f.dataType, nested))
         target = f"{path}.{leaf.name}"
     return F.coalesce(F.size(F.col(target)), F.lit(0))
 
 
-def key_count(path: str, key: str) -> Column:
-    """Number of ``{key, value}`` elements with this key; reads only the keys."""
-    hits = F.filter(F.col(f"{path}.key"), lambda k: k == F.lit(key))
-    return F.coalesce(F.size(hits), F.lit(0))
+def key_count(df: DataFrame, path: str, key: str) -> Column:
+    """Number of elements with this key, in an array of ``{key, value}`` structs or in a map.
+
+    Of an array only the keys are read.
+    """
+    if isinstance(_type_at(df.schema, path), T.MapType):
+        hits = F.map_contains_key(F.col(path), F.lit(key)).cast("int")
+    else:
+        hits = F.size(F.filter(F.col(f"{path}.key"), lambda k: k == F.lit(key)))
+    return F.coalesce(hits, F.lit(0))
 
 
 def any_map_has_key(path: str, field: str, key: str) -> Column:

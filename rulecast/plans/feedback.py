@@ -68,8 +68,8 @@ def _count_if(condition: Column) -> Column:
 def _named_taps(taps, start, end, count_mode, tap_source, offers, campaigns) -> DataFrame:
     combinations = (
         element_count(taps, "header.incoming_ids").cast("bigint")
-        * key_count("header.query_params", TAP_PARAM)
-        * key_count("header.http_headers", TAP_HEADER)
+        * key_count(taps, "header.query_params", TAP_PARAM)
+        * key_count(taps, "header.http_headers", TAP_HEADER)
     )
     action = F.col("action_id")
     by_campaign = tap_source == "campaign"

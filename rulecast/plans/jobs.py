@@ -80,13 +80,14 @@ def run_daily_rules(
     feedback_table: str,
     out: str,
     run_date=None,
+    mode="overwrite",
     **options,
 ) -> None:
     """The day's rules into their partition."""
     day = _day(run_date)
     tables = (spark.read.parquet(p) for p in (offer_control, properties, feedback_table))
     with scratch_tables(spark):
-        write_day(rules.daily_rules(*tables, day, **options), out, day)
+        write_day(rules.daily_rules(*tables, day, **options), out, day, mode)
 
 
 def init_rules(spark: SparkSession, out: str) -> None:

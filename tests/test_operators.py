@@ -141,7 +141,7 @@ def nested(spark):
 
 def test_counting_equals_unnesting(spark):
     df = nested(spark)
-    weight = element_count(df, "h.ids") * key_count("h.q", "k")
+    weight = element_count(df, "h.ids") * key_count(df, "h.q", "k")
     counted = {r.id: r.n for r in df.select("id", weight.alias("n")).collect()}
     exploded = unnest(df, b="h.ids", q="h.q").where("q.key = 'k'").groupBy("id").count()
     assert {k: v for k, v in counted.items() if v} == {r["id"]: r["count"] for r in exploded.collect()}
@@ -176,3 +176,9 @@ def test_range_join_with_one_hot_value(spark):
     ranges = spark.createDataFrame([(1, 50, 150), (2, 100, 100), (3, 101, 200)], "r int, low int, high int")
     joined = range_join(points, ranges, "x", "low", "high")
     assert rows(joined.groupBy("r").count()) == [(1, 3000), (2, 3000)]
+
+
+def test_counting_in_maps(spark):
+    df = spark.createDataFrame([(1, {"k": "v", "z": None}), (2, {}), (3, None)], "id int, m map<string, string>")
+    counted = df.select("id", element_count(df, "m").alias("n"), key_count(df, "m", "k").alias("k"))
+    assert rows(counted) == [(1, 2, 1), (2, 0, 0), (3, 0, 0)]

@@ -290,6 +290,7 @@ ORACLES = {
     "offer_activity": f"with history as ({inputs.sql_for(inputs.FEEDBACK)}) {OFFER_ACTIVITY}",
     "success_devices": f"{RULE_STEPS} select * from success",
     "landing_devices": f"{RULE_STEPS} select * from landing",
+    "landing_override": f"{RULE_STEPS} select * from judged",
     "feedback_devices": f"{RULE_STEPS} select * from chosen",
     "channel_devices": f"{RULE_STEPS} select * from tokens where length(dvc_techname) > 2",
     "daily_rules": rules(

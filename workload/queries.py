@@ -13,6 +13,7 @@ from rulecast.functions.offers import (
 from rulecast.functions.platform import fix_platform, platform_class
 from rulecast.functions.text import clean_token
 from rulecast.operators.lineage import materialize
+from rulecast.operators.merging import override
 from rulecast.operators.nested import unnest
 from rulecast.plans import audience, catalog, clusters, feedback, offers, outcomes, rules
 from rulecast.plans.assignment import assign_devices
@@ -86,6 +87,14 @@ def landing_devices(spark, sf_dir):
     return outcomes.landing_devices(*_outcomes(spark, sf_dir)[1:])
 
 
+def landing_override(spark, sf_dir):
+    """Success lists with the landing list in their place where an offer has one."""
+    _, judged, choices = _outcomes(spark, sf_dir)
+    return override(
+        outcomes.success_devices(judged), outcomes.landing_devices(judged, choices), "offer"
+    )
+
+
 def feedback_devices(spark, sf_dir):
     return outcomes.feedback_devices(*_outcomes(spark, sf_dir))
 
@@ -280,6 +289,7 @@ QUERIES = {
         offer_activity,
         success_devices,
         landing_devices,
+        landing_override,
         feedback_devices,
         channel_devices,
         daily_rules,
