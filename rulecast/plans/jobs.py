@@ -8,8 +8,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from rulecast.functions.dates import as_date, yesterday
-from rulecast.operators.lineage import scratch_tables
-from rulecast.plans import catalog, clusters, feedback, offers, rules
+from rulecast.operators.lineage import materialize, scratch_tables
+from rulecast.plans import audience, catalog, clusters, feedback, offers, rules
 from rulecast.sources.readers import on_days, read_device_clusters, read_offer_control
 from rulecast.sources.schemas import FEEDBACK, RULES
 from rulecast.sources.writers import (
@@ -130,3 +130,26 @@ def build_cluster_rules(spark: SparkSession, csv_path: str, out: str, export: st
     replace_table(clusters.cluster_rules(labelled), out)
     if export is not None:
         export_csv(spark.read.parquet(out), export, ["cluster_brand"], CLUSTER_TITLES)
+
+
+def build_audience(
+    spark: SparkSession,
+    dataset: str,
+    out: str,
+    own_carriers,
+    other_carriers,
+    window,
+    id_column: str = "device_id",
+) -> None:
+    """Ids of other carriers that were not seen on the own ones within the window.
+
+    Both lists are stored before they are compared: they are much smaller than the sightings, but
+    Spark would otherwise compare first and make the result distinct afterwards.
+    """
+    rows = spark.read.parquet(dataset)
+    with scratch_tables(spark):
+        others = materialize(audience.audience_competitors(rows, other_carriers, id_column))
+        recent = materialize(
+            audience.audience_recent_own(rows, own_carriers, window, id_column=id_column)
+        )
+        replace_table(audience.audience_not_recent(others, recent, id_column), out)

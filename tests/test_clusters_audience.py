@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 
+from rulecast.plans import jobs
 from rulecast.plans.audience import (
     audience_competitors,
     audience_not_recent,
@@ -85,6 +86,13 @@ def test_audience_lists(spark):
     assert {r[0] for r in rows(audience_not_recent(others, own))} == {"b", "c", None}
 
 
+def test_audience_job(spark, tmp_path):
+    source, out = str(tmp_path / "seen"), str(tmp_path / "audience")
+    dataset(spark, seen("a", "T"), seen("a", "OWN"), seen("b", "T"), seen("b", "T")).write.parquet(source)
+    jobs.build_audience(spark, source, out, ["OWN"], ["T", "A"], WINDOW)
+    assert rows(spark.read.parquet(out)) == [("b", "m", AD, "app")]
+
+
 def test_reach_excludes_own_ids_of_the_same_cluster_only(spark):
     df = dataset(
         spark,

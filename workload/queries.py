@@ -262,9 +262,9 @@ def audience_recent_own(spark, sf_dir):
 
 
 def audience_not_recent(spark, sf_dir):
-    return audience.audience_not_recent(
-        audience_competitors(spark, sf_dir), audience_recent_own(spark, sf_dir)
-    )
+    others = materialize(audience_competitors(spark, sf_dir))
+    recent = materialize(audience_recent_own(spark, sf_dir))
+    return audience.audience_not_recent(others, recent)
 
 
 def cluster_reach(spark, sf_dir):
