@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rulecast.functions.patterns import factored, quoted
 from rulecast.operators.lineage import materialize
 from rulecast.operators.merging import exclude
 from rulecast.operators.skew import salted_join, spread_evenly
@@ -54,7 +55,7 @@ def matched_clusters(agents: DataFrame, patterns: Mapping[str, str], literal: bo
     they are, go to all partitions.
     """
     matches = [
-        F.when(F.rlike("user_agent", F.lit(_pattern(p, literal))), F.lit(cluster))
+        F.when(F.rlike("user_agent", F.lit(quoted(p) if literal else factored(p))), F.lit(cluster))
         for cluster, p in patterns.items()
     ]
     hits = F.filter(F.array(*matches), lambda c: c.isNotNull())
@@ -62,14 +63,6 @@ def matched_clusters(agents: DataFrame, patterns: Mapping[str, str], literal: bo
     return distinct.select("user_agent", F.explode(hits).alias("cluster"))
 
 
-def _pattern(pattern: str, literal: bool) -> str:
-    """A regular expression as given, or alternatives quoted so that they match themselves."""
-    if not literal:
-        return pattern
-    quoted = (r"\Q" + token.replace(r"\E", r"\E\\E\Q") + r"\E" for token in pattern.split("|"))
-    return f"(?i)({'|'.join(quoted)})"
-
-
 def cluster_reach(
     dataset: DataFrame,
     patterns: Mapping[str, str],
