@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from rulecast.plans.assignment import assign_devices
 from rulecast.plans.offers import (
