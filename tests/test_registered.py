@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import compare, duck
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,18 +16,20 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    _, equal, message = compare(spark, con, name, driver.queries()[name], driver.oracle_sql()[name], SF)
+    _, equal, message = compare(spark, con, name, QUERIES[name], ORACLES[name], SF)
     assert equal, message
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_nested_loop_or_python(spark, name):
-    plan = driver.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for operator in ("NestedLoopJoin", "CartesianProduct", "Python", "Pandas"):
         assert operator not in plan
 
