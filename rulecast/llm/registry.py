@@ -1,9 +1,11 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
 from rulecast.llm.op4_query import OP4_SQL, op4_chat_formatting
+from rulecast.llm.op6_query import op6_token_files
 
 QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
+    "op6_token_files": op6_token_files,
 }
 
 ORACLES = {
