@@ -1,13 +1,16 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
+from rulecast.llm.op2_query import OP2_SQL, op2_decontamination
 from rulecast.llm.op4_query import OP4_SQL, op4_chat_formatting
 from rulecast.llm.op6_query import op6_token_files
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op4_chat_formatting": op4_chat_formatting,
     "op6_token_files": op6_token_files,
 }
 
 ORACLES = {
+    "op2_decontamination": OP2_SQL,
     "op4_chat_formatting": OP4_SQL,
 }
