@@ -1,11 +1,13 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
 from rulecast.llm.op2_query import OP2_SQL, op2_decontamination
+from rulecast.llm.op3_query import op3_html_extraction
 from rulecast.llm.op4_query import OP4_SQL, op4_chat_formatting
 from rulecast.llm.op6_query import op6_token_files
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_html_extraction": op3_html_extraction,
     "op4_chat_formatting": op4_chat_formatting,
     "op6_token_files": op6_token_files,
 }
