@@ -30,14 +30,17 @@ METADATA = ["shard", "doc_id", "first", "n_tokens"]
 CHUNK_BYTES = 12 << 20
 CACHE_WORDS = 150_000
 CACHE_WORD_CHARS = 32
+SLICE_WORDS = 5_000
 
 
 class WordEncoder:
     """Encode many texts by encoding each distinct word once.
 
-    The vocabulary's pre-tokenizer drops white space and never joins words across it, so the ids
-    of a text are the ids of its words. Words are cut and numbered in Arrow; a bounded cache keeps
-    the ids of the words met first.
+    The vocabulary's normalizer and pre-tokenizer drop white space and never join words across it,
+    so the ids of a text are the ids of its words. Words are cut and numbered in Arrow. A word of
+    Latin-1 letters, but for a last full stop or comma, is one pre-token, which the library's model
+    encodes directly; any other word takes the library's whole way. A bounded cache keeps the ids
+    of the words met first.
     """
 
     def __init__(self, path: str):
@@ -45,15 +48,40 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        letters = [chr(c) for c in range(128, 256) if chr(c).isalpha()]
+        self.byte_level = str.maketrans({c: "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in letters})
         self.known: dict[str, bytes] = {}
+        self.marks = {mark: self._whole([mark])[0] for mark in ".,"}
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [array("i", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _letters(self, word: str) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
+            mapped = word if word.isascii() else word.translate(self.byte_level)
+            ids = array("i", [token.id for token in self.model.tokenize(mapped)]).tobytes()
+            if len(self.known) < CACHE_WORDS and len(word) <= CACHE_WORD_CHARS:
+                self.known[word] = ids
+        return ids
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        found = list(map(self.known.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        for i, encoded in zip(missing, self.tokenizer.encode_batch_fast([words[i] for i in missing], add_special_tokens=False), strict=True):
-            found[i] = array("i", encoded.ids).tobytes()
-            if len(self.known) < CACHE_WORDS and len(words[i]) <= CACHE_WORD_CHARS:
-                self.known[words[i]] = found[i]
+        found: list[bytes] = []
+        others = []
+        for i, word in enumerate(words):
+            mark = self.marks.get(word[-1:])
+            letters = word if mark is None else word[:-1]
+            if letters.isalpha() and max(letters) < "\u0100":
+                ids = self._letters(letters.lower())
+                found.append(ids if mark is None else ids + mark)
+            else:
+                found.append(b"")
+                others.append(i)
+        for a in range(0, len(others), SLICE_WORDS):
+            part = others[a : a + SLICE_WORDS]
+            for i, ids in zip(part, self._whole([words[i] for i in part]), strict=True):
+                found[i] = ids
         return found
 
     def encode(self, column: pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +129,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None, p
     ship(spark)
     small_batches(spark)
     columns = texts(docs)
-    placed = columns.repartitionByRange(partitions, "doc_id", "text") if partitions else columns.repartitionByRange("doc_id", "text")
+    placed = columns.repartitionByRange(partitions, "doc_id") if partitions else columns.repartitionByRange("doc_id")
 
     def encode(batches):
         encoder, shard, first = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
