@@ -4,12 +4,14 @@ from rulecast.llm.op2_query import OP2_SQL, op2_decontamination
 from rulecast.llm.op3_query import op3_html_extraction
 from rulecast.llm.op4_query import OP4_SQL, op4_chat_formatting
 from rulecast.llm.op6_query import op6_token_files
+from rulecast.llm.op7_query import op7_sentencepiece
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_html_extraction": op3_html_extraction,
     "op4_chat_formatting": op4_chat_formatting,
     "op6_token_files": op6_token_files,
+    "op7_sentencepiece": op7_sentencepiece,
 }
 
 ORACLES = {
