@@ -5,6 +5,7 @@ from rulecast.llm.op3_query import op3_html_extraction
 from rulecast.llm.op4_query import OP4_SQL, op4_chat_formatting
 from rulecast.llm.op6_query import op6_token_files
 from rulecast.llm.op7_query import op7_sentencepiece
+from rulecast.llm.op8_query import op8_phrase_fingerprints
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_chat_formatting": op4_chat_formatting,
     "op6_token_files": op6_token_files,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_phrase_fingerprints": op8_phrase_fingerprints,
 }
 
 ORACLES = {
