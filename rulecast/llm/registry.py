@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
+from rulecast.llm.op1_query import op1_toxicity
 from rulecast.llm.op2_query import OP2_SQL, op2_decontamination
 from rulecast.llm.op3_query import op3_html_extraction
 from rulecast.llm.op4_query import OP4_SQL, op4_chat_formatting
@@ -8,6 +9,7 @@ from rulecast.llm.op7_query import op7_sentencepiece
 from rulecast.llm.op8_query import op8_phrase_fingerprints
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_html_extraction": op3_html_extraction,
     "op4_chat_formatting": op4_chat_formatting,
