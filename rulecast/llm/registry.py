@@ -7,6 +7,7 @@ from rulecast.llm.op4_query import OP4_SQL, op4_chat_formatting
 from rulecast.llm.op6_query import op6_token_files
 from rulecast.llm.op7_query import op7_sentencepiece
 from rulecast.llm.op8_query import op8_phrase_fingerprints
+from rulecast.llm.op9_query import op9_minhash_near_dedup
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
@@ -16,6 +17,7 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
 ORACLES = {
