@@ -35,9 +35,9 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bound what one Arrow batch brings into a Python worker: ``rows`` texts, some of them long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Bound what one Arrow batch brings into a Python worker to about ``size`` bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

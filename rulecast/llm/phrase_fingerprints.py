@@ -143,7 +143,7 @@ def fingerprint_edits(docs: DataFrame, size: int = SIZE) -> DataFrame:
     near_edited, near_next``.
     """
     ship(docs.sparkSession)
-    small_batches(docs.sparkSession, 200)
+    small_batches(docs.sparkSession, 1 << 20)
     rows = in_order_with_next(texts(docs).filter(F.col("doc_id").isNotNull()))
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]

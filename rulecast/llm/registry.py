@@ -1,5 +1,6 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
+from rulecast.llm.op10_query import op10_suffix_dedup
 from rulecast.llm.op1_query import op1_toxicity
 from rulecast.llm.op2_query import OP2_SQL, op2_decontamination
 from rulecast.llm.op3_query import op3_html_extraction
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_sentencepiece": op7_sentencepiece,
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES = {
