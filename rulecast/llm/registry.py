@@ -5,6 +5,7 @@ from rulecast.llm.op1_query import op1_toxicity
 from rulecast.llm.op2_query import OP2_SQL, op2_decontamination
 from rulecast.llm.op3_query import op3_html_extraction
 from rulecast.llm.op4_query import OP4_SQL, op4_chat_formatting
+from rulecast.llm.op5_query import OP5_SQL, op5_substring_dedup
 from rulecast.llm.op6_query import op6_token_files
 from rulecast.llm.op7_query import op7_sentencepiece
 from rulecast.llm.op8_query import op8_phrase_fingerprints
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_html_extraction": op3_html_extraction,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_token_files": op6_token_files,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
@@ -25,4 +27,5 @@ QUERIES = {
 ORACLES = {
     "op2_decontamination": OP2_SQL,
     "op4_chat_formatting": OP4_SQL,
+    "op5_substring_dedup": OP5_SQL,
 }
