@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from rulecast.llm.common import ship, small_batches, texts
 from rulecast.llm.piece_encoding import chunks
-from rulecast.llm.words import BLANKS, _classes, cut, mix
+from rulecast.llm.words import BLANKS, _classes, cut, mix, pieces
 from rulecast.operators.lineage import materialize
 
 MARKS = string.punctuation
@@ -33,6 +33,7 @@ SEPARATED = _classes(BLANKS + MARKS, fold=True)
 SAVED = (2, 3, 4, 5)
 BEGINNINGS = (5,)
 LEVEL, DICTIONARY_BYTES, TAIL_BYTES, G_LIMIT, WORDS_LIMIT = 6, 4096, 64, 30.0, 1500
+SAMPLES = 60_000
 CHUNK_BYTES, CACHE_WINDOWS = 6 << 20, 200_000
 #: The offsets that a trained dictionary ends its tables with; its content follows.
 _REPEATS = b"\1\0\0\0\4\0\0\0\x08\0\0\0"
@@ -107,35 +108,42 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(features @ np.array(self.weights[1:]) + self.weights[0], -60, 60)))
 
 
-def _contexts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(hashes of words and word beginnings, distinct contexts of each, the words and beginnings)."""
-    words = cut(column, SEPARATED)
-    h = words.hashes
-    if not len(h):
-        return h, np.zeros(0, np.int64), []
-    around = np.concatenate(([np.uint64(1)], h[:-1])) * np.uint64(0x9E3779B97F4A7C15) + np.concatenate((h[1:], [np.uint64(2)]))
-    context = mix(around + mix(h))
-    folded = SEPARATED[1][words.data]
-    units, places, ends = [h], [np.arange(len(h))], [words.end]
-    for length in BEGINNINGS:
-        longer = np.flatnonzero(words.end - words.begin > length)
-        beginning = np.full(len(longer), length, np.uint64)
-        for j in range(length):
-            beginning = beginning * np.uint64(0x2545F4914F6CDD1D) + folded[words.begin[longer] + j]
-        units.append(mix(beginning))
-        places.append(longer)
-        ends.append(words.begin[longer] + length)
-    unit, place, end = map(np.concatenate, (units, places, ends))
-    _, first = np.unique(mix(unit + context[place]), return_index=True)
-    hashes, at, counts = np.unique(unit[first], return_index=True, return_counts=True)
-    where, raw = first[at], folded.tobytes()
-    return hashes, counts, [raw[a:b] for a, b in zip(words.begin[place[where]].tolist(), end[where].tolist(), strict=True)]
+def _units(column: pa.Array):
+    """Per piece of the texts: hashes of words and word beginnings, of their contexts, and the words."""
+    for batch in pieces(pa.RecordBatch.from_arrays([column], names=["text"]), limit=1 << 20):
+        words = cut(batch.column(0), SEPARATED)
+        h = words.hashes
+        if not len(h):
+            continue
+        around = np.concatenate(([np.uint64(1)], h[:-1])) * np.uint64(0x9E3779B97F4A7C15) + np.concatenate((h[1:], [np.uint64(2)]))
+        context = mix(around + mix(h))
+        folded = SEPARATED[1][words.data]
+        units, begins, ends, contexts = [h], [words.begin], [words.end], [context]
+        for length in BEGINNINGS:
+            longer = np.flatnonzero(words.end - words.begin > length)
+            beginning = np.full(len(longer), length, np.uint64)
+            for j in range(length):
+                beginning = beginning * np.uint64(0x2545F4914F6CDD1D) + folded[words.begin[longer] + j]
+            units.append(mix(beginning))
+            begins.append(words.begin[longer])
+            ends.append(words.begin[longer] + length)
+            contexts.append(context[longer])
+        yield (*map(np.concatenate, (units, contexts, begins, ends)), folded)
+
+
+def _contexts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of words and word beginnings, how many distinct contexts each has)."""
+    pairs = np.zeros((2, 0), np.uint64)
+    for unit, context, *_ in _units(column):
+        both = np.concatenate((pairs, np.stack((mix(unit + context), unit))), axis=1)
+        pairs = both[:, np.unique(both[0], return_index=True)[1]]
+    return np.unique(pairs[1], return_counts=True)
 
 
 def standing_out(toxic: pa.Array, ordinary: pa.Array) -> list[bytes]:
     """Words and beginnings with significantly more contexts in toxic than in ordinary text, rarest first."""
-    hashes, a, words = _contexts(toxic)
-    others, counts, _ = _contexts(ordinary)
+    hashes, a = _contexts(toxic)
+    others, counts = _contexts(ordinary)
     if not len(hashes) or not len(others):
         return []
     at = np.minimum(np.searchsorted(others, hashes), len(others) - 1)
@@ -145,7 +153,11 @@ def standing_out(toxic: pa.Array, ordinary: pa.Array) -> list[bytes]:
     g = 2 * (a * np.log(a / (n * share)) + np.where(b > 0, b * np.log(np.maximum(b, 1) / (n * (1 - share))), 0))
     chosen = np.flatnonzero((a / n > (1 + share) / 2) & (g > G_LIMIT))
     chosen = chosen[np.argsort(a[chosen], kind="stable")][-WORDS_LIMIT:]
-    return [words[i] for i in chosen]
+    said: dict[int, bytes] = {}
+    for unit, _, begin, end, folded in _units(toxic):
+        for i in np.flatnonzero(np.isin(unit, hashes[chosen])).tolist():
+            said.setdefault(int(unit[i]), folded[begin[i] : end[i]].tobytes())
+    return [said[int(h)] for h in hashes[chosen]]
 
 
 def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> list[float]:
@@ -173,6 +185,7 @@ def train(toxic: list[str], ordinary: list[str], share: float, window: int = 1)
     one, other = pa.array(toxic, pa.string()), pa.array(ordinary, pa.string())
     samples = [(" " + " ".join(w.lower().strip(MARKS) for w in text.split()[a : a + window]) + " ").encode() for text in ordinary for a in range(0, 40 * window, window)]
     samples = [s for s in samples if s.strip()]
+    samples = samples[:: max(1, len(samples) // SAMPLES)]
     try:
         common = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
         head, content, raw = *_split(common), False
@@ -184,7 +197,7 @@ def train(toxic: list[str], ordinary: list[str], share: float, window: int = 1)
     model = ToxicityModel(head + content, head + out + content, raw, tail, window, [prior] + [0.0] * (len(SAVED) + 1))
     if toxic and ordinary:
         model.start()
-        x = np.concatenate([model.features(one), model.features(other)])
+        x = np.concatenate([model.features(column.slice(i, 300)) for column in (one, other) for i in range(0, len(column), 300)])
         y = np.concatenate([np.ones(len(toxic)), np.zeros(len(ordinary))])
         weight = np.where(y == 1, share / len(toxic), (1 - share) / len(ordinary)) * len(y)
         model.weights = _fit(x, y, weight)
@@ -203,7 +216,7 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, toxic_docs: int = 2000, ordinary_docs: int = 6000, window: int = 1) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, toxic_docs: int = 1500, ordinary_docs: int = 3000, window: int = 1) -> ToxicityModel:
     """Train on labelled documents that are not held out.
 
     ``toxic_docs`` and ``ordinary_docs`` bound the sample of each class; it is chosen by a hash of
@@ -241,3 +254,20 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return texts(docs).mapInArrow(score, "doc_id bigint, score double, predicted int")
+
+
+def keep_ordinary(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that the model does not find toxic.
+
+    A null text is scored as the empty one and stays as it is.
+    """
+    ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
+
+    def keep(batches):
+        own = ToxicityModel(model.ordinary, model.toxic, model.raw, model.tail, model.window, model.weights).start()
+        for chunk in chunks(batches, CHUNK_BYTES):
+            said = chunk[text].combine_chunks().fill_null("")
+            yield from chunk.filter(pa.array(own.scores(own.features(said)) < 0.5)).to_batches(max_chunksize=500)
+
+    return docs.mapInArrow(keep, docs.schema)
