@@ -37,10 +37,10 @@ def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
         if b - a >= size:
             out.append(np.unique(grams[a:b][inside[a:b]]))
         elif b > a:
-            short = np.uint64(b - a)
-            for h in words.hashes[a:b]:
-                short = mix(np.array([short * np.uint64(31) + h], np.uint64))[0]
-            out.append(np.array([short], np.uint64))
+            short = np.array([b - a], np.uint64)
+            for at in range(a, b):
+                short = mix(short * np.uint64(31) + words.hashes[at : at + 1])
+            out.append(short)
         else:
             out.append(np.zeros(0, np.uint64))
     return out

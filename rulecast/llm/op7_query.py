@@ -10,12 +10,15 @@ from rulecast.llm.piece_encoding import decode_pieces, encode_pieces
 MODEL = "piece_bpe_32k.model"
 
 
-def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(MODEL)
-    decoded = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), path), path)
-    return decoded.select(
+def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of documents encoded and decoded again."""
+    return decode_pieces(encode_pieces(docs, path), path).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
