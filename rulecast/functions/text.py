@@ -42,5 +42,5 @@ def rule_text(alternatives: Column) -> Column:
 
 def rule_pattern(rule: Column) -> Column:
     """The bare regular expression inside a rule made by :func:`rule_text`."""
-    inner = F.substring(rule, len(RULE_OPEN) + 1, 1 << 30)
+    inner = F.substr(rule, F.lit(len(RULE_OPEN) + 1))
     return F.concat(F.lit("(?i)("), F.left(inner, F.length(inner) - len(RULE_CLOSE)), F.lit(")"))

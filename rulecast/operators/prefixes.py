@@ -5,8 +5,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rulecast.operators.skew import salted_join, spread_evenly
 
 WILDCARDS = r"[_%\\]"
+# Literal text before the first wildcard; escaped characters are literal.
+HEAD = r"^((?:[^_%\\]|\\.)*)"
 GRAM = 3
-WHOLE, PART = "=", "~"
 
 
 def best_prefix_rank(
@@ -15,63 +16,70 @@ def best_prefix_rank(
     """For each distinct name the lowest rank of the patterns it starts with, else NULL.
 
     Patterns follow LIKE: ``_`` is any character, ``%`` any text, ``\\`` escapes. Both sides meet by
-    equality of an anchor. The anchor of a pattern without wildcards is the pattern, and a name has
-    all its prefixes as anchors. The anchor of any other pattern is a piece of up to three literal
-    characters, and a name has all its pieces of that size; these pairs are then checked by LIKE.
+    equality of an anchor. LIKE is anchored at the start, so the literal text before a pattern's
+    first wildcard must begin the name: that is its anchor, and a name has all its prefixes as
+    anchors. Only a pattern that begins with a wildcard has no such text; its anchor is a piece of
+    up to three literal characters, which it meets in a join of its own, with the names' pieces.
+    Pairs with wildcards are then checked by LIKE.
     """
     keys = spread_evenly(names.select(F.col(name).alias("_name")).distinct())
-    anchors = F.concat(_prefixes(F.col("_name")), _pieces(F.col("_name")))
-    spread = keys.select("_name", F.explode_outer(anchors).alias("_anchor"))
-    pairs = salted_join(
-        spread, _anchored(patterns, pattern, rank), ["_anchor"], F.col("_name"), "left"
-    )
+    shaped = _shaped(patterns, pattern, rank)
+    headed = _lowest(shaped.where(~F.col("_loose")), F.col("_head"))
+    loose = _lowest(shaped.where("_loose"), F.left("_piece", F.lit(GRAM)))
     matches = F.like(F.col("_name"), F.concat(F.col("_like"), F.lit("%")))
-    hit = F.when(F.col("_like").isNull() | matches, F.col("_rank"))
-    return pairs.groupBy(F.col("_name").alias(name)).agg(F.min(hit).alias(rank))
+
+    def hits(anchors: Column, anchored: DataFrame) -> DataFrame:
+        spread = keys.select("_name", F.explode(anchors).alias("_anchor"))
+        pairs = salted_join(spread, anchored, ["_anchor"], F.col("_name"))
+        return pairs.where(F.col("_like").isNull() | matches).select("_name", "_rank")
+
+    found = hits(_prefixes(F.col("_name")), headed).unionByName(hits(_pieces(F.col("_name")), loose))
+    rankless = keys.withColumn("_rank", F.lit(None).cast(patterns.schema[rank].dataType))
+    return found.unionByName(rankless).groupBy(F.col("_name").alias(name)).agg(F.min("_rank").alias(rank))
 
 
 def _prefixes(name: Column) -> Column:
     lengths = F.sequence(F.lit(0), F.length(name))
-    return F.transform(lengths, lambda n: F.concat(F.lit(WHOLE), F.left(name, n)))
+    return F.transform(lengths, lambda n: F.left(name, n))
 
 
 def _pieces(name: Column) -> Column:
     def of_size(size):
         starts = F.sequence(F.lit(1), F.length(name) - (size - 1))
         pieces = F.transform(
-            starts, lambda i: F.concat(F.lit(PART), F.substring(name, i, F.lit(size)))
+            starts, lambda i: F.substring(name, i, F.lit(size))
         )
         none = F.array().cast("array<string>")
         return F.when(F.length(name) >= size, pieces).when(name.isNotNull(), none)
 
     sizes = [of_size(size) for size in range(1, GRAM + 1)]
-    return F.array_distinct(F.concat(F.array(F.lit(PART)), *sizes))
+    return F.array_distinct(F.concat(F.array(F.lit("")), *sizes))
 
 
-def _anchored(patterns: DataFrame, pattern: str, rank: str) -> DataFrame:
-    """Patterns with their anchor; ``_like`` is NULL where the anchor decides alone."""
+def _shaped(patterns: DataFrame, pattern: str, rank: str) -> DataFrame:
+    """Patterns with the text to check by LIKE (NULL where the head decides alone) and their literals."""
     # A backslash before an ordinary character means that character.
     like = F.regexp_replace("_pattern", r"\\(?![_%\\]|$)", "")
-    literals = F.split(F.regexp_replace("_like", r"\\.?", "%"), "[_%]")
+    literals = F.split(F.regexp_replace(like, r"\\.?", "%"), "[_%]")
     longest = F.array_max(
         F.transform(literals, lambda p: F.struct(F.length(p).alias("n"), p.alias("text")))
     )["text"]
+    head = F.regexp_replace(F.regexp_extract(like, HEAD, 1), r"\\(.)", "$1")
     # Without a literal character only the number of ``_`` matters.
-    blank = F.col("_like").rlike("^[_%]*$")
-    shape = F.when(blank, F.regexp_replace("_like", "%", "")).otherwise(F.col("_like"))
+    shape = F.when(like.rlike("^[_%]*$"), F.regexp_replace(like, "%", "")).otherwise(like)
     wild = F.col("_pattern").rlike(WILDCARDS)
     return (
         patterns.where(F.col(pattern).isNotNull())
         .select(F.col(pattern).alias("_pattern"), F.col(rank).alias("_rank"))
-        .withColumn("_like", F.when(wild, like))
-        .withColumn("_piece", F.left(longest, F.lit(GRAM)))
         .select(
-            F.when(wild, F.concat(F.lit(PART), "_piece"))
-            .otherwise(F.concat(F.lit(WHOLE), "_pattern"))
-            .alias("_anchor"),
-            shape.alias("_like"),
             "_rank",
+            F.when(wild, shape).alias("_like"),
+            F.when(wild, head).otherwise(F.col("_pattern")).alias("_head"),
+            longest.alias("_piece"),
+            (wild & (head == "")).alias("_loose"),
         )
-        .groupBy("_anchor", "_like")
-        .agg(F.min("_rank").alias("_rank"))
     )
+
+
+def _lowest(shaped: DataFrame, anchor: Column) -> DataFrame:
+    return shaped.groupBy(anchor.alias("_anchor"), "_like").agg(F.min("_rank").alias("_rank"))

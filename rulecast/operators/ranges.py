@@ -26,9 +26,12 @@ def range_join(
     """
     top = (1 << bits) - 1
 
+    half = 1 << (bits - 1)
+
     def cell_of(value):
-        index = F.floor(value.cast("double") / F.lit(cell)) + F.lit(1 << (bits - 1))
-        return F.greatest(F.lit(0), F.least(F.lit(top), index)).cast("bigint")
+        # Clamped as a double: the cells of huge and infinite values fit no integer.
+        index = value.cast("double") / F.lit(float(cell)) + F.lit(float(half))
+        return F.floor(F.least(F.greatest(index, F.lit(0.0)), F.lit(float(top)))).cast("bigint")
 
     sizes = F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("_size")
     spread = (

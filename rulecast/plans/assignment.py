@@ -10,7 +10,7 @@ from rulecast.operators.skew import salted_join
 from rulecast.plans.offers import FLAGS
 
 # How iPhones are named, and the shortest token that enters a rule is longer than this.
-IOS_NAME = r"iphone os (?:1)?[0-9]"
+IOS_NAME = r"iphone os 1?[0-9]"
 SHORT_TOKEN = 2
 
 
@@ -30,17 +30,22 @@ CHANNELS = (
 )
 
 
-def _best_per_channel(candidates: DataFrame, channels) -> DataFrame:
-    """Lowest priority per channel and device.
-
-    Priorities are reduced per device and flag first; channels, which share flags and rename
-    iPhones, are told apart on the few rows that remain.
-    """
+def _best_per_flag(candidates: DataFrame, key: str, channels) -> DataFrame:
+    """Lowest priority per key (a device or a price) and flag of the channels."""
     flags = sorted({c.flag for c in channels})
-    reduced = candidates.groupBy("dvc_techname").agg(
+    return candidates.groupBy(key).agg(
         *(F.min(F.when(F.col(f) == 1, F.col("uc1_priority"))).alias(f) for f in flags)
     )
 
+
+def _best_per_channel(reduced: DataFrame, channels) -> DataFrame:
+    """Lowest priority per channel and device, from rows of lowest priorities per flag.
+
+    Channels, which share flags and rename iPhones, are told apart on the few rows that remain.
+    """
+    flags = sorted({c.flag for c in channels})
+    reduced = reduced.groupBy("dvc_techname").agg(*(F.min(f).alias(f) for f in flags))
+
     def entry(channel):
         name = F.col("dvc_techname")
         if channel.ios_name is not None:
@@ -70,14 +75,22 @@ def _holders(offers: DataFrame, channels) -> DataFrame:
 
 
 def assign_devices(
-    control: DataFrame, feedback: DataFrame, offers: DataFrame | None = None, channels=CHANNELS
+    control: DataFrame,
+    feedback: DataFrame,
+    offers: DataFrame | None = None,
+    channels=CHANNELS,
+    prices: DataFrame | None = None,
 ) -> DataFrame:
     """Device tokens per channel, offer and priority.
 
     Devices chosen by feedback replace an offer's control devices. In each channel a device keeps
     its lowest priority number; all offers with that number get it. ``offers`` is the offer list
     when it is at hand; otherwise it is taken from ``control``.
+
+    ``control`` pairs the offers with their devices or, if ``prices`` has the prices of devices,
+    with the prices in their range. A device with several prices takes the best of them.
     """
+    key = "dvc_techname" if prices is None else "price"
     terms = ["offer", "uc1_priority", *FLAGS]
     listed = (control if offers is None else offers).select(*terms).distinct()
     decided = (
@@ -86,15 +99,15 @@ def assign_devices(
         .where("unnamed = 0")
         .select("offer")
     )
-    by_price = salted_join(
-        control.select(*terms, "dvc_techname"),
-        decided,
-        ["offer"],
-        F.col("dvc_techname"),
-        "left_anti",
+    undecided = salted_join(
+        control.select(*terms, key), decided, ["offer"], F.col(key), "left_anti"
     )
+    by_price = _best_per_flag(undecided, key, channels)
+    if prices is not None:
+        by_price = salted_join(prices, by_price, ["price"], F.col("dvc_techname")).drop("price")
     chosen = feedback.where(F.col("dvc_techname").isNotNull())
     by_feedback = salted_join(chosen, listed, ["offer"], F.col("dvc_techname"))
+    by_feedback = _best_per_flag(by_feedback, "dvc_techname", channels)
     best = _best_per_channel(by_price.unionByName(by_feedback), channels)
     won = salted_join(
         best, _holders(listed, channels), ["source", "uc1_priority"], F.col("dvc_techname")

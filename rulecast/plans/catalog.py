@@ -1,6 +1,5 @@
 """Device catalogue: names seen in id syncs, matched to known device properties."""
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rulecast.functions.device_names import catalog_name
@@ -11,9 +10,8 @@ from rulecast.operators.prefixes import best_prefix_rank
 from rulecast.operators.skew import salted_join
 from rulecast.sources.readers import in_months
 
-# Partners whose id syncs count, and the months they were read from.
+# Partners whose id syncs count.
 PARTNERS = (2177, 2243, 2248)
-FIRST_MONTH, LAST_MONTH = (2016, 10), (2016, 12)
 
 # Price of devices without one, by a mark in their name; the first mark wins.
 PRICE_MARKS = (
@@ -55,9 +53,9 @@ EXTRA_DEVICES = (
 def device_catalog(
     id_syncs: DataFrame,
     id_type: str,
+    first_month: tuple[int, int],
+    last_month: tuple[int, int],
     partners=PARTNERS,
-    first_month: tuple[int, int] = FIRST_MONTH,
-    last_month: tuple[int, int] = LAST_MONTH,
 ) -> DataFrame:
     """Distinct device names and platforms of id syncs that hold an id of the given type.
 
@@ -108,8 +106,9 @@ def impute_price(name, price):
 
 
 def extra_devices(spark: SparkSession) -> DataFrame:
-    columns = dict(zip(EXTRA_COLUMNS, (list(c) for c in zip(*EXTRA_DEVICES))))
-    return spark.createDataFrame(pa.table(columns))
+    kinds = {"popularity": "double", "cluster": "int"}
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in EXTRA_COLUMNS)
+    return spark.createDataFrame(list(EXTRA_DEVICES), schema)
 
 
 def device_properties(matched: DataFrame, atlas: DataFrame, with_extra: bool = True) -> DataFrame:
@@ -134,5 +133,4 @@ def device_properties(matched: DataFrame, atlas: DataFrame, with_extra: bool = T
     )
     if not with_extra:
         return found
-    extra = extra_devices(matched.sparkSession)
-    return found.unionByName(extra.withColumn("cluster", F.col("cluster").cast("int")))
+    return found.unionByName(extra_devices(matched.sparkSession))

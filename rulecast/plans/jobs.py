@@ -63,11 +63,20 @@ def init_feedback(spark: SparkSession, taps: str, events: str, out: str, **optio
 
 
 def build_device_properties(
-    spark: SparkSession, id_syncs: str, atlas: str, out: str, id_type: str, **options
+    spark: SparkSession,
+    id_syncs: str,
+    atlas: str,
+    out: str,
+    id_type: str,
+    first_month: tuple[int, int],
+    last_month: tuple[int, int],
+    **options,
 ) -> None:
-    """Device names of id syncs with their properties."""
+    """Device names of the id syncs of some months, both ends included, with their properties."""
     atlas_table = spark.read.parquet(atlas)
-    names = catalog.device_catalog(spark.read.parquet(id_syncs), id_type, **options)
+    names = catalog.device_catalog(
+        spark.read.parquet(id_syncs), id_type, first_month, last_month, **options
+    )
     replace_table(
         catalog.device_properties(catalog.match_catalog(names, atlas_table), atlas_table), out
     )

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rulecast.functions.dates import as_date, date_of_parts
 from rulecast.functions.numbers import as_number
 from rulecast.operators.ranges import range_join
+from rulecast.operators.skew import salted_join
 
 # Open price bounds, and the factor from a release price to the bounds' currency.
 OPEN_MIN, OPEN_MAX = -99999, 99999
@@ -53,25 +54,24 @@ def active_offers(control: DataFrame, run_date: dt.date | str) -> DataFrame:
     return control.where((F.col("start_date") <= day) & (day < F.col("end_date")) & configured)
 
 
-def price_matches(active: DataFrame, properties: DataFrame) -> DataFrame:
-    """Offer terms and devices whose price lies in the offer's range.
+def device_prices(properties: DataFrame) -> DataFrame:
+    """The prices of each device, in the currency of the offers' bounds."""
+    price = (as_number(F.col("release_price")) * PRICE_FACTOR).alias("price")
+    return properties.select("dvc_techname", price).distinct()
 
-    A device with several prices in the range occurs several times.
+
+def price_offers(active: DataFrame, prices: DataFrame) -> DataFrame:
+    """The terms of the offers whose range holds a price, per distinct price.
+
+    Devices are told apart later, and only where an offer has won: many share a price, and pairs of
+    offer and device would grow with the product of both.
     """
-    points = properties.select(
-        "dvc_techname", (as_number(F.col("release_price")) * PRICE_FACTOR).alias("_price")
-    ).distinct()
     ranges = active.select(*TERMS, "target_rlp_min", "target_rlp_max").distinct()
+    points = prices.select("price").distinct()
     pairs = range_join(
-        points,
-        ranges,
-        "_price",
-        "target_rlp_min",
-        "target_rlp_max",
-        cell=PRICE_FACTOR,
-        bits=PRICE_BITS,
+        points, ranges, "price", "target_rlp_min", "target_rlp_max", cell=PRICE_FACTOR, bits=PRICE_BITS
     )
-    return pairs.select(*TERMS, "dvc_techname")
+    return pairs.select(*TERMS, "price").distinct()
 
 
 def feedback_condition() -> Column:
@@ -82,10 +82,11 @@ def feedback_condition() -> Column:
 
 def control_devices(active: DataFrame, properties: DataFrame) -> DataFrame:
     """Devices whose price lies in an offer's range, with the offer's terms."""
-    pairs = price_matches(active, properties).distinct()
-    return pairs.withColumn("feedback_cond", feedback_condition())
+    prices = device_prices(properties)
+    pairs = salted_join(prices, price_offers(active, prices), ["price"], F.col("dvc_techname"))
+    return pairs.select(*TERMS, "dvc_techname").distinct().withColumn("feedback_cond", feedback_condition())
 
 
 def offer_list(control: DataFrame) -> DataFrame:
-    """The offers that have a device, with their terms."""
+    """The offers that have a device or a price, with their terms."""
     return control.select(*TERMS).distinct().withColumn("feedback_cond", feedback_condition())

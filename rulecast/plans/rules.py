@@ -9,7 +9,7 @@ from rulecast.functions.text import rule_text
 from rulecast.operators.aggregates import ordered_concat
 from rulecast.operators.lineage import materialize
 from rulecast.plans.assignment import CHANNELS, assign_devices
-from rulecast.plans.offers import active_offers, offer_list, price_matches
+from rulecast.plans.offers import active_offers, device_prices, offer_list, price_offers
 from rulecast.plans.outcomes import (
     Evidence,
     device_outcomes,
@@ -37,6 +37,29 @@ def build_rules(tokens: DataFrame, exclusions=DAILY_EXCLUSIONS) -> DataFrame:
     return joined.select("source", "offer", "uc1_priority", rule_text(F.col("alternatives")).alias("rule"))
 
 
+def judged_offers(
+    offers: DataFrame,
+    feedback: DataFrame,
+    evidence: Evidence = Evidence(),
+    history_start: dt.date | str | None = None,
+    use_s2l: bool = False,
+    materialized: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """Outcomes per offer and device, and the choice per offer, of the offers in the list.
+
+    ``materialized`` writes the totals and the outcomes, which several branches read, to the shared
+    checkpoint folder, so that the history is read once for its totals and once, two columns wide,
+    for launch days.
+    """
+    keep = materialize if materialized else (lambda df: df)
+    totals = keep(device_totals(feedback, history_start))
+    if history_start is not None:
+        feedback = feedback.where(F.col("sighted_date") >= F.lit(as_date(history_start)))
+    terms = offer_terms(offers, offer_activity(feedback, totals), evidence)
+    outcomes = keep(device_outcomes(totals, terms, use_s2l))
+    return outcomes, offer_choices(outcomes, evidence)
+
+
 def rule_tokens(
     offer_control: DataFrame,
     properties: DataFrame,
@@ -50,21 +73,17 @@ def rule_tokens(
 ) -> DataFrame:
     """From offer control, device properties and feedback history to tokens per channel and offer.
 
-    ``materialized`` writes the results that several branches read to the shared checkpoint folder,
-    so that the history is read once for its totals and once, two columns wide, for launch days;
-    tables of offers then have a known size and are broadcast only if that is small.
+    Offers meet distinct prices, never devices, until each price has its best offers.
+    ``materialized`` is explained at ``judged_offers``.
     """
-    keep = materialize if materialized else (lambda df: df)
-    control = keep(price_matches(active_offers(offer_control, run_date), properties))
-    offers = keep(offer_list(control))
-    totals = keep(device_totals(feedback, history_start))
-    if history_start is not None:
-        feedback = feedback.where(F.col("sighted_date") >= F.lit(as_date(history_start)))
-    terms = keep(offer_terms(offers, offer_activity(feedback, totals), evidence))
-    outcomes = keep(device_outcomes(totals, terms, use_s2l))
-    choices = keep(offer_choices(outcomes, evidence))
+    prices = device_prices(properties)
+    control = price_offers(active_offers(offer_control, run_date), prices)
+    offers = offer_list(control)
+    outcomes, choices = judged_offers(
+        offers, feedback, evidence, history_start, use_s2l, materialized
+    )
     chosen = feedback_devices(offers, outcomes, choices)
-    return assign_devices(control, chosen, offers, channels)
+    return assign_devices(control, chosen, offers, channels, prices)
 
 
 def daily_rules(

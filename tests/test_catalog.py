@@ -28,7 +28,7 @@ def test_device_catalog_filters_and_dedups(spark):
         ],
         SYNCS,
     )
-    assert rows(device_catalog(df, "COOKIE")) == [
+    assert rows(device_catalog(df, "COOKIE", (2016, 10), (2016, 12))) == [
         ("computer", "COMPUTER"), ("sm-j700f", "ANDROID"), ("windows_phone", "WINDOWS_PHONE"),
     ]
 

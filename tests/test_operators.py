@@ -1,4 +1,5 @@
 import glob
+import math
 import random
 
 import pytest
@@ -25,6 +26,7 @@ def test_range_join_equals_nested_loop(spark, seed, cell, bits):
     for j in range(40):
         low = rnd.randint(-350, 300)
         ranges.append((j, low, low + rnd.choice([0, 1, 5, 90, 500, -3])))
+    points += [(900, math.inf), (901, -math.inf), (902, 1e300), (903, -1e300), (904, math.nan)]
     ranges += [(98, -99999, 99999), (99, None, 5)]
     p = spark.createDataFrame(points, "p int, x double")
     r = spark.createDataFrame(ranges, "r int, low int, high int")
@@ -57,6 +59,7 @@ def test_prefix_match_equals_like(spark):
     patterns = [("".join(rnd.choice(letters) for _ in range(rnd.randint(0, 5))), i) for i in range(60)]
     patterns += [("a\\_b", -1), ("\\%", -2), ("\\c", 0), ("ab\\", -3), (None, -9), ("ab", None)]
     n = spark.createDataFrame([(x,) for x in names] + [(None,)], "name string")
+    patterns += [("_b%c", 70), ("a_%", 71), ("ab%", 72), ("%", 73), ("a\\%_", 74), ("ab\\_", 75)]
     for chosen in (patterns, patterns[:7], [p for p in patterns if p[0] and not set(p[0]) & set("_%\\")]):
         p = spark.createDataFrame(chosen, "pat string, rank int")
         got = dict(rows(best_prefix_rank(n, p, "name", "pat", "rank")))

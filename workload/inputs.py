@@ -16,6 +16,11 @@ case when p.p_partkey % 101 = 7 then 'COMPUTER'
      when p.p_partkey % 211 = 11 then 'vivo'
      when p.p_partkey % 197 = 12 then 'lenny'
      when p.p_partkey % 199 = 13 then 'th--1 ' || p.p_name || ' dual sim'
+     when p.p_partkey % 89 = 20 then 'www.shop.com' || replace(p.p_name, ' ', '-')
+     when p.p_partkey % 89 = 21 then 'sprd-' || replace(p.p_name, ' ', '_')
+     when p.p_partkey % 89 = 22 then 'th-1 ' || p.p_name
+     when p.p_partkey % 89 = 23 then replace(p.p_name, ' ', '_') || ' opera mini'
+     when p.p_partkey % 89 = 24 then replace(p.p_name, ' ', '_') || '-orange th'
      else case p.p_partkey % 12
               when 0 then 'iris' when 1 then 'i-mobile ' when 2 then 'vivo ' when 3 then 'asus_'
               when 4 then 'htc ' when 5 then 'lg-' when 6 then 'huawei ' when 7 then 'sm-'
@@ -121,7 +126,8 @@ from {supplier} s"""
 
 PROPERTIES = f"""
 select {DEVICE} as dvc_techname,
-       case when p.p_partkey % 17 = 3 then 'null' when p.p_partkey % 19 = 4 then null
+       case when p.p_partkey % 401 = 5 then '1e300' when p.p_partkey % 401 = 6 then '-1e300'
+            when p.p_partkey % 17 = 3 then 'null' when p.p_partkey % 19 = 4 then null
             else cast(40 + p.p_size * 10 + p.p_partkey % 7 as string) end as release_price
 from {{part}} p"""
 
@@ -130,7 +136,7 @@ select case when p.p_partkey % 61 = 60 then '%-' || substr(p.p_name, 1, 3)
             when p.p_partkey % 37 = 36 then 'sm_' || substr(p.p_name, 1, 4)
             when p.p_partkey % 59 = 58 then '________________' || substr('____', 1, p.p_size % 4)
             else substr({DEVICE}, 1, 8 + p.p_size % 9) end as dvc_techname,
-       p.p_partkey * 7 % 1000 as popularity, p.p_brand as brand,
+       p.p_partkey - cast(p.p_partkey % 50 = 1 as int) as popularity, p.p_brand as brand,
        case when p.p_partkey % 5 = 4 then null else p.p_type end as dvc_commercname,
        cast(2010 + p.p_size % 7 as string) as release_year, 'May' as release_month,
        case when p.p_partkey % 3 = 0 then null else cast(40 + p.p_size * 10 as string) end as release_price,

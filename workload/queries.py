@@ -41,13 +41,15 @@ def _devices(spark, sf_dir):
     return offers.control_devices(active, inputs.properties(spark, sf_dir))
 
 
+def _priced(spark, sf_dir):
+    active = offers.active_offers(_control(spark, sf_dir), RUN_DATE)
+    prices = offers.device_prices(inputs.properties(spark, sf_dir))
+    return offers.price_offers(active, prices), prices
+
+
 def _outcomes(spark, sf_dir):
-    history = inputs.feedback(spark, sf_dir)
-    totals = materialize(outcomes.device_totals(history))
-    listed = offers.offer_list(_devices(spark, sf_dir))
-    terms = materialize(outcomes.offer_terms(listed, outcomes.offer_activity(history, totals)))
-    judged = materialize(outcomes.device_outcomes(totals, terms))
-    return listed, judged, outcomes.offer_choices(judged)
+    listed = offers.offer_list(_priced(spark, sf_dir)[0])
+    return listed, *rules.judged_offers(listed, inputs.feedback(spark, sf_dir))
 
 
 def _rule_inputs(spark, sf_dir):
@@ -71,7 +73,7 @@ def control_devices(spark, sf_dir):
 
 
 def offer_list(spark, sf_dir):
-    return offers.offer_list(_devices(spark, sf_dir))
+    return offers.offer_list(_priced(spark, sf_dir)[0])
 
 
 def offer_activity(spark, sf_dir):
@@ -113,10 +115,10 @@ def rules_one_day(spark, sf_dir):
 
 def price_only_rules(spark, sf_dir):
     """Rules from price ranges alone: no offer has feedback yet."""
-    control = _devices(spark, sf_dir)
+    control, prices = _priced(spark, sf_dir)
     listed_terms = offers.offer_list(control)
     nothing = listed_terms.select("offer").distinct().withColumn("dvc_techname", F.lit(None).cast("string"))
-    return rules.build_rules(assign_devices(control, nothing, listed_terms))
+    return rules.build_rules(assign_devices(control, nothing, listed_terms, prices=prices))
 
 
 def tap_feedback(spark, sf_dir):
