@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from rulecast.operators.skew import salted_join
+
 
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Sum the measures of each side per key, then full-outer-join the sides on the keys.
@@ -29,8 +31,9 @@ def override(base: DataFrame, replacement: DataFrame, key: str) -> DataFrame:
     """``base`` with the rows of every key that ``replacement`` has taken from there instead."""
     replaced = replacement.select(key).distinct()
     known = base.select(key).distinct()
-    kept = base.join(replaced, key, "left_anti")
-    taken = replacement.join(known, key, "left_semi")
+    by = F.struct(*base.columns)
+    kept = salted_join(base, replaced, [key], by, "left_anti")
+    taken = salted_join(replacement, known, [key], by, "left_semi")
     return kept.unionByName(taken.select(*base.columns))
 
 

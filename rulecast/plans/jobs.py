@@ -5,14 +5,16 @@ Each job takes paths and a date. Without a date it runs for yesterday, the day t
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rulecast.functions.dates import as_date, yesterday
+from rulecast.functions.text import rule_pattern
 from rulecast.operators.lineage import materialize, scratch_tables
 from rulecast.plans import audience, catalog, clusters, feedback, offers, rules
 from rulecast.sources.readers import on_days, read_device_clusters, read_offer_control
-from rulecast.sources.schemas import FEEDBACK, RULES
+from rulecast.sources.schemas import FEEDBACK, PARTITION, RULES
 from rulecast.sources.writers import (
+    clear_days,
     create_partitioned,
     export_csv,
     replace_table,
@@ -49,11 +51,22 @@ def run_feedback(
 def backfill_feedback(
     spark: SparkSession, taps: str, events: str, out: str, start=FIRST_DAY, end=None, **options
 ) -> None:
-    """All days from ``start`` to ``end`` in one job; replaces the days that have feedback."""
-    table = feedback.daily_feedback(
-        spark.read.parquet(taps), spark.read.parquet(events), as_date(start), _day(end), **options
-    )
-    write_days(table, out)
+    """All days from ``start`` to ``end`` in one job; leaves what a run for each day would leave.
+
+    Days with feedback are replaced; a day of the range that has none (any more) has no partition
+    afterwards, and days outside the range stay as they are.
+    """
+    first, last = as_date(start), _day(end)
+    with scratch_tables(spark):
+        table = materialize(
+            feedback.daily_feedback(
+                spark.read.parquet(taps), spark.read.parquet(events), first, last, **options
+            )
+        )
+        # One row per day of the range at most.
+        days = {dt.date(*row) for row in table.select(*PARTITION).distinct().toLocalIterator()}
+        write_days(table, out)
+    clear_days(spark, out, first, last, days)
 
 
 def init_feedback(spark: SparkSession, taps: str, events: str, out: str, **options) -> None:
@@ -131,16 +144,51 @@ def export_rules(spark: SparkSession, table: str, out: str, run_date=None) -> No
     export_csv(rows, out, ["source", "uc1_priority", "offer"], RULE_TITLES)
 
 
-def build_cluster_rules(spark: SparkSession, csv_path: str, out: str, export: str | None = None) -> None:
-    """Cluster file to rules per cluster label, and as a CSV file if asked for."""
+def build_cluster_rules(
+    spark: SparkSession, csv_path: str, out: str, export: str | None = None, models: str | None = None
+) -> None:
+    """Cluster file to rules per cluster label, as a CSV file too if asked for.
+
+    ``models`` is where the list of models per label goes, in their own case, if it is wanted.
+    """
     labelled = clusters.cluster_brand(
         clusters.shape_device_clusters(read_device_clusters(spark, csv_path))
     )
     replace_table(clusters.cluster_rules(labelled), out)
+    if models is not None:
+        replace_table(clusters.cluster_model_list(labelled), models)
     if export is not None:
         export_csv(spark.read.parquet(out), export, ["cluster_brand"], CLUSTER_TITLES)
 
 
+def run_cluster_reach(
+    spark: SparkSession,
+    cluster_rules: str,
+    dataset: str,
+    out: str,
+    own_carriers,
+    other_carriers,
+    own_window,
+    **options,
+) -> None:
+    """Distinct ids of the audience per cluster label, by the patterns of stored cluster rules.
+
+    The patterns, one per label, are read here; there are as many as clusters and brands.
+    """
+    rows = spark.read.parquet(cluster_rules).select("cluster_brand", rule_pattern(F.col("rule")))
+    patterns = dict(tuple(r) for r in rows.toLocalIterator())
+    with scratch_tables(spark):
+        reach = audience.cluster_reach(
+            spark.read.parquet(dataset), patterns, own_carriers, other_carriers, own_window, **options
+        )
+        replace_table(reach, out)
+
+
+def run_model_reach(spark: SparkSession, dataset: str, out: str, *conditions, **options) -> None:
+    """Distinct ids per model, most frequent first, under the conditions of ``model_reach``."""
+    replace_table(audience.model_reach(spark.read.parquet(dataset), *conditions, **options), out)
+
+
 def build_audience(
     spark: SparkSession,
     dataset: str,

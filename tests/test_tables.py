@@ -1,9 +1,11 @@
 import datetime as dt
 import glob
 
-from rulecast.plans import jobs
+from pyspark.sql import functions as F
+
+from rulecast.plans import feedback, jobs
 from rulecast.plans.rules import build_rules
-from rulecast.sources.readers import date_window, in_months, one_day, preview
+from rulecast.sources.readers import date_window, in_months, on_days, one_day, preview
 from rulecast.sources.writers import replace_table, write_day, write_days
 from frames import CONTROL, EVENTS, PROPERTIES, TAPS, control_row, event, rows, tap
 
@@ -106,3 +108,17 @@ def test_feedback_scan_reads_only_what_it_counts(spark, tmp_path):
 def test_build_rules_survives_an_empty_input(spark):
     empty = spark.createDataFrame([], "source string, offer string, uc1_priority int, dvc_techname string")
     assert rows(build_rules(empty)) == []
+
+
+def test_backfill_leaves_what_daily_runs_would(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "feedback")
+    monkeypatch.setattr(
+        feedback, "daily_feedback", lambda taps, events, start, end=None: taps.where(on_days(start, end))
+    )
+    first = str(tmp_path / "first")
+    days(spark, (1, 2017, 1, 9), (2, 2017, 1, 10), (3, 2017, 1, 11)).write.parquet(first)
+    jobs.backfill_feedback(spark, first, first, out, "2017-01-09", "2017-01-11")
+    second = str(tmp_path / "second")
+    days(spark, (7, 2017, 1, 11), (8, 2017, 1, 12)).write.parquet(second)
+    jobs.backfill_feedback(spark, second, second, out, "2017-01-10", "2017-01-11")
+    assert rows(spark.read.parquet(out).select("v", "day")) == [(1, 9), (7, 11)]

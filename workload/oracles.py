@@ -12,7 +12,7 @@ from rulecast.functions import text as t
 from rulecast.plans import catalog as c
 from rulecast.plans import rules as r
 from workload import inputs
-from workload.queries import OTHERS, OWN, PATTERNS, RECENT, RUN_DATE
+from workload.queries import ONE_DAY, OTHERS, OWN, PATTERNS, RECENT, RUN_DATE
 
 
 def q(value) -> str:
@@ -367,3 +367,20 @@ select model, user_agent, count(distinct device_id) as reach from ({SIGHTINGS})
 where id_type = 'HARDWARE_IDFA' and vendor = 'Brand#2' and event_source = 'click' and year = 2024
 group by model, user_agent order by reach desc""",
 }
+
+ORACLES |= {
+    "offer_control_file": ORACLES["offer_control"],
+    # The reader drops rows without a vendor, as it tells title rows by that column.
+    "cluster_file": f"""
+select a.cluster_brand, a.rule, b.rule as models
+from ({ORACLES["cluster_brand_rules"]}) a join ({ORACLES["cluster_model_list"]}) b using (cluster_brand)""".replace(
+        f"from ({LABELLED})", f"from ({LABELLED}) where vendor is not null"
+    ),
+    "feedback_table": ORACLES["feedback_backfill"],
+    "feedback_one_day": f"""
+select f.* from ({ORACLES["feedback_backfill"]}) f, range(2) where sighted_date = date '{ONE_DAY}'""",
+    "exported_rules": f"""
+select *, row_number() over (order by source, uc1_priority nulls first, offer) as line
+from ({ORACLES["daily_rules"]})""",
+    "previewed_rules": f"select least(count(*), 10) as n from ({ORACLES['daily_rules']})",
+}

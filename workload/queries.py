@@ -1,5 +1,7 @@
 """Registered queries: each runs a job of the library over whole driver tables."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rulecast.functions.device_names import catalog_name, device_name
@@ -12,15 +14,19 @@ from rulecast.functions.offers import (
 )
 from rulecast.functions.platform import fix_platform, platform_class
 from rulecast.functions.text import clean_token
-from rulecast.operators.lineage import materialize
+from rulecast.operators.lineage import checkpoint_dir, materialize
 from rulecast.operators.merging import override
 from rulecast.operators.nested import unnest
-from rulecast.plans import audience, catalog, clusters, feedback, offers, outcomes, rules
+from rulecast.plans import audience, catalog, clusters, feedback, jobs, offers, outcomes, rules
 from rulecast.plans.assignment import assign_devices
+from rulecast.sources.readers import preview
+from rulecast.sources.schemas import FEEDBACK
+from rulecast.sources.writers import create_partitioned, write_day
 from workload import inputs
 
 RUN_DATE = "2017-02-01"
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-12-31"
+ONE_DAY = "2024-01-10"
 OWN, OTHERS = ["OWN"], ["OTHER-0", "OTHER-1", "OTHER-2"]
 RECENT = ("2024-01-16", "2024-02-29")
 PATTERNS = {
@@ -281,6 +287,79 @@ def model_reach(spark, sf_dir):
     )
 
 
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def offer_control_file(spark, sf_dir):
+    """The control file as CSV text with a title row in each part, read by position."""
+    path = _scratch(spark, "offers-csv")
+    rows = inputs.offers_raw(spark, sf_dir)
+    title = {c: F.lit("Offer" if c == "offer" else c).alias(c) for c in rows.columns}
+    titles = spark.range(1).select(*title.values())
+    rows.select(*(F.col(c).cast("string") for c in rows.columns)).unionByName(titles).write.csv(path)
+    table = _scratch(spark, "offers")
+    jobs.upload_offer_control(spark, path, table)
+    return spark.read.parquet(table)
+
+
+def cluster_file(spark, sf_dir):
+    """The cluster file as CSV text, to stored rules and model lists, read back."""
+    path, out, models = (_scratch(spark, n) for n in ("clusters-csv", "cluster-rules", "models"))
+    rows = inputs.clusters(spark, sf_dir)
+    blank = [F.lit(None).cast("string").alias(n) for n in ("reach", "price", "year", "month", "time", "size", "px", "h", "w", "age")]
+    laid_out = rows.select("model", blank[0], "marketing_name", "vendor", *blank[1:], F.col("cluster"))
+    laid_out.write.option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path)
+    jobs.build_cluster_rules(spark, path, out, models=models)
+    rules_, lists = spark.read.parquet(out), spark.read.parquet(models)
+    return rules_.join(lists.withColumnRenamed("rule", "models"), "cluster_brand")
+
+
+def _stored_feedback(spark, sf_dir):
+    taps, events = _scratch(spark, "taps"), _scratch(spark, "events")
+    inputs.taps(spark, sf_dir).write.parquet(taps)
+    inputs.tracked_events(spark, sf_dir).write.parquet(events)
+    return taps, events
+
+
+def feedback_table(spark, sf_dir):
+    """Backfill into a new table, a day written again, and the range once more: no row twice."""
+    taps, events = _stored_feedback(spark, sf_dir)
+    out = _scratch(spark, "feedback")
+    create_partitioned(spark, out, FEEDBACK)
+    jobs.backfill_feedback(spark, taps, events, out, FIRST_DAY, LAST_DAY)
+    jobs.run_feedback(spark, taps, events, out, ONE_DAY)
+    jobs.backfill_feedback(spark, taps, events, out, ONE_DAY, LAST_DAY)
+    return spark.read.schema(FEEDBACK).parquet(out)
+
+
+def feedback_one_day(spark, sf_dir):
+    """The scan of one day's partitions."""
+    taps, events = _stored_feedback(spark, sf_dir)
+    out = _scratch(spark, "feedback-day")
+    jobs.run_feedback(spark, taps, events, out, ONE_DAY)
+    jobs.run_feedback(spark, taps, events, out, ONE_DAY, mode="append")
+    return spark.read.schema(FEEDBACK).parquet(out)
+
+
+def exported_rules(spark, sf_dir):
+    """The day's rules, stored, exported as one ordered CSV file and read back with line numbers."""
+    table, out = _scratch(spark, "rules"), _scratch(spark, "rules-csv")
+    jobs.init_rules(spark, table)
+    write_day(daily_rules(spark, sf_dir), table, RUN_DATE)
+    jobs.export_rules(spark, table, out, RUN_DATE)
+    lines = spark.read.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).csv(out)
+    named = lines.toDF("source", "offer", "uc1_priority", "rule", "year", "month", "day")
+    whole = [F.col(c).cast("int").alias(c) for c in ("uc1_priority", "year", "month", "day")]
+    # A single file is read in its order.
+    return named.coalesce(1).select("source", "offer", *whole, "rule", (F.monotonically_increasing_id() + 1).alias("line"))
+
+
+def previewed_rules(spark, sf_dir):
+    """How many rows a look at the day's rules shows."""
+    return preview(daily_rules(spark, sf_dir), 10).agg(F.count("*").alias("n"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -322,5 +401,11 @@ QUERIES = {
         audience_not_recent,
         cluster_reach,
         model_reach,
+        offer_control_file,
+        cluster_file,
+        feedback_table,
+        feedback_one_day,
+        exported_rules,
+        previewed_rules,
     )
 }
