@@ -264,14 +264,16 @@ def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     def decode(batches):
         pieces = model(model_path)
         table = pieces.decode_tables()
-        blank = int(pieces.dummy_prefix)
+        control = {i for i, k in enumerate(pieces.kinds) if k == CONTROL}
+        blank = {i for i, p in enumerate(pieces.pieces) if p.startswith(BLANK)} if pieces.dummy_prefix else set()
         for batch in batches:
             lists = batch.column(1).fill_null([]) if batch.column(1).null_count else batch.column(1)
             offsets, values = lists.offsets.to_pylist(), lists.values.to_pylist()
             found = []
             for a, b in zip(offsets[:-1], offsets[1:], strict=True):
                 raw = b"".join([table[i] for i in values[a:b]])
-                raw = raw[blank:] if raw.startswith(b" ") else raw
+                if next((i for i in values[a:b] if i not in control), None) in blank:
+                    raw = raw[1:]
                 try:
                     found.append(raw.decode())
                 except UnicodeDecodeError:
