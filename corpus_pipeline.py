@@ -26,11 +26,10 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that a document with a smaller id has."""
-    changed = remove_earlier_passages(docs).filter("n_removed > 0").select("doc_id", "kept")
-    text = F.coalesce("kept", "text")
-    joined = docs.join(changed, "doc_id", "left").withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return joined.withColumn("text", text).select(*docs.columns)
+    """All documents, without the passages that a document with a smaller id has; a null text becomes empty."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    found = remove_earlier_passages(docs, carry=others).withColumnRenamed("kept", "text")
+    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

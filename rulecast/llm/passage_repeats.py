@@ -3,8 +3,8 @@
 A window is ``width`` consecutive words. Each window chooses one of its 5-word grams by the
 smallest hash; equal windows choose equally, so a passage can only repeat where a chosen gram
 does. Around each gram that several documents chose, a document's windows make a segment. Equal
-segments are folded, keeping the smallest id, and dealt by gram to reference shards of bounded
-size. A shard's segments become one suffix automaton over words, added in ascending order of
+segments of a task are folded: all but the smallest document's are decided by that alone. The rest
+is dealt by gram to reference shards of bounded size. A shard's segments become one suffix automaton over words, added in ascending order of
 document, so that each state knows the first document of its strings. All segments of the shard's
 grams are streamed through it: the matching statistics tell, for every window, the first document
 that holds it. The whole corpus is reference and query at once, so automata are not broadcast to
@@ -16,16 +16,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulecast.llm.common import ship, small_batches
 from rulecast.llm.repeats import SCHEMA, keep_repeated, marked
+from rulecast.llm.suffix_runs import pack, unpack
 from rulecast.llm.words import EXACT, Words, cut, pieces, window_minima
-from rulecast.operators.lineage import materialize
 
-GRAM, SHARD_WORDS, HELD_BYTES, SHARDS_PER_PARTITION = 5, 60_000, 12 << 20, 64
-DONE, PLACE, SEGMENT, TEXT = range(4)
+GRAM, SHARD_WORDS, HELD_BYTES, SHARDS_PER_PARTITION = 5, 60_000, 40 << 20, 64
 
 
 class SuffixAutomaton:
@@ -135,13 +135,16 @@ def first_documents(segments: list[tuple[bytes, int]], width: int) -> list[list[
     return found
 
 
-def remove_earlier_passages(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_earlier_passages(
+    docs: DataFrame, width: int = 13, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] | None = None
+) -> DataFrame:
     """``doc_id, n_words, n_removed, digest, kept`` of every document.
 
     Words are separated by white space and not changed. Removed is each word covered by a window of
     ``width`` words whose sequence also starts in a document with a smaller id; windows are judged
     on the input. ``kept`` is the text with the removed words and the white space before them taken
-    out, null where nothing is removed; ``digest`` is the SHA-256 of the kept words, one blank
+    out, null where nothing is removed, unless ``carry`` names columns to take along: then every row
+    has its text there, and those columns follow; ``digest`` is the SHA-256 of the kept words, one blank
     between them. A null text has no words. Rows that share an id are one document, as none of them
     is smaller; a row with a null id is compared with nothing and stays whole. Other columns are
     ignored; no rows give no rows.
@@ -150,119 +153,173 @@ def remove_earlier_passages(docs: DataFrame, width: int = 13, doc_id: str = "doc
     ship(spark)
     small_batches(spark)
     buckets = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    taken = [f"carried_{i}" for i in range(len(carry or ()))]
+    carried = [F.col(name).alias(alias) for name, alias in zip(carry or (), taken, strict=True)]
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *carried)
+    # Both joins below shuffle exactly these columns by the id, so Spark does it once.
+    own = own.select("doc_id", F.xxhash64("text").alias("row"), "text", *taken)
 
     def chosen(batches):
         for batch in batches:
             for piece in pieces(batch):
-                which, _, _, sig = choices(cut(piece.column(1), EXACT), width)
+                which, _, _, sig = choices(cut(piece.column(2), EXACT), width)
                 yield marked(sig, piece.column(0).take(pa.array(which)), across_documents=True)
 
-    repeated = keep_repeated(own.filter(F.col("doc_id").isNotNull()).mapInArrow(chosen, SCHEMA))
+    repeated = keep_repeated(own.filter(F.col("doc_id").isNotNull()).select("doc_id", "row", "text").mapInArrow(chosen, SCHEMA))
     candidates = repeated.groupBy("doc").agg(F.collect_set("sig").alias("sigs")).select(F.col("doc").alias("doc_id"), "sigs")
-    joined = own.join(candidates, "doc_id", "left").select("doc_id", "text", "sigs", F.xxhash64("text").alias("row"))
-    kinds = {"kind": pa.int32(), "doc_id": pa.int64(), "row": pa.int64(), "at": pa.int64(), "cid": pa.binary(), "text": pa.string()}
-
-    def rows_of(kind, *columns):
-        n = len(columns[0])
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(([kind] * n, *columns), kinds.values(), strict=True)], names=list(kinds))
+    # Taken along so that the shuffled columns are the same as below.
+    joined = own.join(candidates, "doc_id", "left").select("doc_id", "row", "text", "sigs", *taken)
 
     def segment(batches):
-        held: dict[bytes, list] = {}
-        size = 0
-
-        def flush():
-            rows = [(v[2], v[0] % buckets, cid, v[1]) for cid, v in held.items()]
-            held.clear()
-            for a in range(0, len(rows), 5000):
-                ids, bucket, cids, said = zip(*rows[a : a + 5000], strict=True)
-                yield rows_of(SEGMENT, ids, [None] * len(ids), bucket, cids, [s.decode() for s in said])
-
+        held = Segments(buckets)
         for batch in batches:
             for piece in pieces(batch):
-                ids, sigs, row = (piece.column(i).to_pylist() for i in (0, 2, 3))
-                said = piece.column(1)
+                ids, row, sigs = (piece.column(i).to_pylist() for i in (0, 1, 3))
+                said = piece.column(2)
                 which, first, last, sig = choices(cut(said, EXACT), width)
                 begin = np.searchsorted(which, np.arange(len(ids) + 1))
-                done, places = [], []
                 for i, wanted in enumerate(sigs):
-                    whole = said[i].as_py()
-                    words = whole.encode().split()
                     if not wanted:
-                        done.append((ids[i], None, len(words), hashlib.sha256(b" ".join(words)).digest(), None))
                         continue
-                    yield rows_of(TEXT, [ids[i]], [row[i]], [len(words)], [None], [whole])
+                    words = said[i].as_py().encode().split()
                     here = slice(begin[i], begin[i + 1])
                     keep = np.flatnonzero(np.isin(sig[here], np.array(wanted, np.int64)))
                     for a, b, s in zip(first[here][keep].tolist(), last[here][keep].tolist(), sig[here][keep].tolist(), strict=True):
-                        context = b" ".join(words[a : b + width])
-                        cid = hashlib.blake2b(context, digest_size=16).digest()
-                        places.append((ids[i], row[i], a, cid, None))
-                        known = held.get(cid)
-                        if known is None:
-                            held[cid] = [s, context, ids[i]]
-                            size += len(context) + 200
-                        elif ids[i] < known[2]:
-                            known[2] = ids[i]
-                if done:
-                    yield rows_of(DONE, *zip(*done, strict=True))
-                if places:
-                    yield rows_of(PLACE, *zip(*places, strict=True))
-                if size > HELD_BYTES:
-                    yield from flush()
-                    size = 0
-        if held:
-            yield from flush()
-
-    made = materialize(joined.mapInArrow(segment, "kind int, doc_id bigint, row bigint, at bigint, cid binary, text string"))
+                        held.add(b" ".join(words[a : b + width]), s, ids[i], row[i], a, b - a + 1)
+                if held.size > HELD_BYTES:
+                    yield from held.flush()
+        yield from held.flush()
 
     def stream(batches):
-        bucket, held = None, {}
-
-        def found():
-            firsts = first_documents(list(held.values()), width)
-            cids = list(held)
-            for a in range(0, len(cids), 5000):
-                yield pa.RecordBatch.from_arrays([pa.array(cids[a : a + 5000], pa.binary()), pa.array(firsts[a : a + 5000], pa.list_(pa.int64()))], names=["cid", "firsts"])
-
+        bucket, held = None, []
         for batch in batches:
-            for number, cid, doc, said in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            out = []
+            for number, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if payload[:1] == KNOWN:
+                    out.extend(_decided(payload))
+                    continue
                 if number != bucket and held:
-                    yield from found()
-                    held = {}
+                    out.extend(_streamed(held, width))
+                    held = []
                 bucket = number
-                if cid not in held:  # rows come in ascending order of document
-                    held[cid] = (said.encode(), doc)
-        if held:
-            yield from found()
-
-    segments = made.filter(F.col("kind") == SEGMENT).select(F.col("at").alias("bucket"), "cid", "doc_id", "text")
-    firsts = segments.repartition("bucket").sortWithinPartitions("bucket", "doc_id").mapInArrow(stream, "cid binary, firsts array<bigint>")
-    places = made.filter(F.col("kind") == PLACE).select("doc_id", "row", "at", "cid").join(firsts, "cid")
-    starts = F.filter(F.transform("firsts", lambda d, k: F.when(d < F.col("doc_id"), F.col("at") + k)), lambda x: x.isNotNull())
-    hits = places.select("doc_id", "row", starts.alias("starts")).filter(F.size("starts") > 0)
-    hits = hits.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    cut_ = made.filter(F.col("kind") == TEXT).select("doc_id", "row", "text").join(hits, ["doc_id", "row"], "left").select("doc_id", "text", "starts")
+                held.append(payload)
+            yield from _hits(out)
+        yield from _hits(_streamed(held, width))
+
+    blocks = joined.mapInArrow(segment, "bucket bigint, payload binary")
+    hits = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stream, "doc_id bigint, row bigint, starts array<int>")
+    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("row", "starts")).alias("hits"))
+    found = own.join(hits, "doc_id", "left").select("doc_id", "row", "text", "hits", *taken)
 
     def remove(batches):
         for batch in batches:
-            out = []
-            for said, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words = said.encode().split()
-                change = np.zeros(len(words) + 1, np.int64)
-                if found:
-                    np.add.at(change, np.array(found), 1)
-                    np.add.at(change, np.array(found) + width, -1)
-                keep = np.cumsum(change[:-1]) == 0
-                kept = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
-                out.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).digest(), _without(said, keep) if len(kept) < len(words) else None))
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.string())
-            columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 4, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_words", "n_removed", "digest", "kept"])
-
-    changed = cut_.mapInArrow(remove, "doc_id bigint, n_words bigint, n_removed bigint, digest binary, kept string")
-    same = made.filter(F.col("kind") == DONE).select("doc_id", F.col("at").alias("n_words"), F.lit(0).cast("bigint").alias("n_removed"), F.col("cid").alias("digest"), F.lit(None).cast("string").alias("kept"))
-    return same.unionByName(changed)
+            for piece in pieces(batch):
+                out = []
+                for row, said, hits_ in zip(*(piece.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                    words = said.encode().split()
+                    starts = [k for hit in hits_ or [] if hit["row"] == row for k in hit["starts"]]
+                    if not starts:
+                        out.append((len(words), 0, hashlib.sha256(b" ".join(words)).digest(), None if carry is None else said))
+                        continue
+                    change = np.zeros(len(words) + 1, np.int64)
+                    np.add.at(change, np.array(starts), 1)
+                    np.add.at(change, np.array(starts) + width, -1)
+                    keep = np.cumsum(change[:-1]) == 0
+                    kept = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
+                    out.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).digest(), _without(said, keep)))
+                types = (pa.int64(), pa.int64(), pa.binary(), pa.string())
+                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)]
+                more = [piece.column(4 + i) for i in range(len(taken))]
+                yield pa.RecordBatch.from_arrays([piece.column(0), *columns, *more], names=["doc_id", "n_words", "n_removed", "digest", "kept", *taken])
+
+    kinds = "".join(f", {name} {own.schema[name].dataType.simpleString()}" for name in taken)
+    out = found.mapInArrow(remove, f"doc_id bigint, n_words bigint, n_removed bigint, digest binary, kept string{kinds}")
+    return out.withColumnsRenamed(dict(zip(taken, carry or (), strict=True)))
+
+
+#: What a block of rows is: occurrences that are decided, or segments that ask the shard.
+KNOWN, ASKED = b"k", b"a"
+
+
+class Segments:
+    """Segments that a task has met, each with the smallest document that it has been met in.
+
+    An occurrence in another document is later than that one in all its windows, so it is decided
+    here; only the smallest document's occurrences ask the shard. So a segment sends one document
+    per task, however many have it.
+    """
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+        self.least: dict[bytes, tuple] = {}
+        self.decided: list[tuple] = []
+        self.size = 0
+
+    def add(self, said: bytes, sig: int, doc: int, row: int, at: int, windows: int) -> None:
+        known = self.least.get(said)
+        if known is None:
+            self.least[said] = (sig, doc, [(row, at)], windows)
+            self.size += len(said) + 300
+        elif known[1] == doc:
+            known[2].append((row, at))
+        elif known[1] < doc:
+            self.decided.append((doc, row, at, windows))
+            self.size += 60
+        else:
+            self.decided.extend((known[1], r, k, windows) for r, k in known[2])
+            self.least[said] = (sig, doc, [(row, at)], windows)
+
+    def flush(self):
+        compress = zstandard.ZstdCompressor(level=3).compress
+        rows = []
+        for a in range(0, len(self.decided), 2000):
+            part = np.array(self.decided[a : a + 2000], np.int64).T
+            body = pack([(part[0], "<i8"), (part[1], "<i8"), (part[2], "<i4"), (part[3], "<i4")])
+            rows.append((hash((a, self.decided[a])) & (1 << 62) - 1, KNOWN + compress(body)))
+        by_bucket: dict[int, list] = {}
+        for said, (sig, doc, places, _) in self.least.items():
+            by_bucket.setdefault(sig % self.buckets, []).extend((said, doc, row, at) for row, at in places)
+        for bucket, found in by_bucket.items():
+            found.sort()
+            said, doc, row, at = zip(*found, strict=True)
+            body = pack([(np.array(doc), "<i8"), (np.array(row), "<i8"), (np.array(at), "<i4"), (np.frombuffer(b"\n".join(said), np.uint8), "u1")])
+            rows.append((bucket, ASKED + compress(body)))
+        for a in range(0, len(rows), 200):
+            keys, payloads = zip(*rows[a : a + 200], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(payloads, pa.binary())], names=["bucket", "payload"])
+        self.least.clear()
+        self.decided.clear()
+        self.size = 0
+
+
+def _decided(payload: bytes):
+    body = zstandard.ZstdDecompressor().decompress(payload[1:])
+    for doc, row, at, windows in zip(*(x.tolist() for x in unpack(body, ["<i8", "<i8", "<i4", "<i4"])), strict=True):
+        yield doc, row, list(range(at, at + windows))
+
+
+def _streamed(payloads: list[bytes], width: int):
+    """``(doc, row, starts)`` of the windows in one bucket that an earlier document has."""
+    asked = []
+    for payload in payloads:
+        doc, row, at, said = unpack(zstandard.ZstdDecompressor().decompress(payload[1:]), ["<i8", "<i8", "<i4", "u1"])
+        asked.extend(zip(said.tobytes().split(b"\n"), doc.tolist(), row.tolist(), at.tolist(), strict=True))
+    least: dict[bytes, int] = {}
+    for said, doc, _, _ in asked:
+        least[said] = min(doc, least.get(said, doc))
+    ordered = sorted(least.items(), key=lambda x: (x[1], x[0]))
+    firsts = dict(zip((said for said, _ in ordered), first_documents(ordered, width), strict=True))
+    for said, doc, row, at in asked:
+        starts = [at + k for k, first in enumerate(firsts[said]) if first < doc]
+        if starts:
+            yield doc, row, starts
+
+
+def _hits(found):
+    out = list(found)
+    for a in range(0, len(out), 2000):
+        doc, row, starts = zip(*out[a : a + 2000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(starts, pa.list_(pa.int32()))], names=["doc_id", "row", "starts"])
 
 
 def _without(said: str, keep: np.ndarray) -> str:
