@@ -14,6 +14,7 @@ from rulecast.functions.offers import (
     tactic_to_offer,
 )
 from rulecast.functions.text import clean_token, rule_pattern, rule_text
+from rulecast.plans.catalog import impute_price
 
 
 def one(spark, column, **values):
@@ -63,6 +64,22 @@ def test_clean_token(spark, name, token):
     assert one(spark, clean_token(F.col("n")), n=name) == token
 
 
+@pytest.mark.parametrize("name, token", [("sprd- ab", "ab"), ("telecom-2 x1", "x1")])
+def test_overlapping_marks_cut_the_longest_head(spark, name, token):
+    assert one(spark, clean_token(F.col("n")), n=name) == token
+
+
+@pytest.mark.parametrize(
+    "mark, price",
+    [("iris", "80"), ("lava", "80"), ("smart", "80"), ("true", "80"), ("dtac", "80"), ("joey", "80"), ("blade", "80"),
+     ("eagle", "80"), ("i-mobile", "130"), ("i-style", "130"), ("vivo", "340"), ("asus", "125"), ("htc", "470"), ("lg", "270"),
+     ("huawei", "300"), ("sm-", "370"), ("gt-", "370"), ("x9009", "400"), ("wiko", "130"), ("nokia", None)],
+)
+def test_price_by_mark(spark, mark, price):
+    assert one(spark, impute_price(F.col("n"), F.lit(None).cast("string")), n=f"a {mark}1") == price
+    assert one(spark, impute_price(F.col("n"), F.lit("7")), n=mark) == "7"
+
+
 def test_rule_text_and_pattern(spark):
     rule = one(spark, rule_text(F.col("t")), t="a1|b2")
     assert rule == 'userAgent(".*(?i)(a1|b2).*")'
