@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         around = _both_ways(current)
         least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = around.join(least, "u").filter("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
-        large = large.filter("a <> b").distinct()
+        large = large.filter("a <> b")
         smaller = large.select(F.col("b").alias("u"), F.col("a").alias("v"))
         least = smaller.groupBy("u").agg(F.min("v").alias("m"))
         small = smaller.join(least, "u").select(F.col("m").alias("a"), F.explode(F.array("u", "v")).alias("b"))
