@@ -255,9 +255,9 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80,
         nodes = nodes.unionByName(more)
     compared = nodes.join(sets.select("rep", "n", "sketch"), "rep").select("node", "rep", "n", "sketch")
     first = large.groupBy("node").agg(F.min("rep").alias("b"))
-    stars = large.join(first, "node").filter("rep <> b").select(F.col("b").alias("a"), F.col("rep").alias("b"), F.lit(threshold).alias("agree"))
-    close = _compare(compared, threshold, least).unionByName(stars)
-    close = materialize(close.groupBy("a", "b").agg(F.max("agree").alias("agree")))
+    stars = large.join(first, "node").filter("rep <> b").select(F.col("b").alias("a"), F.col("rep").alias("b"), F.lit(threshold).alias("agree"), F.lit(True).alias("hub"))
+    close = _compare(compared, threshold, least).withColumn("hub", F.lit(False)).unionByName(stars)
+    close = materialize(close.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("hub").alias("hub")))
     involved = close.select(F.col("a").alias("rep")).union(close.select("b")).union(large.select("rep")).distinct()
     said = own.withColumnRenamed("doc_id", "rep").join(involved, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text"))
     said = materialize(said)
@@ -265,8 +265,10 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80,
     for best in (3, 8, None):
         pairs = close if links is None else _across(close, labels)
         if best is not None:
-            partners = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("end"))
-            order = Window.partitionBy("end").orderBy(F.desc("agree"), "a", "b")
+            # The best partners of each end, and as many of the hubs of its large nodes: those join
+            # the clusters that the nearest partners form.
+            partners = pairs.select("a", "b", "agree", "hub", F.explode(F.array("a", "b")).alias("end"))
+            order = Window.partitionBy("end", "hub").orderBy(F.desc("agree"), "a", "b")
             pairs = partners.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= best).select("a", "b").distinct()
         pairs = materialize(pairs.select("a", "b"))
         if links is not None and not pairs.head(1):
@@ -276,8 +278,9 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80,
         labels = materialize(connected_components(links))
         if best == 3 and large.head(1):
             members = large.select("node", "rep").join(sets.select("rep", "n", "sketch"), "rep")
-            more = _compare_large(members, labels, threshold, least)
-            close = materialize(close.unionByName(more).groupBy("a", "b").agg(F.max("agree").alias("agree")))
+            more = _compare_large(members, labels, threshold, least).withColumn("hub", F.lit(False))
+            close = _across(close, labels).unionByName(more)
+            close = materialize(close.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("hub").alias("hub")))
     named = classes.join(labels, classes.rep == labels.id, "left").select("key", F.coalesce("component", "rep").alias("component"))
     found = sketched.select("doc_id", "n_shingles", "key").join(named, "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
@@ -289,4 +292,4 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     one = labels.select(F.col("id").alias("a"), F.col("component").alias("la"))
     other = labels.select(F.col("id").alias("b"), F.col("component").alias("lb"))
     joined = pairs.join(one, "a", "left").join(other, "b", "left")
-    return joined.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "agree")
+    return joined.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "agree", "hub")
