@@ -9,7 +9,7 @@ from rulecast.llm.op5_query import OP5_SQL, op5_substring_dedup
 from rulecast.llm.op6_query import op6_token_files
 from rulecast.llm.op7_query import op7_sentencepiece
 from rulecast.llm.op8_query import op8_phrase_fingerprints
-from rulecast.llm.op9_query import op9_minhash_near_dedup
+from rulecast.llm.op9_query import OP9_SQL, op9_minhash_near_dedup
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
@@ -28,4 +28,5 @@ ORACLES = {
     "op2_decontamination": OP2_SQL,
     "op4_chat_formatting": OP4_SQL,
     "op5_substring_dedup": OP5_SQL,
+    "op9_minhash_near_dedup": OP9_SQL,
 }
