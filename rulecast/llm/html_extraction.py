@@ -2,15 +2,17 @@
 
 Markup is stripped to lines, one per block element. Elements that are no article text by their
 kind (scripts, menus, page headers and footers, sidebars, forms, ...) or by what their class, id
-or role says (adverts, cookie notices, reader comments, ...) leave blank lines. A line's weight is
-its text outside links if that is the larger part, else nothing. Weights are summed over windows
-of ``WINDOW`` lines: a stretch of lines starts to surge where the sum rises from zero and dives
-where it is zero again, and is kept if the sum reaches ``SURGE`` in between, or if it lies in an
-article element, whose bounds the page itself tells. A page where nothing surges keeps its
-heaviest stretch.
+or role says (adverts, cookie notices, reader comments, ...) leave blank lines. A line's weight is its text outside links if that is the larger part, else
+nothing. Weights are summed over windows of ``WINDOW`` lines: a stretch of lines starts to surge
+where the sum rises from zero and dives where it is zero again, and is kept if the sum reaches
+``SURGE`` in between. A page where nothing surges keeps its heaviest stretch.
+
+What the page tells of its structure adjusts the stretches that are kept: windows end at the bounds of article elements, and a stretch in an
+article grows to its bounds. A page's only article is kept if it has any text.
 """
 
 import re
+from bisect import bisect_left, bisect_right
 from html import unescape
 
 import pyarrow as pa
@@ -37,8 +39,12 @@ HINTS = {
     "related", "respond", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar",
     "widget", "widgets", "masthead", "replies",
 }
+COMMENTS = {"comment", "comments", "disqus", "replies", "respond"}
+ADS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "cookie", "cookies", "consent", "gdpr", "sponsor", "sponsored"}
+#: Hints on article elements only.
+CARDS = {"card", "cards", "teaser", "teasers", "tile"}
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
-_HINTED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HINTED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -88,19 +94,27 @@ def _tokens(html: str):
             yield ("void" if tag in VOID or inside.endswith("/") else "open"), tag, inside
 
 
-def _hinted(inside: str) -> bool:
-    return any(
-        word in HINTS
-        for value in _HINTED.finditer(inside)
-        for word in _WORD.findall((value[1] or value[2] or value[3] or "").lower())
-    )
+def _hints(tokens: list, i: int) -> set[str]:
+    """The hints among the words of an element's class, id and role."""
+    _, tag, inside = tokens[i]
+    names = HINTS | CARDS if tag == "article" else HINTS
+    found: set[str] = set()
+    for value in _HINTED.finditer(inside):
+        for token in (value[2] or value[3] or value[4] or "").lower().split():
+            words = [w for w in _WORD.findall(token) if len(w) > 1]
+            hints = {w for w in words if w in names}
+            if not hints:
+                continue
+            found |= hints
+    return found
 
 
-def _elements(tokens: list) -> tuple[set[int], set[int], dict[int, int]]:
-    """Token numbers at which dropped and article elements open, and where each element closes.
+def _elements(tokens: list) -> tuple[set[int], list[int], dict[int, int]]:
+    """Token numbers at which dropped and outermost article elements open, and where each element closes.
 
-    An element that never closes is none: an unclosed menu must not swallow the page. One that
-    holds an article is not dropped.
+    An element that never closes is none: an unclosed menu must not swallow the page. Articles that
+    a hint tells against are dropped unless they hold most of the page's text outside links. What
+    holds all articles of the page is not dropped, unless it is named after comments or related.
     """
     open_at: dict[str, list[int]] = {}
     ends: dict[int, int] = {}
@@ -109,36 +123,79 @@ def _elements(tokens: list) -> tuple[set[int], set[int], dict[int, int]]:
             open_at.setdefault(tag, []).append(i)
         elif kind == "close" and open_at.get(tag):
             ends[open_at[tag].pop()] = i
-    articles = {i for i in ends if tokens[i][1] in ARTICLE}
-    if not articles and open_at.get("article"):  # cut off before its end
-        articles = {open_at["article"][0]}
+    if not any(tokens[i][1] in ARTICLE for i in ends) and open_at.get("article"):  # cut off before its end
         ends[open_at["article"][0]] = len(tokens)
-    first = sorted(articles)
-    dropped, holds = set(), lambda i: any(i < a < ends[i] for a in first)
-    inside_article = lambda i: any(a < i < ends[a] for a in first)
+    hints = {i: found for i in ends if (found := _hints(tokens, i))}
+    before, until, in_link = [0], -1, 0
+    for i, (kind, tag, value) in enumerate(tokens):
+        if i in ends and tag in DROPPED and tag != "form":
+            until = max(until, ends[i])
+        if tag == "a":
+            in_link = max(0, in_link + (1 if kind == "open" else -1))
+        before.append(before[-1] + (len(" ".join(value.split())) if kind == "text" and not in_link and i > until else 0))
+
+    def most(i: int) -> bool:
+        held = before[min(ends[i] + 1, len(tokens))] - before[i]
+        said = hints.get(i, set())
+        if said & ADS:
+            return held == before[-1]
+        if said & COMMENTS:
+            beside = any(tokens[k][1] in ARTICLE and k not in hints and not (k < i < ends[k] or i < k < ends[i]) for k in ends)
+            return before[-1] - held < SURGE and not beside
+        return 2 * held > before[-1]
+
+    articles = sorted(i for i in ends if tokens[i][1] in ARTICLE and (tokens[i][1] == "main" or i not in hints or most(i)))
+    outer: list[int] = []
+    for i in articles:
+        if not outer or i > ends[outer[-1]]:
+            outer.append(i)
+    dropped = set()
     for i in ends:
-        _, tag, inside = tokens[i]
-        if tag in ("html", "body") or tag in ARTICLE:
+        tag, said = tokens[i][1], hints.get(i, set())
+        if tag in ("html", "body", "main") or i in articles:
+            continue
+        place = bisect_left(outer, i) - 1
+        by_tag = tag in DROPPED or (tag == "header" and not (place >= 0 and i < ends[outer[place]]))
+        if not by_tag and not said:
             continue
-        if (tag in DROPPED or (tag == "header" and not inside_article(i)) or _hinted(inside)) and not holds(i):
+        held = bisect_left(articles, ends[i]) - bisect_right(articles, i)
+        shields = bool(articles) and held == len(articles) and not said & (COMMENTS | {"related"})
+        if not shields:
             dropped.add(i)
-    return dropped, articles, ends
+    return dropped, outer, ends
+
 
+class Line:
+    """A line's text and weight, the token that ended it, and the elements it stands in; -1 is the page."""
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, in an article) per line; a dropped element gives ``WINDOW`` blank lines."""
+    __slots__ = ("text", "weight", "at", "block", "article")
+
+    def __init__(self, text: str, weight: int, at: int, block: int, article: int):
+        self.text, self.weight, self.at, self.block, self.article = text, weight, at, block, article
+
+
+def lines_of(html: str) -> tuple[list[Line], dict[int, int]]:
+    """The lines of a page, blank ones for dropped elements, and where each of their containers closes.
+
+    ``block`` becomes the container of a line: the element around its paragraph, or the one whose
+    text it is if that holds paragraphs as well.
+    """
     tokens = list(_tokens(html))
     dropped, articles, ends = _elements(tokens)
-    lines: list[tuple[str, int, bool]] = []
+    first = set(articles)
+    lines: list[Line] = []
     said: list[str] = []
-    linked, in_link, until, article_until = 0, 0, -1, -1
+    linked, in_link, article = 0, 0, -1
+    stack: list[int] = []
+    above: dict[int, int] = {}
+    parents: set[int] = set()
 
     def end_line():
         nonlocal linked
         text = " ".join(unescape("".join(said)).split())
         if text:
             plain = len(text) - min(linked, len(text))
-            lines.append((text, len(text) if 2 * plain >= len(text) else 0, i <= article_until))
+            lines.append(Line(text, len(text) if 2 * plain >= len(text) else 0, i, stack[-1] if stack else -1, article))
         said.clear()
         linked = 0
 
@@ -152,7 +209,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
         elif i in dropped:
             if tag in BLOCKS or tag in DROPPED:
                 end_line()
-                lines.extend([("", 0, i <= article_until)] * WINDOW)
+                lines.extend([Line("", 0, i, -1, article)] * WINDOW)
             i = ends[i] + 1
             continue
         elif tag == "a":
@@ -161,33 +218,52 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             said.append(" ")
         elif tag in BLOCKS:
             end_line()
-            if i in articles:
-                article_until = max(article_until, ends[i])
+            while stack and ends[stack[-1]] <= i:
+                stack.pop()
+            if article >= 0 and ends[article] <= i:
+                article = -1
+            if kind == "open":
+                if stack:
+                    parents.add(stack[-1])
+                if i in first:
+                    article = i
+                if i in ends and tag not in ("html", "body"):
+                    above[i] = stack[-1] if stack else -1
+                    stack.append(i)
         i += 1
     end_line()
-    return lines
+    for line in lines:
+        if line.block >= 0 and line.block not in parents and tokens[line.block][1] not in ARTICLE:
+            line.block = above[line.block]
+    return lines, ends
 
 
 def main_text(html: str | None) -> str:
-    lines = lines_of(html or "")
-    weights = [w for _, w, _ in lines]
-    sums = [sum(weights[i : i + WINDOW]) for i in range(len(lines))]
+    lines, ends = lines_of(html or "")
     stretches: list[tuple[int, int]] = []
-    start = None
-    for i in range(len(lines) + 1):
-        if i < len(lines) and sums[i] > 0:
-            if start is None and weights[i]:
+    edges = [0, *(k for k in range(1, len(lines)) if lines[k].article != lines[k - 1].article), len(lines)]
+    sums: list[int] = []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        start = None
+        for i in range(a, b):
+            sums.append(sum(line.weight for line in lines[i : min(i + WINDOW, b)]))
+            if not sums[i]:
+                if start is not None:
+                    stretches.append((start, i))
+                start = None
+            elif start is None and lines[i].weight:
                 start = i
-        elif start is not None:
-            stretches.append((start, i))
-            start = None
-    keep = [inside for _, _, inside in lines]
-    if not any(keep[i] and lines[i][0] for i in range(len(lines))):
-        surging = [(a, b) for a, b in stretches if max(sums[a:b]) >= SURGE]
-        surging = surging or sorted(stretches, key=lambda s: -sum(weights[s[0] : s[1]]))[:1]
-        for a, b in surging:
-            keep[a:b] = [True] * (b - a)
-    return "\n\n".join(text for (text, _, _), kept in zip(lines, keep, strict=True) if kept and text)
+        if start is not None:
+            stretches.append((start, b))
+    heavy = lambda s: sum(line.weight for line in lines[s[0] : s[1]])
+    articles = {line.article for line in lines if line.article >= 0}
+    kept = [(a, b) for a, b in stretches if max(sums[a:b]) >= SURGE]
+    kept = kept or sorted(stretches, key=lambda s: (lines[s[0]].article < 0, -heavy(s)))[:1]
+    keep = [False] * len(lines)
+    for a, b in kept:
+        keep[a:b] = [True] * (b - a)
+    whole = articles if len(articles) == 1 or not stretches else {lines[a].article for a, _ in kept} - {-1}
+    return "\n\n".join(line.text for line, k in zip(lines, keep, strict=True) if line.text and (k or line.article in whole))
 
 
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -88,6 +88,22 @@ def test_main_text_without_article_element():
     assert main_text(inside) == f"The title & more\n\nFirst paragraph, {long.strip()}\n\nShort.\n\na < b &amp; c < d"
 
 
+def test_main_text_beside_article_elements():
+    long = "words and words " * 12
+    said = f"Title\n\n{long.strip()}"
+    body = f"<div class=body><h1>Title</h1><p>{long}</p></div>"
+    card = '<article class="card"><h3>Another post</h3><p>Read on.</p></article>'
+    comment = f'<article class="comment-body" id="comment-7"><p>Reader: {long}</p></article>'
+    links = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>"
+    assert main_text(f"<body>{body}{card}{card}</body>") == said
+    assert main_text(f"<body>{body}<section id=comments>{comment}{comment}</section></body>") == said
+    assert main_text(f"<body>{body}<article><p>Teaser one.</p></article><article><p>Teaser two.</p></article></body>") == said
+    assert main_text(f"<body><p>My site</p><article><h1>Title</h1><p>{long}</p>{links}<p>End.</p>{comment}</article><p>Small print</p></body>") == f"{said}\n\nOne\n\nTwo\n\nThree\n\nEnd."
+    assert main_text(f"<body>{body}{links}<article class='post'><p>{long}</p></article>{card}</body>") == f"{said}\n\n{long.strip()}"
+    assert main_text('<article class="card"><h1>Title</h1><p>All there is.</p></article>') == "Title\n\nAll there is."
+    assert main_text(f"<article><p>Short.</p></article><div><p>{long}</p></div>") == f"Short.\n\n{long.strip()}"
+
+
 def test_main_text_of_odd_pages(spark):
     assert [main_text(x) for x in (None, "", "<nav>only</nav>", "plain", "<p>a<p>b", "<nav><p>unclosed menu", "<" * 50)] == ["", "", "", "plain", "a\n\nb", "unclosed menu", "<" * 50]
     assert main_text("<p>" + "x y\n" * 50_000) == " ".join(["x y"] * 50_000)
