@@ -2,12 +2,14 @@
 
 Markup is stripped to lines, one per block element. Elements that are no article text by their
 kind (scripts, menus, page headers and footers, sidebars, forms, ...) or by what their class, id
-or role says (adverts, cookie notices, reader comments, ...) leave blank lines. A line's weight is its text outside links if that is the larger part, else
+or role says (adverts, cookie notices, reader comments, ...) give no lines and do not part the
+lines around them. A line's weight is its text outside links if that is the larger part, else
 nothing. Weights are summed over windows of ``WINDOW`` lines: a stretch of lines starts to surge
 where the sum rises from zero and dives where it is zero again, and is kept if the sum reaches
 ``SURGE`` in between. A page where nothing surges keeps its heaviest stretch.
 
-What the page tells of its structure adjusts the stretches that are kept: windows end at the bounds of article elements, and a stretch in an
+What the page tells of its structure adjusts the stretches that are kept: weak lines that stand in
+the same container join them, windows end at the bounds of article elements, and a stretch in an
 article grows to its bounds. A page's only article is kept if it has any text.
 """
 
@@ -175,7 +177,7 @@ class Line:
 
 
 def lines_of(html: str) -> tuple[list[Line], dict[int, int]]:
-    """The lines of a page, blank ones for dropped elements, and where each of their containers closes.
+    """The lines of a page, without dropped elements, and where each of their containers closes.
 
     ``block`` becomes the container of a line: the element around its paragraph, or the one whose
     text it is if that holds paragraphs as well.
@@ -209,7 +211,6 @@ def lines_of(html: str) -> tuple[list[Line], dict[int, int]]:
         elif i in dropped:
             if tag in BLOCKS or tag in DROPPED:
                 end_line()
-                lines.extend([Line("", 0, i, -1, article)] * WINDOW)
             i = ends[i] + 1
             continue
         elif tag == "a":
@@ -263,7 +264,19 @@ def main_text(html: str | None) -> str:
     for a, b in kept:
         keep[a:b] = [True] * (b - a)
     whole = articles if len(articles) == 1 or not stretches else {lines[a].article for a, _ in kept} - {-1}
-    return "\n\n".join(line.text for line, k in zip(lines, keep, strict=True) if line.text and (k or line.article in whole))
+    containers = {line.block for line, k in zip(lines, keep, strict=True) if k}
+    closed: list[tuple[int, int]] = []
+    for c in sorted(containers - {-1}):
+        if not closed or c > closed[-1][1]:
+            closed.append((c, ends[c]))
+    starts = [c for c, _ in closed]
+
+    def joins(line: Line) -> bool:
+        """Whether a line that has weight stands in a container of kept lines."""
+        place = bisect_left(starts, line.at) - 1
+        return bool(line.weight) and (line.block in containers or (place >= 0 and line.at <= closed[place][1]))
+
+    return "\n\n".join(line.text for line, k in zip(lines, keep, strict=True) if k or line.article in whole or joins(line))
 
 
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

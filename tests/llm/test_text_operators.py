@@ -104,6 +104,19 @@ def test_main_text_beside_article_elements():
     assert main_text(f"<article><p>Short.</p></article><div><p>{long}</p></div>") == f"Short.\n\n{long.strip()}"
 
 
+def test_main_text_keeps_weak_lines_of_the_body():
+    long = "words and words " * 12
+    links = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>"
+    form, ad = f"<form><p>{long}</p></form>", '<div class="ad">Buy now</div>'
+    page = PAGE % {"long": long}
+    assert main_text(page) == f"The title & more\n\nFirst paragraph, {long.strip()}\n\nShort.\n\na < b &amp; c < d"
+    for between in (form + ad, ad, links, form + links):
+        parts = f"<p>First.</p>{between}<p>{long}</p>{between}<p>Middle.</p>{between}<p>{long}</p>{between}<ul><li>Last.</li></ul>"
+        want = f"First.\n\n{long.strip()}\n\nMiddle.\n\n{long.strip()}\n\nLast."
+        assert main_text(f"<body><div><p>Welcome</p></div>{links}<div class=post>{parts}</div>{links}<div><p>Bye</p></div></body>") == want
+        assert main_text(f"<div><p>Few.</p>{between}<p>Words.</p>{ad}</div>") == "Few.\n\nWords."
+
+
 def test_main_text_of_odd_pages(spark):
     assert [main_text(x) for x in (None, "", "<nav>only</nav>", "plain", "<p>a<p>b", "<nav><p>unclosed menu", "<" * 50)] == ["", "", "", "plain", "a\n\nb", "unclosed menu", "<" * 50]
     assert main_text("<p>" + "x y\n" * 50_000) == " ".join(["x y"] * 50_000)
