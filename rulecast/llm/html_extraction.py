@@ -41,10 +41,17 @@ HINTS = {
     "related", "respond", "search", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "topbar",
     "widget", "widgets", "masthead", "replies",
 }
+#: What a hint may be joined to in one token ("cookie-bar", "share-buttons"); with other words it says nothing.
+COMPANIONS = {
+    "area", "bar", "block", "bottom", "box", "button", "buttons", "container", "dfp", "div", "google", "gpt", "header", "icons", "inner",
+    "item", "items", "left", "links", "list", "main", "outer", "page", "post", "posts", "primary", "right", "secondary", "section", "site",
+    "slot", "stories", "thread", "top", "unit", "wrap", "wrapper",
+}
 COMMENTS = {"comment", "comments", "disqus", "replies", "respond"}
 ADS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "cookie", "cookies", "consent", "gdpr", "sponsor", "sponsored"}
-#: Hints on article elements only.
-CARDS = {"card", "cards", "teaser", "teasers", "tile"}
+#: Hints on article elements only, and what they may be joined to there.
+CARDS, CARD_COMPANIONS = {"card", "cards", "teaser", "teasers", "tile"}, {"article", "blog", "body", "entry", "news", "story"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _HINTED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -96,16 +103,37 @@ def _tokens(html: str):
             yield ("void" if tag in VOID or inside.endswith("/") else "open"), tag, inside
 
 
+def _slug(text: str) -> list[str]:
+    return _WORD.findall(unescape(text).lower())
+
+
+def _heading_id(tokens: list, i: int, name: str) -> bool:
+    """Whether ``name`` is the id of a heading, or made from the one its element begins with."""
+    said = None
+    for kind, tag, value in tokens[i : i + 12]:
+        if kind == "open" and tag in HEADINGS:
+            said = []
+        elif kind == "close" and tag in HEADINGS:
+            break
+        elif kind == "text" and said is not None:
+            said.append(value)
+        elif kind == "text" and value.strip():
+            return False
+    return tokens[i][1] in HEADINGS or (said is not None and _slug("".join(said)) == _slug(name))
+
+
 def _hints(tokens: list, i: int) -> set[str]:
-    """The hints among the words of an element's class, id and role."""
+    """The hints that whole tokens of an element's class, id and role are made of."""
     _, tag, inside = tokens[i]
-    names = HINTS | CARDS if tag == "article" else HINTS
+    names, beside = (HINTS | CARDS, COMPANIONS | CARD_COMPANIONS) if tag == "article" else (HINTS, COMPANIONS)
     found: set[str] = set()
     for value in _HINTED.finditer(inside):
         for token in (value[2] or value[3] or value[4] or "").lower().split():
             words = [w for w in _WORD.findall(token) if len(w) > 1]
             hints = {w for w in words if w in names}
-            if not hints:
+            if not hints or any(w not in names and w not in beside for w in words):
+                continue
+            if value[1].lower() == "id" and (tag in HEADINGS or not hints & COMMENTS) and _heading_id(tokens, i, token):
                 continue
             found |= hints
     return found
@@ -114,9 +142,11 @@ def _hints(tokens: list, i: int) -> set[str]:
 def _elements(tokens: list) -> tuple[set[int], list[int], dict[int, int]]:
     """Token numbers at which dropped and outermost article elements open, and where each element closes.
 
-    An element that never closes is none: an unclosed menu must not swallow the page. Articles that
-    a hint tells against are dropped unless they hold most of the page's text outside links. What
-    holds all articles of the page is not dropped, unless it is named after comments or related.
+    An element that never closes is none: an unclosed menu must not swallow the page. A form and
+    what only a hint tells against are not dropped if they hold most of the page's text outside
+    links; reader comments only if no article and hardly any text, adverts and notices of cookies
+    only if no text at all stands beside them. What holds all articles of the page is not dropped
+    either, unless it is named after comments or related.
     """
     open_at: dict[str, list[int]] = {}
     ends: dict[int, int] = {}
@@ -162,7 +192,7 @@ def _elements(tokens: list) -> tuple[set[int], list[int], dict[int, int]]:
             continue
         held = bisect_left(articles, ends[i]) - bisect_right(articles, i)
         shields = bool(articles) and held == len(articles) and not said & (COMMENTS | {"related"})
-        if not shields:
+        if not shields and ((by_tag and tag != "form") or not most(i)):
             dropped.add(i)
     return dropped, outer, ends
 

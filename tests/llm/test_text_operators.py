@@ -114,9 +114,28 @@ def test_main_text_keeps_weak_lines_of_the_body():
         parts = f"<p>First.</p>{between}<p>{long}</p>{between}<p>Middle.</p>{between}<p>{long}</p>{between}<ul><li>Last.</li></ul>"
         want = f"First.\n\n{long.strip()}\n\nMiddle.\n\n{long.strip()}\n\nLast."
         assert main_text(f"<body><div><p>Welcome</p></div>{links}<div class=post>{parts}</div>{links}<div><p>Bye</p></div></body>") == want
+    for between in (ad, links):
         assert main_text(f"<div><p>Few.</p>{between}<p>Words.</p>{ad}</div>") == "Few.\n\nWords."
 
 
+def test_main_text_reads_whole_tokens_of_class_and_id():
+    long = "words and words " * 12
+    said = f"Title\n\n{long.strip()}"
+    body = f"<h1>Title</h1><p>{long}</p>"
+    for name in ("layout has-sidebar", "no-sidebar", "with-nav", "widget", "sidebar-left", "comments"):
+        assert main_text(f'<body><div class="{name}">{body}</div><footer>us</footer></body>') == said
+    assert main_text(f"<body><form action=/ id=aspnet>{body}</form></body>") == said
+    for element, inside in (("article", "id"), ("div", "id"), ("div", "class")):
+        page = f'<{element}>{body}<section {inside}="related-work"><p>Others.</p></section><h2 id="search-results">Found</h2><p>This.</p></{element}>'
+        assert main_text(page) == f"{said}\n\nOthers.\n\nFound\n\nThis."
+    page = f'<article>{body}<section id="search"><h2>Search</h2><p>How it works.</p></section><h2 id="menu">Menu</h2><p>Soup.</p></article>'
+    assert main_text(page) == f"{said}\n\nSearch\n\nHow it works.\n\nMenu\n\nSoup."
+    for name in ("ad", "ads-top", "related-posts", "cookie-bar", "site-nav", "share-buttons", "comments-area"):
+        assert main_text(f'<div>{body}</div><div id="{name}"><p>{long[:-20]}</p></div>') == said
+    assert main_text(f"<article>{body}</article><div class=comments>{f'<p>{long}</p>' * 9}</div>") == said
+    assert main_text(f'<article><p>Short.</p></article><div class="ad">{long}</div>') == "Short."
+
+
 def test_main_text_of_odd_pages(spark):
     assert [main_text(x) for x in (None, "", "<nav>only</nav>", "plain", "<p>a<p>b", "<nav><p>unclosed menu", "<" * 50)] == ["", "", "", "plain", "a\n\nb", "unclosed menu", "<" * 50]
     assert main_text("<p>" + "x y\n" * 50_000) == " ".join(["x y"] * 50_000)
