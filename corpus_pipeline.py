@@ -1,6 +1,6 @@
 """From raw documents to token ids: the stages of a training corpus, each on all that the one before kept."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -20,9 +20,17 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each class of near duplicates."""
-    dropped = near_duplicate_classes(docs, shingle=5, percent=80).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One document, the one with the smallest id, of each class of near duplicates.
+
+    Rows are judged by their own texts where they share an id; of rows with the same id and text,
+    one stays. Rows without id or without words are near duplicates of nothing and all stay.
+    """
+    classes = near_duplicate_classes(docs, shingle=5, percent=80, rows=True).filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    marks = classes.groupBy("doc_id", "row").agg(F.min("kept").alias("kept"), F.count("*").alias("times")).filter(~F.col("kept") | (F.col("times") > 1))
+    marked = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit("")))).join(marks, ["doc_id", "row"], "left")
+    place = F.row_number().over(Window.partitionBy("doc_id", "row").orderBy(*(c for c in docs.columns if c not in ("doc_id", "text"))))
+    once = marked.filter(F.coalesce("kept", F.lit(True))).withColumn("place", place)
+    return once.filter(F.col("times").isNull() | (F.col("place") == 1)).select(*docs.columns)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

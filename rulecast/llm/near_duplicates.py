@@ -60,7 +60,7 @@ def minima(shingles: np.ndarray, factors: np.ndarray, threshold: float) -> tuple
 
 
 def _sketched(docs: DataFrame, size: int, threshold: float, trees: int, levels: int) -> DataFrame:
-    """``doc_id, n_shingles, key, low, second, sketch``: the set's digest and its minima, null if empty.
+    """``doc_id, row, n_shingles, key, low, second, sketch``: the set's digest and its minima, null if empty.
 
     The sketch has one byte of each minimum.
     """
@@ -81,9 +81,9 @@ def _sketched(docs: DataFrame, size: int, threshold: float, trees: int, levels:
                     second = second.astype(np.uint32).view(np.int32).tolist()
                     rows.append((len(shingles), key, low.astype(np.uint32).view(np.int32).tolist(), [s if c else None for s, c in zip(second, chosen.tolist(), strict=True)], low.astype(np.uint8).tobytes()))
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([piece.column(0), *columns], names=["doc_id", "n_shingles", "key", "low", "second", "sketch"])
+                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), *columns], names=["doc_id", "row", "n_shingles", "key", "low", "second", "sketch"])
 
-    return docs.mapInArrow(sketch, "doc_id bigint, n_shingles bigint, key binary, low array<int>, second array<int>, sketch binary")
+    return docs.select("doc_id", "text", "row").mapInArrow(sketch, "doc_id bigint, row bigint, n_shingles bigint, key binary, low array<int>, second array<int>, sketch binary")
 
 
 def _near(sketch: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float, least: float) -> np.ndarray:
@@ -207,8 +207,9 @@ def _compare_large(large: DataFrame, labels: DataFrame, threshold: float, least:
     return dealt.select(group, "rep", "n", "sketch", "label").repartition("group").sortWithinPartitions("group").mapInArrow(compare, "a bigint, b bigint, agree double")
 
 
-def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80, trees: int = TREES) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document.
+def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80, trees: int = TREES, rows: bool = False) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every document; with ``rows`` also ``row``, the
+    ``xxhash64`` of its text.
 
     Documents with ``100 * |intersection| >= percent * |union|`` of their sets of ``shingle``-word
     shingles are linked; ``component_id`` is the smallest id reachable, and ``kept`` tells whether
@@ -223,15 +224,15 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80,
     ship(spark)
     small_batches(spark)
     threshold = percent / 100
-    own = texts(docs)
+    own = texts(docs).withColumn("row", F.xxhash64("text"))
     levels = max(3, math.ceil(math.log(max(2, own.count()) / SMALL_NODE, 20)))
     hashes = trees * levels
     least = threshold - SLACK * math.sqrt(threshold * (1 - threshold) / hashes)
     sketched = materialize(_sketched(own, shingle, threshold, trees, levels))
     known = sketched.filter(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
-    classes = known.groupBy("key").agg(F.min("doc_id").alias("rep"))
-    sets = known.groupBy("key").agg(F.min_by(F.struct("doc_id", "n_shingles", "low", "second", "sketch"), "doc_id").alias("s"))
-    sets = materialize(sets.select(F.col("s.doc_id").alias("rep"), F.col("s.n_shingles").alias("n"), "s.low", "s.second", "s.sketch"))
+    # Rows that share an id may have different sets, so a set is known by a number of its own.
+    sets = known.groupBy("key").agg(F.min_by(F.struct("doc_id", "row", "n_shingles", "low", "second", "sketch"), F.struct("doc_id", "row")).alias("s"))
+    sets = materialize(sets.select(F.monotonically_increasing_id().alias("rep"), "key", "s.doc_id", "s.row", F.col("s.n_shingles").alias("n"), "s.low", "s.second", "s.sketch"))
 
     def tokens(tree, level: int):
         at = tree * levels + level
@@ -259,8 +260,9 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80,
     close = _compare(compared, threshold, least).withColumn("hub", F.lit(False)).unionByName(stars)
     close = materialize(close.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("hub").alias("hub")))
     involved = close.select(F.col("a").alias("rep")).union(close.select("b")).union(large.select("rep")).distinct()
-    said = own.withColumnRenamed("doc_id", "rep").join(involved, "rep", "left_semi").groupBy("rep").agg(F.min("text").alias("text"))
-    said = materialize(said)
+    involved = sets.select("rep", "doc_id", "row").join(involved, "rep")
+    said = own.join(involved, ["doc_id", "row"]).groupBy("doc_id", "row").agg(F.min("rep").alias("rep"), F.min("text").alias("text"))
+    said = materialize(said.select("rep", "text"))
     links = labels = None
     for best in (3, 8, None):
         pairs = close if links is None else _across(close, labels)
@@ -281,10 +283,12 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80,
             more = _compare_large(members, labels, threshold, least).withColumn("hub", F.lit(False))
             close = _across(close, labels).unionByName(more)
             close = materialize(close.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("hub").alias("hub")))
-    named = classes.join(labels, classes.rep == labels.id, "left").select("key", F.coalesce("component", "rep").alias("component"))
-    found = sketched.select("doc_id", "n_shingles", "key").join(named, "key", "left")
+    named = sets.select("key", "rep", "doc_id").join(labels, sets.rep == labels.id, "left").select("key", "doc_id", F.coalesce("component", "rep").alias("label"))
+    least = named.groupBy("label").agg(F.min("doc_id").alias("component"))
+    found = sketched.select("doc_id", "row", "n_shingles", "key").join(named.select("key", "label").join(least, "label"), "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    kept = F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), kept, *(["row"] if rows else []))
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 import string
 
+import corpus_pipeline
 import pytest
 from helpers import WORD, corpus, documents, prose
 
@@ -68,6 +69,19 @@ def test_null_ids_and_repeated_rows_stay(spark):
     assert near_duplicate_classes(documents(spark, [])).collect() == []
 
 
+def test_rows_that_share_an_id_are_linked_by_their_own_texts(spark):
+    rnd = random.Random(9)
+    one, other = prose(rnd, 60), prose(rnd, 60)
+    near = lambda text: f"{text} more"
+    rows = [(5, one), (5, other), (7, near(one)), (8, near(other)), (4, near(near(other))), (9, "alone"), (9, "alone"), (9, None), (9, None)]
+    got = near_duplicate_classes(documents(spark, rows), 2, 80, rows=True).drop("row", "n_shingles").collect()
+    want = [(5, 5, True), (5, 4, False), (7, 5, False), (8, 4, False), (4, 4, True), *[(9, 9, True)] * 4]
+    assert sorted(tuple(r) for r in got) == sorted(want)
+    docs = documents(spark, [*rows, (None, one), (None, one)]).drop("row")
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, "").select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(5, one), (4, near(near(other))), (9, "alone"), (9, None), (9, None), (None, one), (None, one)], key=repr)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(20, 60)] + [(5, k) for k in range(100, 130)] + [(7, 7), (130, 129), (130, 129)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
