@@ -177,15 +177,26 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -
     return w.tolist()
 
 
+def windows_of(said: list[str], window: int, most: int) -> list[bytes]:
+    """At most about ``most`` windows of the texts, evenly spread over all their words."""
+    step = max(1, -(-sum(-(-len(text.split()) // window) for text in said) // most))
+    out, at = [], 0
+    for text in said:
+        words = text.split()
+        starts = range(0, len(words), window)
+        for a in starts[-at % step :: step]:
+            out.append((" " + " ".join(w.lower().strip(MARKS) for w in words[a : a + window]) + " ").encode())
+        at += len(starts)
+    return [s for s in out if s.strip()]
+
+
 def train(toxic: list[str], ordinary: list[str], share: float, window: int = 1) -> ToxicityModel:
     """A model from labelled texts; ``share`` is the part of toxic texts among all that have labels.
 
     Without toxic or without ordinary texts the score is ``share`` for every text.
     """
     one, other = pa.array(toxic, pa.string()), pa.array(ordinary, pa.string())
-    samples = [(" " + " ".join(w.lower().strip(MARKS) for w in text.split()[a : a + window]) + " ").encode() for text in ordinary for a in range(0, 40 * window, window)]
-    samples = [s for s in samples if s.strip()]
-    samples = samples[:: max(1, len(samples) // SAMPLES)]
+    samples = windows_of(ordinary, window, SAMPLES)
     try:
         common = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
         head, content, raw = *_split(common), False

@@ -15,7 +15,7 @@ from test_text_operators import windows
 import __spark_entry__ as driver
 import corpus_pipeline
 from rulecast.llm.registry import ORACLES, QUERIES
-from rulecast.llm.toxicity import fit_toxicity, keep_ordinary, score_toxicity
+from rulecast.llm.toxicity import fit_toxicity, keep_ordinary, score_toxicity, windows_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,6 +45,14 @@ def test_toxicity_on_held_out_documents(spark):
     assert recall > 0.8 and alarm < 0.02  # a few of the labels stand for nothing in the text
 
 
+def test_training_windows_come_from_whole_texts():
+    said = [" ".join(f"t{i}w{k}" for k in range(n)) for i, n in enumerate((500, 0, 7, 100))]
+    assert windows_of(said, 1, 10_000) == [f" {w} ".encode() for text in said for w in text.split()]
+    few = windows_of(said, 1, 100)
+    assert 80 <= len(few) <= 100 and few == windows_of(said, 1, 10_000)[::7]
+    assert windows_of(["A, b c! d"], 3, 5) == [b" a b c ", b" d "] and windows_of([], 1, 5) == []
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)] + [(None, 1), (5, None), (7, 0), (7, 1)], "doc_id bigint, toxic int")
     said = [(i, f"some plain words here number{i} " * 8 + ("nastyword vileword " if i % 3 == 0 else "")) for i in range(90)]
