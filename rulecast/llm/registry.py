@@ -1,6 +1,8 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
 from rulecast.llm.op10_query import op10_suffix_dedup
+from rulecast.llm.op12_query import op12_importance_resampling
+from rulecast.llm.op13_query import op13_byte_bpe
 from rulecast.llm.op1_query import op1_toxicity
 from rulecast.llm.op2_query import OP2_SQL, op2_decontamination
 from rulecast.llm.op3_query import op3_html_extraction
@@ -22,6 +24,8 @@ QUERIES = {
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLES = {
