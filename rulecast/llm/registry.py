@@ -1,7 +1,8 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
 from rulecast.llm.op10_query import op10_suffix_dedup
-from rulecast.llm.op12_query import op12_importance_resampling
+from rulecast.llm.op11_query import OP11_SQL, op11_periodic_runs
+from rulecast.llm.op12_query import OP12_SQL, op12_importance_resampling
 from rulecast.llm.op13_query import op13_byte_bpe
 from rulecast.llm.op1_query import op1_toxicity
 from rulecast.llm.op2_query import OP2_SQL, op2_decontamination
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_byte_bpe": op13_byte_bpe,
 }
@@ -33,4 +35,6 @@ ORACLES = {
     "op4_chat_formatting": OP4_SQL,
     "op5_substring_dedup": OP5_SQL,
     "op9_minhash_near_dedup": OP9_SQL,
+    "op11_periodic_runs": OP11_SQL,
+    "op12_importance_resampling": OP12_SQL,
 }
