@@ -14,7 +14,6 @@ def with_periodic_ends(docs: DataFrame) -> DataFrame:
     g = F.floor(h / 10)
     words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     n = F.size("words").cast("bigint")
-    a = F.col("g") % n
     p = 1 + F.expr("(n - a) div (3 + g % 8)")
 
     def word(i: Column) -> Column:
@@ -22,7 +21,7 @@ def with_periodic_ends(docs: DataFrame) -> DataFrame:
 
     chosen = docs.select("doc_id", "text", (h % 10 == 0).alias("chosen"), g.alias("g"))
     cut = chosen.withColumn("words", F.when(F.col("chosen"), words)).withColumn("n", F.when(F.col("chosen") & (n > 0), n))
-    placed = cut.withColumn("a", a).withColumn("p", p)
+    placed = cut.withColumn("a", F.col("g") % F.col("n")).withColumn("p", p)
     periodic = F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), word), " ")
     return placed.select("doc_id", F.when(F.col("n").isNotNull(), periodic).otherwise(F.col("text")).alias("text"))
 
