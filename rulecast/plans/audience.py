@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rulecast.functions.patterns import factored, quoted
+from rulecast.operators.dictionary import containing
 from rulecast.operators.lineage import materialize
 from rulecast.operators.merging import exclude
 from rulecast.operators.skew import salted_join, spread_evenly
@@ -65,7 +66,7 @@ def matched_clusters(agents: DataFrame, patterns: Mapping[str, str], literal: bo
 
 def cluster_reach(
     dataset: DataFrame,
-    patterns: Mapping[str, str],
+    patterns: Mapping[str, str] | DataFrame,
     own_carriers: Sequence[str],
     other_carriers: Sequence[str],
     own_window: Window | None,
@@ -78,7 +79,9 @@ def cluster_reach(
     """Distinct ids per cluster on other carriers and not, by the same cluster, on the own one.
 
     ``patterns`` gives each cluster its regular expression, or with ``literal=True`` its tokens
-    separated by ``|``. All clusters are counted in one pass: patterns see each distinct user agent
+    separated by ``|``: as a mapping, whose patterns are tried on each distinct user agent, or as a
+    table of ``cluster, pattern``, which meets user agents by a dictionary of its alternatives and
+    may have any number of clusters. All clusters are counted in one pass: patterns see each distinct user agent
     once, and a single aggregation per cluster and id tells both sides apart. Clusters that reach
     nobody have no row. ``materialized`` keeps the distinct (id, user agent) pairs as a table, so
     that the dataset is read once.
@@ -94,7 +97,10 @@ def cluster_reach(
     )
     if materialized:
         sightings = materialize(sightings)
-    clusters = matched_clusters(sightings, patterns, literal)
+    if isinstance(patterns, DataFrame):
+        clusters = containing(sightings, "user_agent", patterns, "cluster", "pattern", literal)
+    else:
+        clusters = matched_clusters(sightings, patterns, literal)
     by_cluster = salted_join(sightings, clusters, ["user_agent"], F.col(id_column))
     return (
         by_cluster.groupBy("cluster", id_column)

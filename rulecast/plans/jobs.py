@@ -171,12 +171,9 @@ def run_cluster_reach(
     own_window,
     **options,
 ) -> None:
-    """Distinct ids of the audience per cluster label, by the patterns of stored cluster rules.
-
-    The patterns, one per label, are read here; there are as many as clusters and brands.
-    """
-    rows = spark.read.parquet(cluster_rules).select("cluster_brand", rule_pattern(F.col("rule")))
-    patterns = dict(tuple(r) for r in rows.toLocalIterator())
+    """Distinct ids of the audience per cluster label, by the patterns of stored cluster rules."""
+    pattern = rule_pattern(F.col("rule")).alias("pattern")
+    patterns = spark.read.parquet(cluster_rules).select(F.col("cluster_brand").alias("cluster"), pattern)
     with scratch_tables(spark):
         reach = audience.cluster_reach(
             spark.read.parquet(dataset), patterns, own_carriers, other_carriers, own_window, **options

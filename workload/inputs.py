@@ -152,6 +152,24 @@ select 'M' || upper(substr(p.p_name, 1, 1)) || substr(p.p_name, 2, 20) || cast(p
        cast(case when p.p_size = 50 then null when p.p_size = 49 then 6.5 else p.p_size % 8 end as double) as cluster
 from {part} p"""
 
+# Alternatives of ten clusters, 99 to 636 of them at 2,000 parts: models as user agents have them,
+# with regular expressions among them, and numbers.
+CLUSTER_TOKENS = """
+select case when p.p_partkey % 200 < 63 then '0' when p.p_partkey % 200 < 91 then '1_SS'
+            when p.p_partkey % 200 < 109 then '1_OTH' when p.p_partkey % 200 < 126 then '2_SS'
+            when p.p_partkey % 200 < 142 then '2_OEM' when p.p_partkey % 200 < 156 then '3'
+            when p.p_partkey % 200 < 168 then '4' when p.p_partkey % 200 < 179 then '5'
+            when p.p_partkey % 200 < 190 then '6' else '7' end as cluster,
+       case p.p_partkey % 7
+         when 0 then 'SM-' || replace(p.p_name, ' ', '_') || cast(p.p_partkey % 50 as string)
+         when 1 then replace(p.p_name, ' ', '.') || cast(p.p_partkey % 50 as string) || ' build'
+         when 2 then replace(p.p_name, ' ', '(_)') || cast(p.p_partkey % 50 as string) || '/'
+         when 3 then replace(p.p_name, ' ', '_+') || cast(p.p_partkey % 50 as string) || '+'
+         when 4 then 'ia ' || cast(p.p_partkey % 1000 as string) || '20'
+         when 5 then 'rm-' || cast(p.p_partkey as string)
+         else replace(p.p_name, ' ', '_') || cast(p.p_partkey % 50 as string) end as token
+from {part} p"""
+
 FEEDBACK = f"""
 select cast(l.l_shipdate as date) as sighted_date,
        case when l.l_orderkey % 50 = 49 then null else 'offer-' || cast(l.l_suppkey as string) end as offer,

@@ -282,6 +282,11 @@ where carrier in ({words(OTHERS)}) and not exists (
     and own.carrier in ({words(OWN)}) and {IN_WINDOW})
 group by cluster having count(distinct device_id) > 0"""
 
+AGENTS_OF_CLUSTERS = f"""
+select distinct user_agent, cluster
+from (select distinct user_agent from ({SIGHTINGS})) join ({inputs.sql_for(inputs.CLUSTER_TOKENS)})
+  on regexp_matches(user_agent, '(?i)' || token)"""
+
 ORACLES = {
     "offer_control": OFFER_CONTROL,
     "active_offers": ACTIVE,
@@ -362,6 +367,11 @@ from ({LABELLED}) group by cluster_brand""",
 select c.* from ({COMPETITORS}) c left join ({RECENT_OWN}) o on c.device_id = o.device_id
 where o.device_id is null""",
     "cluster_reach": REACH,
+    "cluster_reach_long_rules": REACH.replace(
+        f"from seen join (values {PATTERN_ROWS}) v(cluster, pattern) on regexp_matches(user_agent, pattern)",
+        f"from seen join ({AGENTS_OF_CLUSTERS}) using (user_agent)",
+    ),
+    "agents_of_clusters": AGENTS_OF_CLUSTERS,
     "model_reach": f"""
 select model, user_agent, count(distinct device_id) as reach from ({SIGHTINGS})
 where id_type = 'HARDWARE_IDFA' and vendor = 'Brand#2' and event_source = 'click' and year = 2024

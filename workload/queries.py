@@ -14,6 +14,8 @@ from rulecast.functions.offers import (
 )
 from rulecast.functions.platform import fix_platform, platform_class
 from rulecast.functions.text import clean_token
+from rulecast.operators.aggregates import ordered_concat
+from rulecast.operators.dictionary import containing
 from rulecast.operators.lineage import checkpoint_dir, materialize
 from rulecast.operators.merging import override
 from rulecast.operators.nested import unnest
@@ -281,6 +283,26 @@ def cluster_reach(spark, sf_dir):
     )
 
 
+def _cluster_patterns(spark, sf_dir):
+    """Cluster and pattern of the ten long rules."""
+    tokens = inputs.derive(spark, sf_dir, inputs.CLUSTER_TOKENS)
+    listed = ordered_concat(tokens.distinct(), ["cluster"], F.col("token"), "|", "tokens")
+    return listed.select("cluster", F.concat(F.lit("(?i)("), "tokens", F.lit(")")).alias("pattern"))
+
+
+def cluster_reach_long_rules(spark, sf_dir):
+    """Reach by rules of hundreds of alternatives, found by their dictionary."""
+    return audience.cluster_reach(
+        inputs.sightings(spark, sf_dir), _cluster_patterns(spark, sf_dir), OWN, OTHERS, RECENT
+    )
+
+
+def agents_of_clusters(spark, sf_dir):
+    """The clusters of each distinct user agent, by the same rules."""
+    agents = inputs.sightings(spark, sf_dir)
+    return containing(agents, "user_agent", _cluster_patterns(spark, sf_dir), "cluster", "pattern")
+
+
 def model_reach(spark, sf_dir):
     return audience.model_reach(
         inputs.sightings(spark, sf_dir), "HARDWARE_IDFA", "Brand#2", "click", 2024
@@ -400,6 +422,8 @@ QUERIES = {
         audience_recent_own,
         audience_not_recent,
         cluster_reach,
+        cluster_reach_long_rules,
+        agents_of_clusters,
         model_reach,
         offer_control_file,
         cluster_file,
