@@ -8,9 +8,12 @@ without, and texts meet alternatives by equality of pieces. Only these pairs are
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rulecast.operators.lineage import materialize
+from rulecast.operators.skew import salted_join
 
 #: Length of a piece; alternatives with less literal text have shorter ones.
 GRAM = 4
+#: Up to this size in memory the index goes to every executor, beyond it the join shuffles.
+BROADCAST_BYTES = 32 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 LIST = r"(?s)^\(\?i\)\((.*)\)$"
@@ -92,13 +95,25 @@ def rarest_pieces(dictionary: DataFrame, texts: DataFrame, sizes: list[int]) ->
     return rare.where("_rare.n > 0").groupBy(F.col("_rare.gram").alias("gram")).agg(F.collect_list(held).alias("_list"))
 
 
+def _met(pieces: DataFrame, index: DataFrame) -> DataFrame:
+    """Texts' pieces with the alternatives listed under them.
+
+    Spark takes a table for as large as the one that it is exploded from, and would send all pieces
+    of the texts to every executor; so the index's own size decides.
+    """
+    one = F.aggregate("_list", F.lit(0).cast("bigint"), lambda n, a: n + 150 + 2 * F.coalesce(F.length(a["said"]), F.length(a["regex"])))
+    size = index.agg(F.sum(F.lit(100) + one)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return pieces.join(F.broadcast(index), "gram")
+    return salted_join(pieces, index.hint("merge"), ["gram"], F.col("text"))
+
+
 def containing(texts: DataFrame, text: str, patterns: DataFrame, key: str, pattern: str, literal: bool = False) -> DataFrame:
     """Distinct ``text`` and ``key`` of the patterns that each distinct text contains.
 
     The result is that of ``rlike(text, pattern)`` for every pair. Work grows with the length of the
-    texts and with the pairs that share a rare piece, not with texts times patterns. The dictionary
-    is an ordinary table: it is broadcast if Spark measures it as small, and shuffled if not. NULL
-    texts match nothing.
+    texts and with the pairs that share a rare piece, not with texts times patterns. NULL texts match
+    nothing.
     """
     dictionary = materialize(alternatives(patterns, key, pattern, literal))
     distinct = materialize(texts.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).distinct())
@@ -106,8 +121,8 @@ def containing(texts: DataFrame, text: str, patterns: DataFrame, key: str, patte
     sizes = sorted(r[0] for r in dictionary.select(length).distinct().collect())  # at most GRAM + 1 numbers
     if not sizes:
         return distinct.select(F.col("text").alias(text), F.lit(None).cast(patterns.schema[key].dataType).alias(key)).limit(0)
-    index = rarest_pieces(dictionary, distinct, sizes)
-    met = _exploded(distinct, sizes).join(index, "gram")
+    index = materialize(rarest_pieces(dictionary, distinct, sizes))
+    met = _met(_exploded(distinct, sizes), index)
     pairs = met.select("text", "_folded", F.explode("_list").alias("_a"))
     found = F.when(F.col("_a.said").isNotNull(), F.contains("_folded", F.col("_a.said"))).otherwise(F.rlike("text", F.col("_a.regex")))
     return pairs.where(found).select(F.col("text").alias(text), F.col("_a.key").alias(key)).distinct()

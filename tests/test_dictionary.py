@@ -47,6 +47,15 @@ def test_literal_tokens(spark):
     assert found(spark, texts, patterns, literal=True) == brute(texts, [p for p in patterns if p[0] != "3"], True) + [("é[1]", "3")]
 
 
+def test_a_large_index_is_shuffled(spark, monkeypatch):
+    texts, patterns = [f"ab{i} x{i % 3}" for i in range(50)], [("1", "(?i)(ab1|x2)"), ("2", "(?i)(b(4)|x0?)")]
+    monkeypatch.setattr("rulecast.operators.dictionary.BROADCAST_BYTES", 0)
+    said = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = containing(said, "t", spark.createDataFrame(patterns, "k string, p string"), "k", "p")
+    assert sorted(map(tuple, got.collect())) == brute(texts, patterns, False)
+    assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_empty_sides_and_alternatives(spark):
     assert found(spark, [], [("1", "(?i)(a)")]) == []
     assert found(spark, ["a"], []) == []
