@@ -9,17 +9,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rulecast.functions.dates import as_date, yesterday
 from rulecast.functions.text import rule_pattern
+from rulecast.operators.distinct_state import new_numbers
 from rulecast.operators.lineage import materialize, scratch_tables
-from rulecast.plans import audience, catalog, clusters, feedback, offers, rules
+from rulecast.plans import audience, catalog, clusters, feedback, offers, reach_state, rules
+from rulecast.sources.publishing import Published, replace_days, table_exists
 from rulecast.sources.readers import on_days, read_device_clusters, read_offer_control
-from rulecast.sources.schemas import FEEDBACK, PARTITION, RULES
+from rulecast.sources.schemas import FEEDBACK, RULES
 from rulecast.sources.writers import (
-    clear_days,
     create_partitioned,
     export_csv,
     replace_table,
     write_day,
-    write_days,
 )
 
 # The titles of the exported files, and the first day of data.
@@ -50,23 +50,18 @@ def run_feedback(
 
 def backfill_feedback(
     spark: SparkSession, taps: str, events: str, out: str, start=FIRST_DAY, end=None, **options
-) -> None:
+) -> Published:
     """All days from ``start`` to ``end`` in one job; leaves what a run for each day would leave.
 
-    Days with feedback are replaced; a day of the range that has none (any more) has no partition
-    afterwards, and days outside the range stay as they are.
+    Days whose feedback has changed are replaced; a day of the range that has none (any more) has no
+    partition afterwards, and days outside the range stay as they are. The days change together: a
+    run that stops leaves the old table or is finished by the next one.
     """
     first, last = as_date(start), _day(end)
-    with scratch_tables(spark):
-        table = materialize(
-            feedback.daily_feedback(
-                spark.read.parquet(taps), spark.read.parquet(events), first, last, **options
-            )
-        )
-        # One row per day of the range at most.
-        days = {dt.date(*row) for row in table.select(*PARTITION).distinct().toLocalIterator()}
-        write_days(table, out)
-    clear_days(spark, out, first, last, days)
+    table = feedback.daily_feedback(
+        spark.read.parquet(taps), spark.read.parquet(events), first, last, **options
+    )
+    return replace_days(table, out, first, last)
 
 
 def init_feedback(spark: SparkSession, taps: str, events: str, out: str, **options) -> None:
@@ -172,9 +167,8 @@ def run_cluster_reach(
     **options,
 ) -> None:
     """Distinct ids of the audience per cluster label, by the patterns of stored cluster rules."""
-    pattern = rule_pattern(F.col("rule")).alias("pattern")
-    patterns = spark.read.parquet(cluster_rules).select(F.col("cluster_brand").alias("cluster"), pattern)
     with scratch_tables(spark):
+        patterns = _cluster_patterns(spark, cluster_rules)
         reach = audience.cluster_reach(
             spark.read.parquet(dataset), patterns, own_carriers, other_carriers, own_window, **options
         )
@@ -186,6 +180,47 @@ def run_model_reach(spark: SparkSession, dataset: str, out: str, *conditions, **
     replace_table(audience.model_reach(spark.read.parquet(dataset), *conditions, **options), out)
 
 
+def update_reach_state(
+    spark: SparkSession,
+    dataset: str,
+    numbers: str,
+    state: str,
+    start=None,
+    end=None,
+    cluster_rules: str | None = None,
+    id_column: str = "device_id",
+    **options,
+) -> None:
+    """Add the sightings of some days, yesterday by default, to the stored state of reach.
+
+    Only these days are read. ``numbers`` holds the number of every id so far, ``state`` one
+    partition per day: of models, or with ``cluster_rules`` of the clusters by these rules. A day
+    that is run again replaces its partition; a day without sightings has none afterwards. Numbers
+    are stored before the state, so a run that stops in between is simply repeated.
+    """
+    first = _day(start)
+    last = first if end is None else as_date(end)
+    rows = spark.read.parquet(dataset).where(on_days(first, last))
+    ids = f"id {rows.schema[id_column].dataType.simpleString()}, number bigint"
+    if not table_exists(spark, numbers):
+        spark.createDataFrame([], ids).write.parquet(numbers)
+    with scratch_tables(spark):
+        known = spark.read.schema(ids).parquet(numbers)
+        new_numbers(rows, id_column, known).write.mode("append").parquet(numbers)
+        known = spark.read.schema(ids).parquet(numbers)
+        if cluster_rules is None:
+            blocks = reach_state.model_days(rows, known, id_column, **options)
+        else:
+            patterns = _cluster_patterns(spark, cluster_rules)
+            blocks = reach_state.cluster_days(rows, known, patterns, id_column=id_column, **options)
+        replace_days(blocks, state, first, last)
+
+
+def _cluster_patterns(spark: SparkSession, cluster_rules: str) -> DataFrame:
+    pattern = rule_pattern(F.col("rule")).alias("pattern")
+    return spark.read.parquet(cluster_rules).select(F.col("cluster_brand").alias("cluster"), pattern)
+
+
 def build_audience(
     spark: SparkSession,
     dataset: str,

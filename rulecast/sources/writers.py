@@ -46,17 +46,6 @@ def write_days(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def clear_days(spark: SparkSession, path: str, start: dt.date, end: dt.date, keep: set[dt.date]) -> None:
-    """Remove the partitions from ``start`` to ``end``, both included, of days not in ``keep``."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    day = start
-    while day <= end:
-        if day not in keep:
-            target = hadoop.Path(f"{path}/year={day.year}/month={day.month}/day={day.day}")
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        day += dt.timedelta(days=1)
-
-
 def export_csv(df: DataFrame, path: str, order: list[str], titles: list[str]) -> None:
     """One ordered CSV file with its own title line.
 
