@@ -7,14 +7,12 @@ blocks of many days are merged by OR. Counts are exact. Blocks with few ids are
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rulecast.operators.lineage import materialize
 
 #: Up to so many ids a block is a list of places; its bitmap would have 4 KB.
 FEW = 256
-NUMBERS = "id {0}, number bigint"
 SKETCH_SIZE = 12
 
 _PART = 33  # bits of a row's place within its partition in monotonically_increasing_id
@@ -61,7 +59,7 @@ def id_blocks(rows: DataFrame, keys: Sequence[str], id_column: str, numbers: Dat
 
 def merged(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``*keys, block, bits``: the union of the blocks of each group."""
-    listed = blocks.where("few is not null").select(*keys, "block", F.explode("few").cast("bigint").alias("place"))
+    listed = blocks.where("few is not null").select(*keys, "block", F.explode(F.col("few").cast("array<bigint>")).alias("place"))
     from_lists = listed.groupBy(*keys, "block").agg(F.bitmap_construct_agg("place").alias("bits"))
     whole = blocks.where("bits is not null").select(*keys, "block", "bits")
     return whole.unionByName(from_lists).groupBy(*keys, "block").agg(F.bitmap_or_agg("bits").alias("bits"))

@@ -12,7 +12,7 @@ from rulecast.functions import text as t
 from rulecast.plans import catalog as c
 from rulecast.plans import rules as r
 from workload import inputs
-from workload.queries import ONE_DAY, OTHERS, OWN, PATTERNS, RECENT, RUN_DATE
+from workload.queries import ONE_DAY, OTHERS, OWN, PATTERNS, RECENT, RUN_DATE, WINDOWS
 
 
 def q(value) -> str:
@@ -378,7 +378,21 @@ where id_type = 'HARDWARE_IDFA' and vendor = 'Brand#2' and event_source = 'click
 group by model, user_agent order by reach desc""",
 }
 
+def in_window(days) -> str:
+    return f"make_date(year, month, day) between date '{days[0]}' and date '{days[1]}'"
+
+
 ORACLES |= {
+    "model_reach_windows": " union all ".join(
+        f"""select model, user_agent, count(distinct device_id) as reach, '{w[0]}' as first_day from ({SIGHTINGS})
+where id_type = 'HARDWARE_IDFA' and vendor = 'Brand#2' and event_source = 'click' and {in_window(w)}
+group by model, user_agent having count(device_id) > 0"""
+        for w in WINDOWS
+    ),
+    "cluster_reach_windows": " union all ".join(
+        f"select *, '{w[0]}' as first_day from ({ORACLES['cluster_reach_long_rules'].replace(IN_WINDOW, in_window(w))})"
+        for w in WINDOWS
+    ),
     "offer_control_file": ORACLES["offer_control"],
     # The reader drops rows without a vendor, as it tells title rows by that column.
     "cluster_file": f"""

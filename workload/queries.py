@@ -1,6 +1,7 @@
 """Registered queries: each runs a job of the library over whole driver tables."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,13 +14,13 @@ from rulecast.functions.offers import (
     tactic_to_offer,
 )
 from rulecast.functions.platform import fix_platform, platform_class
-from rulecast.functions.text import clean_token
+from rulecast.functions.text import clean_token, rule_text
 from rulecast.operators.aggregates import ordered_concat
 from rulecast.operators.dictionary import containing
 from rulecast.operators.lineage import checkpoint_dir, materialize
 from rulecast.operators.merging import override
 from rulecast.operators.nested import unnest
-from rulecast.plans import audience, catalog, clusters, feedback, jobs, offers, outcomes, rules
+from rulecast.plans import audience, catalog, clusters, feedback, jobs, offers, outcomes, reach_state, rules
 from rulecast.plans.assignment import assign_devices
 from rulecast.sources.readers import preview
 from rulecast.sources.schemas import FEEDBACK
@@ -31,6 +32,7 @@ FIRST_DAY, LAST_DAY = "2024-01-01", "2024-12-31"
 ONE_DAY = "2024-01-10"
 OWN, OTHERS = ["OWN"], ["OTHER-0", "OTHER-1", "OTHER-2"]
 RECENT = ("2024-01-16", "2024-02-29")
+WINDOWS = (("2024-01-01", "2024-12-31"), ("2024-01-05", "2024-01-11"), RECENT)
 PATTERNS = {
     "0": "(?i)(lumia 1|sm-small_(ring|bolt)|iris405)",
     "1_SS": "(?i)(samsung red|samsung blue|sm-red)",
@@ -40,6 +42,10 @@ PATTERNS = {
 }
 
 
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _control(spark, sf_dir):
     return offers.shape_offer_control(inputs.offers_raw(spark, sf_dir))
 
@@ -303,15 +309,41 @@ def agents_of_clusters(spark, sf_dir):
     return containing(agents, "user_agent", _cluster_patterns(spark, sf_dir), "cluster", "pattern")
 
 
+def _reach_state(spark, sf_dir, rules=None):
+    """The state of all days, of which one is run again."""
+    seen, numbers, state = (_scratch(spark, n) for n in ("seen", "numbers", "reach-state"))
+    inputs.sightings(spark, sf_dir).write.parquet(seen)
+    jobs.update_reach_state(spark, seen, numbers, state, FIRST_DAY, ONE_DAY, cluster_rules=rules)
+    jobs.update_reach_state(spark, seen, numbers, state, ONE_DAY, LAST_DAY, cluster_rules=rules)
+    return spark.read.parquet(state)
+
+
+def _of_windows(reach):
+    return reduce(DataFrame.unionByName, (reach(w).withColumn("first_day", F.lit(w[0])) for w in WINDOWS))
+
+
+def model_reach_windows(spark, sf_dir):
+    """Distinct ids per model in three windows, merged from the stored state of their days."""
+    state = _reach_state(spark, sf_dir)
+    return _of_windows(lambda w: reach_state.model_reach_of(state, w, "HARDWARE_IDFA", "Brand#2", "click"))
+
+
+def cluster_reach_windows(spark, sf_dir):
+    """Reach per cluster on other carriers but not the own one in three windows, from stored state."""
+    rules = _scratch(spark, "long-rules")
+    tokens = inputs.derive(spark, sf_dir, inputs.CLUSTER_TOKENS).distinct()
+    listed = ordered_concat(tokens, ["cluster"], F.col("token"), "|", "tokens")
+    listed.select(F.col("cluster").alias("cluster_brand"), rule_text(F.col("tokens")).alias("rule")).write.parquet(rules)
+    state = _reach_state(spark, sf_dir, rules)
+    return _of_windows(lambda w: reach_state.cluster_reach_of(state, OWN, OTHERS, w))
+
+
 def model_reach(spark, sf_dir):
     return audience.model_reach(
         inputs.sightings(spark, sf_dir), "HARDWARE_IDFA", "Brand#2", "click", 2024
     )
 
 
-def _scratch(spark, name):
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
 
 def offer_control_file(spark, sf_dir):
     """The control file as CSV text with a title row in each part, read by position."""
@@ -424,6 +456,8 @@ QUERIES = {
         cluster_reach,
         cluster_reach_long_rules,
         agents_of_clusters,
+        model_reach_windows,
+        cluster_reach_windows,
         model_reach,
         offer_control_file,
         cluster_file,
