@@ -11,7 +11,7 @@ from rulecast.functions.dates import as_date, yesterday
 from rulecast.functions.text import rule_pattern
 from rulecast.operators.distinct_state import new_numbers
 from rulecast.operators.lineage import materialize, scratch_tables
-from rulecast.plans import audience, catalog, clusters, feedback, offers, reach_state, rules
+from rulecast.plans import audience, catalog, clusters, feedback, feedback_state, offers, reach_state, rules
 from rulecast.sources.publishing import Published, replace_days, table_exists
 from rulecast.sources.readers import on_days, read_device_clusters, read_offer_control
 from rulecast.sources.schemas import FEEDBACK, RULES
@@ -107,6 +107,38 @@ def run_daily_rules(
         write_day(rules.daily_rules(*tables, day, **options), out, day, mode)
 
 
+def advance_feedback_state(
+    spark: SparkSession, feedback_table: str, state: str, start=None, end=None, history_start=None
+) -> Published:
+    """Take days of the feedback table, yesterday by default, into the state that rules can use.
+
+    The state is made if there is none. Days may come in any order and again; ``history_start`` ends
+    the part of days before it.
+    """
+    first = _day(start)
+    last = first if end is None else as_date(end)
+    rows = spark.read.schema(FEEDBACK).parquet(feedback_table)
+    return feedback_state.advance(rows, state, first, last, history_start)
+
+
+def run_daily_rules_from_state(
+    spark: SparkSession,
+    offer_control: str,
+    properties: str,
+    state: str,
+    out: str,
+    run_date=None,
+    mode="overwrite",
+    **options,
+) -> None:
+    """The day's rules into their partition, by the state of the feedback instead of its history."""
+    day = _day(run_date)
+    tables = (spark.read.parquet(p) for p in (offer_control, properties))
+    with scratch_tables(spark):
+        found = rules.daily_rules(*tables, feedback_state.read_state(spark, state), day, **options)
+        write_day(found, out, day, mode)
+
+
 def init_rules(spark: SparkSession, out: str) -> None:
     """A new, empty rules table."""
     create_partitioned(spark, out, RULES)

@@ -35,10 +35,19 @@ def device_totals(feedback: DataFrame, history_start: dt.date | str | None = Non
     return rows.groupBy("offer", "source", "dvc_techname").agg(*sums, converted)
 
 
+def launch_days(feedback: DataFrame) -> DataFrame:
+    """Distinct days with feedback per offer."""
+    days = feedback.where(F.col("offer").isNotNull()).groupBy("offer")
+    return days.agg(F.countDistinct("sighted_date").alias("launch_days"))
+
+
 def offer_activity(feedback: DataFrame, totals: DataFrame) -> DataFrame:
     """Launch days and converting devices per offer; each counts distinct values."""
-    days = feedback.where(F.col("offer").isNotNull()).groupBy("offer")
-    days = days.agg(F.countDistinct("sighted_date").alias("launch_days"))
+    return activity(launch_days(feedback), totals)
+
+
+def activity(days: DataFrame, totals: DataFrame) -> DataFrame:
+    """The launch days of each offer with the number of its converting devices."""
     converting = totals.where("converted").groupBy("offer")
     converting = converting.agg(F.countDistinct("dvc_techname").alias("converting_devices"))
     return days.join(converting, "offer", "left").na.fill(0, ["converting_devices"])

@@ -9,13 +9,15 @@ from rulecast.functions.text import rule_text
 from rulecast.operators.aggregates import ordered_concat
 from rulecast.operators.lineage import materialize
 from rulecast.plans.assignment import CHANNELS, assign_devices
+from rulecast.plans.feedback_state import FeedbackState
 from rulecast.plans.offers import active_offers, device_prices, offer_list, price_offers
 from rulecast.plans.outcomes import (
     Evidence,
+    activity,
     device_outcomes,
     device_totals,
     feedback_devices,
-    offer_activity,
+    launch_days,
     offer_choices,
     offer_terms,
 )
@@ -39,7 +41,7 @@ def build_rules(tokens: DataFrame, exclusions=DAILY_EXCLUSIONS) -> DataFrame:
 
 def judged_offers(
     offers: DataFrame,
-    feedback: DataFrame,
+    feedback: DataFrame | FeedbackState,
     evidence: Evidence = Evidence(),
     history_start: dt.date | str | None = None,
     use_s2l: bool = False,
@@ -49,13 +51,20 @@ def judged_offers(
 
     ``materialized`` writes the totals and the outcomes, which several branches read, to the shared
     checkpoint folder, so that the history is read once for its totals and once, two columns wide,
-    for launch days.
+    for launch days. A state of the feedback, which has both, takes the place of the history; what
+    it starts with is decided when it is advanced.
     """
     keep = materialize if materialized else (lambda df: df)
-    totals = keep(device_totals(feedback, history_start))
-    if history_start is not None:
-        feedback = feedback.where(F.col("sighted_date") >= F.lit(as_date(history_start)))
-    terms = offer_terms(offers, offer_activity(feedback, totals), evidence)
+    if isinstance(feedback, FeedbackState):
+        if history_start is not None:
+            raise ValueError("a feedback state has a history of its own")
+        totals, days = feedback.totals(), feedback.launch_days()
+    else:
+        totals = keep(device_totals(feedback, history_start))
+        if history_start is not None:
+            feedback = feedback.where(F.col("sighted_date") >= F.lit(as_date(history_start)))
+        days = launch_days(feedback)
+    terms = offer_terms(offers, activity(days, totals), evidence)
     outcomes = keep(device_outcomes(totals, terms, use_s2l))
     return outcomes, offer_choices(outcomes, evidence)
 
@@ -63,7 +72,7 @@ def judged_offers(
 def rule_tokens(
     offer_control: DataFrame,
     properties: DataFrame,
-    feedback: DataFrame,
+    feedback: DataFrame | FeedbackState,
     run_date: dt.date | str,
     evidence: Evidence = Evidence(),
     history_start: dt.date | str | None = None,
@@ -89,7 +98,7 @@ def rule_tokens(
 def daily_rules(
     offer_control: DataFrame,
     properties: DataFrame,
-    feedback: DataFrame,
+    feedback: DataFrame | FeedbackState,
     run_date: dt.date | str | None = None,
     exclusions=DAILY_EXCLUSIONS,
     **options,
@@ -106,7 +115,7 @@ def daily_rules(
 def rules_one_day(
     offer_control: DataFrame,
     properties: DataFrame,
-    feedback: DataFrame,
+    feedback: DataFrame | FeedbackState,
     run_date: dt.date | str,
     exclusions=ONE_DAY_EXCLUSIONS,
     **options,

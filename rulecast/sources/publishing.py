@@ -34,6 +34,13 @@ class Published:
     unchanged: list[dt.date] = field(default_factory=list)
 
 
+@dataclass
+class Change(Published):
+    """What is to happen to the days of a range, and the digests of those that have rows."""
+
+    digests: dict[dt.date, list] = field(default_factory=dict)
+
+
 class Files:
     """The few file operations needed, on the file system that holds ``root``."""
 
@@ -98,24 +105,36 @@ def _digests(rows: DataFrame) -> dict[dt.date, list]:
     return {dt.date(r.year, r.month, r.day): [r.n, r.x, str(r.s)] for r in days.toLocalIterator()}  # a row per day
 
 
+def staging(path: str, run: str) -> str:
+    """Where a run puts the folders that are to replace those of the table at ``path``."""
+    return f"{path}/{WORK}/{run}/data"
+
+
+def decide(files: Files, run: str, taken: dict[str, list | None], gone: list[str] = ()) -> None:
+    """Let the staged folders ``taken``, with their digests if known, replace the table's, and ``gone`` go."""
+    plan = {f: {"before": files.names(f), "files": files.names(f"{WORK}/{run}/data/{f}"), "digest": d} for f, d in taken.items()}
+    plan |= {f: {"before": files.names(f), "files": None} for f in gone}
+    files.write(f"{WORK}/{run}/plan.json", json.dumps(plan))
+    _apply(files, run, plan)
+
+
 def _apply(files: Files, run: str, plan: dict) -> None:
     """Carry out a plan, wholly or what is left of it.
 
-    A day that someone has written since the plan was made has files that the plan does not know:
+    A folder that someone has written since the plan was made has files that the plan does not know:
     that is newer and stays.
     """
     known = json.loads(files.read(DIGESTS)) if files.exists(DIGESTS) else {}
-    for name, step in plan.items():
-        day, staged = day_folder(dt.date.fromisoformat(name)), f"{WORK}/{run}/data/{day_folder(dt.date.fromisoformat(name))}"
-        live = files.names(day)
+    for folder, step in plan.items():
+        live = files.names(folder)
         if step["files"] is not None and live == step["files"]:
-            known[name] = {"files": live, "digest": step["digest"]}
+            known[folder] = {"files": live, "digest": step["digest"]}
         elif set(live) <= set(step["before"]):
-            files.remove(day)
-            known.pop(name, None)
+            files.remove(folder)
+            known.pop(folder, None)
             if step["files"] is not None:
-                files.move(staged, day)
-                known[name] = {"files": step["files"], "digest": step["digest"]}
+                files.move(f"{WORK}/{run}/data/{folder}", folder)
+                known[folder] = {"files": step["files"], "digest": step["digest"]}
     files.write(DIGESTS, json.dumps(known))
     files.remove(f"{WORK}/{run}")
 
@@ -136,40 +155,47 @@ def replace_days(df: DataFrame, path: str, first: dt.date, last: dt.date) -> Pub
     Days with other rows than before are replaced, days without rows have no partition afterwards,
     and days outside the range stay as they are. ``df`` is evaluated once.
     """
-    spark = df.sparkSession
-    finish(spark, path)
-    files, run = Files(spark, path), uuid.uuid4().hex
-    staged = f"{path}/{WORK}/{run}/data"
-    parts = F.pmod(F.xxhash64(*[c for c in df.columns if c not in PARTITION]), F.lit(PARTS))
-    rows = df.where(on_days(first, last)).repartition(*PARTITION, parts)
-    rows.write.partitionBy(*PARTITION).parquet(staged)
-    digests = _digests(spark.read.schema(df.schema).parquet(staged))
+    finish(df.sparkSession, path)
+    files, run = Files(df.sparkSession, path), uuid.uuid4().hex
+    change = changed_days(df.where(on_days(first, last)), path, run, first, last)
+    decide(files, run, {day_folder(d): change.digests[d] for d in change.written}, [day_folder(d) for d in change.removed])
+    return Published(change.written, change.removed, change.unchanged)
+
+
+def changed_days(rows: DataFrame, path: str, run: str, first: dt.date, last: dt.date, under: str = "") -> Change:
+    """Stage the rows of a range of days, and tell what differs from the days of the table.
+
+    The days lie in the folder ``under`` of the table at ``path``, if one is named.
+    """
+    spark, inner = rows.sparkSession, f"{under}/" if under else ""
+    files, staged = Files(spark, path), f"{staging(path, run)}/{under}".rstrip("/")
+    stage_days(rows, staged)
+    digests = _digests(spark.read.schema(rows.schema).parquet(staged))
     days = [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
-    before = {day: files.names(day_folder(day)) for day in days}
-    held = _held(spark, files, path, df.schema, {d: before[d] for d in days if d in digests and before[d]})
-    done, plan = Published(), {}
+    held = _held(spark, files, inner, rows.schema, [d for d in days if d in digests])
+    change = Change(digests=digests)
     for day in days:
-        if day in digests and held.get(day) == digests[day]:
-            done.unchanged.append(day)
-        elif day in digests:
-            done.written.append(day)
-            new = files.names(f"{WORK}/{run}/data/{day_folder(day)}")
-            plan[day.isoformat()] = {"before": before[day], "files": new, "digest": digests[day]}
-        elif files.exists(day_folder(day)):
-            done.removed.append(day)
-            plan[day.isoformat()] = {"before": before[day], "files": None}
-    files.write(f"{WORK}/{run}/plan.json", json.dumps(plan))
-    _apply(files, run, plan)
-    return done
+        if day in digests:
+            (change.unchanged if held.get(day) == digests[day] else change.written).append(day)
+        elif files.exists(inner + day_folder(day)):
+            change.removed.append(day)
+    return change
+
+
+def stage_days(rows: DataFrame, path: str) -> None:
+    """Write rows by day, a heavy day in several parts."""
+    part = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in PARTITION]), F.lit(PARTS))
+    rows.repartition(*PARTITION, part).write.partitionBy(*PARTITION).parquet(path)
 
 
-def _held(spark: SparkSession, files: Files, path: str, schema, live: dict[dt.date, list[str]]) -> dict[dt.date, list]:
+def _held(spark: SparkSession, files: Files, inner: str, schema, days: list[dt.date]) -> dict[dt.date, list]:
     """Digests of days as they stand: as published if their files are still those, else read anew."""
     known = json.loads(files.read(DIGESTS)) if files.exists(DIGESTS) else {}
-    found = {d: known[d.isoformat()]["digest"] for d, names in live.items() if known.get(d.isoformat(), {}).get("files") == names}
-    others = [d for d in live if d not in found]
+    live = {d: names for d in days if (names := files.names(inner + day_folder(d)))}
+    entry = {d: known.get(inner + day_folder(d), {}) for d in live}
+    found = {d: entry[d]["digest"] for d, names in live.items() if entry[d].get("files") == names}
+    others = [f"{files.root}/{inner}{day_folder(d)}" for d in live if d not in found]
     if others:
         # Folder by folder, so that no other day is listed or read.
-        rows = spark.read.schema(schema).option("basePath", path).parquet(*(f"{path}/{day_folder(d)}" for d in others))
-        found |= _digests(rows)
+        found |= _digests(spark.read.schema(schema).option("basePath", f"{files.root}/{inner}").parquet(*others))
     return found
