@@ -383,6 +383,12 @@ def in_window(days) -> str:
 
 
 ORACLES |= {
+    "daily_rules_from_state": ORACLES["daily_rules"],
+    "offer_activity_from_state": ORACLES["offer_activity"],
+    "feedback_totals_from_state": f"""
+select offer, source, dvc_techname, cast(sum(imps) as bigint) as imps, cast(sum(clicks) as bigint) as clicks,
+       cast(sum(landings) as bigint) as landings, cast(sum(submits) as bigint) as submits, max(submits > 0) as converted
+from ({inputs.sql_for(inputs.FEEDBACK)}) where offer is not null group by offer, source, dvc_techname""",
     "model_reach_windows": " union all ".join(
         f"""select model, user_agent, count(distinct device_id) as reach, '{w[0]}' as first_day from ({SIGHTINGS})
 where id_type = 'HARDWARE_IDFA' and vendor = 'Brand#2' and event_source = 'click' and {in_window(w)}

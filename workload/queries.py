@@ -20,11 +20,11 @@ from rulecast.operators.dictionary import containing
 from rulecast.operators.lineage import checkpoint_dir, materialize
 from rulecast.operators.merging import override
 from rulecast.operators.nested import unnest
-from rulecast.plans import audience, catalog, clusters, feedback, jobs, offers, outcomes, reach_state, rules
+from rulecast.plans import audience, catalog, clusters, feedback, feedback_state, jobs, offers, outcomes, reach_state, rules
 from rulecast.plans.assignment import assign_devices
 from rulecast.sources.readers import preview
 from rulecast.sources.schemas import FEEDBACK
-from rulecast.sources.writers import create_partitioned, write_day
+from rulecast.sources.writers import create_partitioned, write_day, write_days
 from workload import inputs
 
 RUN_DATE = "2017-02-01"
@@ -123,6 +123,38 @@ def daily_rules(spark, sf_dir):
     return rules.daily_rules(*_rule_inputs(spark, sf_dir), RUN_DATE)
 
 
+def _feedback_state(spark, sf_dir):
+    """The feedback taken in by halves; a part that was wrong at first is taken in anew.
+
+    The table is partitioned by month here: what enters and leaves is a partition.
+    """
+    table, state = _scratch(spark, "feedback-table"), _scratch(spark, "feedback-state")
+    month = [F.year("sighted_date").alias("year"), F.month("sighted_date").alias("month"), F.lit(1).alias("day")]
+    rows = inputs.feedback(spark, sf_dir).select("*", *month)
+    twice = F.when(F.col("year") == 1998, F.lit(2)).otherwise(F.lit(1))
+    wrong = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), twice))).drop("_copy")
+    write_days(wrong.select(*spark.createDataFrame([], FEEDBACK).columns), table)
+    jobs.advance_feedback_state(spark, table, state, "1995-01-01", "1998-12-31")
+    write_days(rows.where("year = 1998"), table)
+    jobs.advance_feedback_state(spark, table, state, "1998-01-01", "2001-12-31")
+    return feedback_state.read_state(spark, state)
+
+
+def feedback_totals_from_state(spark, sf_dir):
+    return _feedback_state(spark, sf_dir).totals()
+
+
+def offer_activity_from_state(spark, sf_dir):
+    state = _feedback_state(spark, sf_dir)
+    return outcomes.activity(state.launch_days(), state.totals())
+
+
+def daily_rules_from_state(spark, sf_dir):
+    """The day's rules by the state of the feedback, without its history."""
+    control, properties = _control(spark, sf_dir), inputs.properties(spark, sf_dir)
+    return rules.daily_rules(control, properties, _feedback_state(spark, sf_dir), RUN_DATE)
+
+
 def rules_one_day(spark, sf_dir):
     return rules.rules_one_day(*_rule_inputs(spark, sf_dir), RUN_DATE)
 
@@ -428,6 +460,9 @@ QUERIES = {
         feedback_devices,
         channel_devices,
         daily_rules,
+        daily_rules_from_state,
+        feedback_totals_from_state,
+        offer_activity_from_state,
         rules_one_day,
         price_only_rules,
         tap_feedback,
