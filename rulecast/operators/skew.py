@@ -18,15 +18,25 @@ def salted_join(
     Each fact row takes one salt from the hash of ``spread_by``; the lookup is repeated once per
     salt, so results are those of the plain join for every join type that keeps or drops whole
     fact rows (``inner``, ``left``, ``left_semi``, ``left_anti``). No side is forced to broadcast: when the lookup
-    proves small at run time, adaptive execution does that by its measured size.
+    proves small at run time, adaptive execution does that by its measured size. A lookup that Spark
+    takes for small enough beforehand needs no salt: it is sent to the facts, whose keys do not move.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type for salting: {how}")
+    if _is_broadcast(lookup):
+        return facts.join(lookup, on, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def _is_broadcast(lookup: DataFrame) -> bool:
+    """Whether Spark's own estimate of the table lies below its threshold for broadcasts."""
+    execution = lookup._jdf.queryExecution()
+    threshold = lookup.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(execution.optimizedPlan().stats().sizeInBytes())) <= threshold
+
+
 def spread_evenly(df: DataFrame) -> DataFrame:
     """Partition by all columns, over as many partitions as the session shuffles into.
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from rulecast.functions.text import clean_token
 from rulecast.operators.aggregates import best_rank
+from rulecast.operators.ordering import blocks_of
 from rulecast.operators.skew import salted_join
-from rulecast.plans.offers import FLAGS
+from rulecast.plans.offers import FLAGS, PriceIntervals
 
 # How iPhones are named, and the shortest token that enters a rule is longer than this.
 IOS_NAME = r"iphone os 1?[0-9]"
@@ -38,6 +39,24 @@ def _best_per_flag(candidates: DataFrame, key: str, channels) -> DataFrame:
     )
 
 
+def _best_by_price(intervals: DataFrame, prices: DataFrame, channels) -> DataFrame:
+    """Lowest priority per price and flag among the offers whose interval holds the price.
+
+    Intervals split into aligned blocks of 1, 2, 4, … prices; each block keeps its best priorities,
+    and a price takes the best of the blocks that it lies in, one per size.
+    """
+    highest = prices.agg(F.max("number")).first()[0]  # a number; the prices are a stored table
+    size = F.explode(F.sequence(F.lit(0), F.lit((highest or 0).bit_length()))).alias("size")
+    split = intervals.select("*", size).withColumn("block", F.explode(blocks_of(F.col("first"), F.col("stop"), F.col("size"))))
+    flags = sorted({c.flag for c in channels})
+    best = split.groupBy("size", "block").agg(
+        *(F.min(F.when(F.col(f) == 1, F.col("uc1_priority"))).alias(f) for f in flags)
+    )
+    spread = prices.select("price", "number", size).withColumn("block", F.expr("shiftright(number, size)"))
+    met = spread.join(best, ["size", "block"])
+    return met.groupBy("price").agg(*(F.min(f).alias(f) for f in flags))
+
+
 def _best_per_channel(reduced: DataFrame, channels) -> DataFrame:
     """Lowest priority per channel and device, from rows of lowest priorities per flag.
 
@@ -75,7 +94,7 @@ def _holders(offers: DataFrame, channels) -> DataFrame:
 
 
 def assign_devices(
-    control: DataFrame,
+    control: DataFrame | PriceIntervals,
     feedback: DataFrame,
     offers: DataFrame | None = None,
     channels=CHANNELS,
@@ -88,21 +107,28 @@ def assign_devices(
     when it is at hand; otherwise it is taken from ``control``.
 
     ``control`` pairs the offers with their devices or, if ``prices`` has the prices of devices,
-    with the prices in their range. A device with several prices takes the best of them.
+    with the prices in their range, or it has the offers' price intervals. A device with several
+    prices takes the best of them.
     """
     key = "dvc_techname" if prices is None else "price"
     terms = ["offer", "uc1_priority", *FLAGS]
-    listed = (control if offers is None else offers).select(*terms).distinct()
+    intervals = control if isinstance(control, PriceIntervals) else None
+    pairs = control if intervals is None else intervals.offers
+    listed = (pairs if offers is None else offers).select(*terms).distinct()
     decided = (
         feedback.groupBy("offer")
         .agg(F.count_if(F.col("dvc_techname").isNull()).alias("unnamed"))
         .where("unnamed = 0")
         .select("offer")
     )
-    undecided = salted_join(
-        control.select(*terms, key), decided, ["offer"], F.col(key), "left_anti"
-    )
-    by_price = _best_per_flag(undecided, key, channels)
+    if intervals is None:
+        undecided = salted_join(
+            control.select(*terms, key), decided, ["offer"], F.col(key), "left_anti"
+        )
+        by_price = _best_per_flag(undecided, key, channels)
+    else:
+        undecided = intervals.offers.join(decided, "offer", "left_anti")
+        by_price = _best_by_price(undecided, intervals.prices, channels)
     if prices is not None:
         by_price = salted_join(prices, by_price, ["price"], F.col("dvc_techname")).drop("price")
     chosen = feedback.where(F.col("dvc_techname").isNotNull())

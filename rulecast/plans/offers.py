@@ -1,11 +1,14 @@
 """Offer control: validity, thresholds and the devices in an offer's price range."""
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rulecast.functions.dates import as_date, date_of_parts
 from rulecast.functions.numbers import as_number
+from rulecast.operators.lineage import materialize
+from rulecast.operators.ordering import count_before
 from rulecast.operators.ranges import range_join
 from rulecast.operators.skew import salted_join
 
@@ -74,6 +77,45 @@ def price_offers(active: DataFrame, prices: DataFrame) -> DataFrame:
     return pairs.select(*TERMS, "price").distinct()
 
 
+@dataclass(frozen=True)
+class PriceIntervals:
+    """Offers as ranges of numbered prices, in place of pairs of offer and price.
+
+    ``offers`` has the terms with ``first`` and ``stop``, the number of the first price in the range
+    and of the first one beyond it; ``prices`` has each distinct price and its ``number``.
+    """
+
+    offers: DataFrame
+    prices: DataFrame
+
+
+def price_intervals(active: DataFrame, prices: DataFrame) -> PriceIntervals:
+    """The offers with a price in their range, found in one pass over prices and bounds in order.
+
+    Rows are prices plus offers; the offers whose range holds a price are never listed with it.
+    """
+    terms = [*TERMS, "target_rlp_min", "target_rlp_max"]
+    ranges = active.select(*terms).distinct().where("target_rlp_min <= target_rlp_max")
+
+    def point(rows, column, kind):
+        return rows.select(F.col(column).cast("double").alias("value"), F.lit(kind).alias("kind")).distinct()
+
+    # At equal values a range begins before the price and ends after it.
+    points = point(prices.where("price is not null"), "price", 1)
+    points = points.unionByName(point(ranges, "target_rlp_min", 0)).unionByName(point(ranges, "target_rlp_max", 2))
+    placed = materialize(count_before(points, ["value", "kind"], F.col("kind") == 1, "number"))
+
+    def bound(kind, column, out):
+        at = placed.where(F.col("kind") == kind)
+        return at.select(F.col("value").alias(f"_{column}"), F.col("number").alias(out))
+
+    low, high = bound(0, "target_rlp_min", "first"), bound(2, "target_rlp_max", "stop")
+    found = ranges.join(low, F.col("target_rlp_min").cast("double") == F.col("_target_rlp_min"))
+    found = found.join(high, F.col("target_rlp_max").cast("double") == F.col("_target_rlp_max"))
+    numbered = placed.where("kind = 1").select(F.col("value").alias("price"), "number")
+    return PriceIntervals(materialize(found.where("first < stop").select(*TERMS, "first", "stop")), numbered)
+
+
 def feedback_condition() -> Column:
     """The thresholds as text, for people to read."""
     signs = {"min_ctr": "CTR>=", "min_submits": "submits>=", "min_s2l": "S2L>=", "max_cps": "CPS<="}

@@ -10,7 +10,7 @@ from rulecast.operators.aggregates import ordered_concat
 from rulecast.operators.lineage import materialize
 from rulecast.plans.assignment import CHANNELS, assign_devices
 from rulecast.plans.feedback_state import FeedbackState
-from rulecast.plans.offers import active_offers, device_prices, offer_list, price_offers
+from rulecast.plans.offers import active_offers, device_prices, offer_list, price_intervals
 from rulecast.plans.outcomes import (
     Evidence,
     activity,
@@ -64,7 +64,7 @@ def judged_offers(
         if history_start is not None:
             feedback = feedback.where(F.col("sighted_date") >= F.lit(as_date(history_start)))
         days = launch_days(feedback)
-    terms = offer_terms(offers, activity(days, totals), evidence)
+    terms = keep(offer_terms(offers, activity(days, totals), evidence))
     outcomes = keep(device_outcomes(totals, terms, use_s2l))
     return outcomes, offer_choices(outcomes, evidence)
 
@@ -82,17 +82,19 @@ def rule_tokens(
 ) -> DataFrame:
     """From offer control, device properties and feedback history to tokens per channel and offer.
 
-    Offers meet distinct prices, never devices, until each price has its best offers.
+    Offers are intervals of the distinct prices in order and meet neither devices nor prices one by
+    one. What several steps read is a table; those of offers are small, and known to be.
     ``materialized`` is explained at ``judged_offers``.
     """
-    prices = device_prices(properties)
-    control = price_offers(active_offers(offer_control, run_date), prices)
-    offers = offer_list(control)
+    keep = materialize if materialized else (lambda df: df)
+    prices = keep(device_prices(properties))
+    intervals = price_intervals(active_offers(offer_control, run_date), prices)
+    offers = keep(offer_list(intervals.offers))
     outcomes, choices = judged_offers(
         offers, feedback, evidence, history_start, use_s2l, materialized
     )
-    chosen = feedback_devices(offers, outcomes, choices)
-    return assign_devices(control, chosen, offers, channels, prices)
+    chosen = keep(feedback_devices(offers, outcomes, keep(choices)))
+    return assign_devices(intervals, chosen, offers, channels, prices)
 
 
 def daily_rules(

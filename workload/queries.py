@@ -57,12 +57,12 @@ def _devices(spark, sf_dir):
 
 def _priced(spark, sf_dir):
     active = offers.active_offers(_control(spark, sf_dir), RUN_DATE)
-    prices = offers.device_prices(inputs.properties(spark, sf_dir))
-    return offers.price_offers(active, prices), prices
+    prices = materialize(offers.device_prices(inputs.properties(spark, sf_dir)))
+    return offers.price_intervals(active, prices), prices
 
 
 def _outcomes(spark, sf_dir):
-    listed = offers.offer_list(_priced(spark, sf_dir)[0])
+    listed = materialize(offers.offer_list(_priced(spark, sf_dir)[0].offers))
     return listed, *rules.judged_offers(listed, inputs.feedback(spark, sf_dir))
 
 
@@ -87,7 +87,7 @@ def control_devices(spark, sf_dir):
 
 
 def offer_list(spark, sf_dir):
-    return offers.offer_list(_priced(spark, sf_dir)[0])
+    return offers.offer_list(_priced(spark, sf_dir)[0].offers)
 
 
 def offer_activity(spark, sf_dir):
@@ -162,7 +162,7 @@ def rules_one_day(spark, sf_dir):
 def price_only_rules(spark, sf_dir):
     """Rules from price ranges alone: no offer has feedback yet."""
     control, prices = _priced(spark, sf_dir)
-    listed_terms = offers.offer_list(control)
+    listed_terms = offers.offer_list(control.offers)
     nothing = listed_terms.select("offer").distinct().withColumn("dvc_techname", F.lit(None).cast("string"))
     return rules.build_rules(assign_devices(control, nothing, listed_terms, prices=prices))
 
