@@ -123,10 +123,19 @@ def feedback_condition() -> Column:
 
 
 def control_devices(active: DataFrame, properties: DataFrame) -> DataFrame:
-    """Devices whose price lies in an offer's range, with the offer's terms."""
-    prices = device_prices(properties)
-    pairs = salted_join(prices, price_offers(active, prices), ["price"], F.col("dvc_techname"))
-    return pairs.select(*TERMS, "dvc_techname").distinct().withColumn("feedback_cond", feedback_condition())
+    """Devices whose price lies in an offer's range, with the offer's terms.
+
+    The result has a row per device and offer. Only a name with several prices can meet an offer
+    more than once, so only those pairs are made distinct.
+    """
+    price = as_number(F.col("release_price")) * PRICE_FACTOR
+    named = materialize(properties.groupBy("dvc_techname").agg(F.collect_set(price).alias("prices")))
+    prices = named.select("dvc_techname", F.explode("prices").alias("price"), (F.size("prices") > 1).alias("_several"))
+    offers = materialize(price_offers(active, prices))
+    pairs = salted_join(prices, offers, ["price"], F.col("dvc_techname"))
+    once = pairs.where("not _several").select(*TERMS, "dvc_techname")
+    several = pairs.where("_several").select(*TERMS, "dvc_techname").distinct()
+    return once.unionByName(several).withColumn("feedback_cond", feedback_condition())
 
 
 def offer_list(control: DataFrame) -> DataFrame:
