@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rulecast.operators.lineage import materialize
+from rulecast.operators.ordering import last_value
 from rulecast.operators.skew import salted_join, spread_evenly
 
 WILDCARDS = r"[_%\\]"
@@ -15,29 +17,47 @@ def best_prefix_rank(
 ) -> DataFrame:
     """For each distinct name the lowest rank of the patterns it starts with, else NULL.
 
-    Patterns follow LIKE: ``_`` is any character, ``%`` any text, ``\\`` escapes. Both sides meet by
-    equality of an anchor. LIKE is anchored at the start, so the literal text before a pattern's
-    first wildcard must begin the name: that is its anchor, and a name has all its prefixes as
-    anchors. Only a pattern that begins with a wildcard has no such text; its anchor is a piece of
-    up to three literal characters, which it meets in a join of its own, with the names' pieces.
-    Pairs with wildcards are then checked by LIKE.
+    Patterns follow LIKE: ``_`` is any character, ``%`` any text, ``\\`` escapes. LIKE is anchored at
+    the start, so the literal text before a pattern's first wildcard, its head, must begin the name.
+    Heads and names are put into one order. Every head that begins a name also begins whatever lies
+    between the two, so the last head before a name begins with all heads of the name: each name
+    needs that one only, and from it has the few heads that come into question. Only a pattern that
+    begins with a wildcard has no head; it meets names by a piece of up to three literal characters,
+    in a step of its own that is left out where there are none. Pairs with wildcards are then checked
+    by LIKE.
     """
-    keys = spread_evenly(names.select(F.col(name).alias("_name")).distinct())
-    shaped = _shaped(patterns, pattern, rank)
-    headed = _lowest(shaped.where(~F.col("_loose")), F.col("_head"))
-    loose = _lowest(shaped.where("_loose"), F.left("_piece", F.lit(GRAM)))
+    keys = materialize(names.select(F.col(name).alias("_name")).distinct())
+    shaped = materialize(_shaped(patterns, pattern, rank))
+    headed = materialize(_lowest(shaped.where(~F.col("_loose")), F.col("_head")))
+    loose = materialize(_lowest(shaped.where("_loose"), F.left("_piece", F.lit(GRAM))))
     matches = F.like(F.col("_name"), F.concat(F.col("_like"), F.lit("%")))
 
-    def hits(anchors: Column, anchored: DataFrame) -> DataFrame:
-        spread = keys.select("_name", F.explode(anchors).alias("_anchor"))
-        pairs = salted_join(spread, anchored, ["_anchor"], F.col("_name"))
+    def hits(anchored: DataFrame, lookup: DataFrame) -> DataFrame:
+        pairs = salted_join(anchored, lookup, ["_anchor"], F.col("_name"))
         return pairs.where(F.col("_like").isNull() | matches).select("_name", "_rank")
 
-    found = hits(_prefixes(F.col("_name")), headed).unionByName(hits(_pieces(F.col("_name")), loose))
+    found = hits(_with_heads(keys, headed.select(F.col("_anchor").alias("_head")).distinct()), headed)
+    if not loose.isEmpty():
+        pieces = spread_evenly(keys).select("_name", F.explode(_pieces(F.col("_name"))).alias("_anchor"))
+        found = found.unionByName(hits(pieces, loose))
     rankless = keys.withColumn("_rank", F.lit(None).cast(patterns.schema[rank].dataType))
     return found.unionByName(rankless).groupBy(F.col("_name").alias(name)).agg(F.min("_rank").alias(rank))
 
 
+def _with_heads(keys: DataFrame, heads: DataFrame) -> DataFrame:
+    """``_name, _anchor``: each name with each of the heads that it begins with."""
+    before = F.lit(None).cast("string")
+    ordered = heads.select(F.col("_head").alias("_text"), F.lit(0).alias("_kind"), "_head")
+    ordered = ordered.unionByName(keys.where("_name is not null").select(F.col("_name").alias("_text"), F.lit(1).alias("_kind"), before.alias("_head")))
+    nearest = last_value(ordered, ["_text", "_kind"], "_head", "_last").where("_kind = 1 and _last is not null")
+    # Heads are exploded to their beginnings, names are not.
+    inner = heads.select(F.col("_head").alias("_last"), F.explode(_prefixes(F.col("_head"))).alias("_head"))
+    chains = materialize(inner.join(heads, "_head").groupBy("_last").agg(F.collect_list("_head").alias("_chain")))
+    named = salted_join(nearest.select(F.col("_text").alias("_name"), "_last"), chains, ["_last"], F.col("_name"))
+    begun = F.filter("_chain", lambda h: F.startswith("_name", h))
+    return named.select("_name", F.explode(begun).alias("_anchor"))
+
+
 def _prefixes(name: Column) -> Column:
     lengths = F.sequence(F.lit(0), F.length(name))
     return F.transform(lengths, lambda n: F.left(name, n))

@@ -85,9 +85,9 @@ def build_device_properties(
     names = catalog.device_catalog(
         spark.read.parquet(id_syncs), id_type, first_month, last_month, **options
     )
-    replace_table(
-        catalog.device_properties(catalog.match_catalog(names, atlas_table), atlas_table), out
-    )
+    with scratch_tables(spark):
+        matched = catalog.match_catalog(names, atlas_table)
+        replace_table(catalog.device_properties(matched, atlas_table), out)
 
 
 def run_daily_rules(
