@@ -1,65 +1,77 @@
 """Benchmark decontamination by winnowing.
 
-Of every window of ``width - k + 1`` consecutive k-grams of words, the one with the smallest hash
-is a fingerprint. A span of ``width`` words that a document shares with an item has the same
-windows in both, so at least one fingerprint is shared: joining fingerprints misses no such span.
-Each (document, item) pair that meets in the join is then extended: the document's words are
-compared with all windows of the item. An item shorter than ``width`` is one window of its own
-length; for each such length that occurs, documents get fingerprints of a family of that length.
+Of every window of ``width`` consecutive words, the smallest hash of its k-grams is the fingerprint:
+equal windows have equal fingerprints, whatever stands around them, and neighbouring windows mostly
+share theirs. Fingerprints of documents are joined with those of the test items; a document that has
+some in common then spells its windows under these fingerprints, and the spelled windows are joined
+with the items' distinct windows. So a hit is an equal sequence of words, and every shared span of
+``width`` words is found. An item shorter than ``width`` is one window of its own length; for each
+such length that occurs, documents get fingerprints of a family of that length.
+
+A window is one row however many items have it, and documents that hit the same windows have their
+items looked up once, so neither a common passage nor a common line multiplies documents by items.
 """
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulecast.llm.common import ship, small_batches, texts
-from rulecast.llm.words import PLAIN, Words, cut, pieces, winnow
+from rulecast.llm.words import PLAIN, Words, cut, pieces, window_minima
 from rulecast.operators.lineage import materialize
+from rulecast.operators.skew import salted_join
 
 WIDTH, GRAM = 13, 5
-ITEMS_KEPT = 2000
+WINDOWS = "array<struct<at:bigint,width:int,said:string>>"
 
 
-def family_prints(words: Words, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text, fingerprint) of the texts' windows of ``width`` words, each pair once."""
+def window_prints(words: Words, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the texts' windows of ``width`` words, and the windows' fingerprints."""
     k = min(gram, width)
-    grams, inside = words.grams(k)
-    chosen = winnow(grams, inside, width - k + 1)
-    pairs = np.unique(np.stack([words.text_of_word()[chosen].astype(np.uint64), grams[chosen] * np.uint64(2 * width + 1)]), axis=1)
-    return pairs[0].astype(np.int64), pairs[1].view(np.int64)
+    grams, _ = words.grams(k)
+    _, inside = words.grams(width)
+    least = window_minima(grams, width - k + 1)
+    at = np.flatnonzero(inside)
+    return at, (least[at] * np.uint64(2 * width + 1)).view(np.int64)
 
 
-def _fingerprints(rows: DataFrame, key: str, widths: list[int], own_width: bool, gram: int) -> DataFrame:
-    """(key, fp) rows. ``own_width``: texts of fewer than ``max(widths)`` words use their own number."""
+def _fingerprints(rows: DataFrame, widths: list[int], gram: int) -> DataFrame:
+    """``key, fp`` of all windows of the given widths, each pair once."""
 
     def prints(batches):
         for batch in batches:
             for piece in pieces(batch):
                 words = cut(piece.column(1), PLAIN)
-                n = words.counts()
+                text = words.text_of_word()
                 for width in widths:
-                    text, fp = family_prints(words, width, gram)
-                    if own_width:
-                        keep = np.minimum(n, max(widths))[text] == width
-                        text, fp = text[keep], fp[keep]
-                    yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(text)), pa.array(fp)], names=[key, "fp"])
+                    at, fp = window_prints(words, width, gram)
+                    pairs = np.unique(np.stack([text[at], fp]), axis=1)
+                    yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(pairs[0])), pa.array(pairs[1])], names=["key", "fp"])
+
+    return rows.mapInArrow(prints, "key bigint, fp bigint")
 
-    return rows.mapInArrow(prints, f"{key} bigint, fp bigint")
 
+def item_windows(items: DataFrame, width: int, gram: int) -> DataFrame:
+    """``window, said, width, fp, items``: the distinct windows of all items, and whose they are."""
 
-class ItemWindows:
-    """The windows of one item, as word tuples by the hash of their words."""
+    def windows(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                words = cut(piece.column(1), PLAIN)
+                said, n, text = spelled(words), words.counts(), words.text_of_word()
+                found = []
+                for own in sorted({min(int(c), width) for c in n} - {0}):
+                    at, fp = window_prints(words, own, gram)
+                    mine = np.minimum(n[text[at]], width) == own
+                    found += [(int(text[i]), own, b" ".join(said[i : i + own]).decode(errors="replace"), f) for i, f in zip(at[mine].tolist(), fp[mine].tolist(), strict=True)]
+                which = pa.array([f[0] for f in found], pa.int64())
+                columns = [piece.column(0).take(which), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2] for f in found], pa.string()), pa.array([f[3] for f in found], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["item", "width", "said", "fp"])
 
-    def __init__(self, text: str, width: int):
-        words = cut(pa.array([text]), PLAIN)
-        said = spelled(words)
-        self.width = min(width, len(said))
-        grams, inside = words.grams(self.width)
-        self.hashes = np.unique(grams[inside])
-        self.windows = {tuple(said[i : i + self.width]) for i in np.flatnonzero(inside)}
+    rows = items.mapInArrow(windows, "item string, width int, said string, fp bigint")
+    once = rows.groupBy("said", "width", "fp").agg(F.collect_set("item").alias("items"))
+    return materialize(once.withColumn("window", F.monotonically_increasing_id()))
 
 
 def spelled(words: Words) -> list[bytes]:
@@ -68,82 +80,82 @@ def spelled(words: Words) -> list[bytes]:
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, item_id: str = "item_id", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, items`` (sorted strings), ``spans``.
+    """One row per document: ``doc_id, n_words, n_hit, items`` (sorted strings), ``spans, key``.
 
-    ``spans`` are the maximal runs of hit words, as [first, last) word numbers. Null texts have no
-    words and no hits, and items without words have no windows. Repeated item rows count once.
-    Documents keep every row, also rows with equal or null ids. Other columns are ignored; without
-    documents there are no rows, without items no hits.
+    ``spans`` are the maximal runs of hit words, as [first, last) word numbers; ``key`` is
+    ``document_key`` of the row. Null texts have no words and no hits, and items without words have
+    no windows. Repeated item rows count once. Documents keep every row and are judged by their own
+    texts, also rows with equal or null ids; an item without id has hits but is not listed. Other
+    columns are ignored; without documents there are no rows, without items no hits.
     """
     spark = docs.sparkSession
     ship(spark)
     small_batches(spark)
-    own = texts(docs)
-    tests = texts(items, item_id).select(F.col("doc_id").alias("item_id"), "text").distinct()
-    lengths = tests.mapInArrow(_lengths, "n int").select(F.least("n", F.lit(width)).alias("n")).distinct()
-    widths = sorted(r.n for r in lengths.collect() if r.n > 0) or [width]
-    # The test side is written so that Spark knows its size and broadcasts it only if it is small.
-    numbered = tests.select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text")
-    wanted = materialize(_fingerprints(numbered.select("item", "text"), "item", sorted({*widths, width}), True, gram))
-    have = _fingerprints(own.filter(F.col("doc_id").isNotNull()), "doc_id", widths, False, gram)
-    pairs = have.join(wanted, "fp").select("doc_id", "item").distinct()
-    candidates = pairs.join(numbered, "item").groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
-    joined = own.join(candidates, "doc_id", "left").select("doc_id", "text", F.coalesce("items", F.array().cast("array<struct<item_id:bigint,text:string>>")).alias("items"))
-
-    def extend(batches):
-        cache: dict[str, ItemWindows] = {}
+    own = texts(docs).withColumn("key", document_key())
+    tests = texts(items, item_id).select(F.col("doc_id").cast("string"), "text").distinct()
+    windows = item_windows(tests, width, gram)
+    widths = sorted(r.width for r in windows.select("width").distinct().collect())  # at most ``width`` numbers
+    if not widths:
+        windows, widths = windows.limit(0), [width]
+    wanted = materialize(windows.select("fp").distinct())
+    have = _fingerprints(own.select("key", "text"), widths, gram)
+    met = have.join(wanted, "fp").groupBy("key").agg(F.collect_set("fp").alias("fps"))
+    joined = own.join(met, "key", "left").select("key", "text", "doc_id", "fps")
+
+    def spell(batches):
         for batch in batches:
             for piece in pieces(batch):
                 words = cut(piece.column(1), PLAIN)
-                rows = []
-                for i, found in enumerate(piece.column(2).to_pylist()):
-                    if found:
-                        rows.append(_extend(piece.column(1).slice(i, 1), found, cache, width))
-                    else:
-                        rows.append((0, [], []))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column(0),
-                        pa.array(words.counts(), pa.int64()),
-                        pa.array([r[0] for r in rows], pa.int64()),
-                        pa.array([r[1] for r in rows], pa.list_(pa.string())),
-                        pa.array([r[2] for r in rows], pa.list_(pa.list_(pa.int64()))),
-                    ],
-                    names=["doc_id", "n_words", "n_hit", "items", "spans"],
-                )
-
-    return joined.mapInArrow(extend, "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<array<bigint>>")
-
-
-def _lengths(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(cut(batch.column(1), PLAIN).counts(), pa.int32())], names=["n"])
+                found = [_spelled_windows(piece.column(1).slice(i, 1), fps, widths, gram) if fps else [] for i, fps in enumerate(piece.column(3).to_pylist())]
+                kind = pa.list_(pa.struct([("at", pa.int64()), ("width", pa.int32()), ("said", pa.string())]))
+                columns = [piece.column(0), piece.column(2), pa.array(words.counts(), pa.int64()), pa.array(found, kind)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "n_words", "windows"])
+
+    spelled_ = materialize(joined.mapInArrow(spell, f"key bigint, doc_id bigint, n_words bigint, windows {WINDOWS}"))
+    told = spelled_.select("key", F.explode("windows").alias("w")).select("key", "w.at", "w.width", "w.said").distinct()
+    hits = salted_join(told, windows.select("said", "window"), ["said"], F.col("key"))
+    by_key = hits.groupBy("key").agg(F.collect_list(F.struct("at", "width")).alias("hits"), F.array_sort(F.collect_set("window")).alias("set"))
+    by_key = materialize(by_key)
+    sets = by_key.select("set").distinct()
+    named = sets.select("set", F.explode("set").alias("window")).join(windows.select("window", F.explode("items").alias("item")), "window")
+    named = named.groupBy("set").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    runs = by_key.mapInArrow(_spans, "key bigint, set array<bigint>, n_hit bigint, spans array<array<bigint>>")
+    found = salted_join(runs, named, ["set"], F.col("key"), "left")
+    none = F.array().cast("array<string>"), F.array().cast("array<array<bigint>>")
+    return spelled_.select("key", "doc_id", "n_words").join(found, "key", "left").select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"), F.coalesce("items", none[0]).alias("items"), F.coalesce("spans", none[1]).alias("spans"), "key"
+    )
+
+
+def document_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """What tells documents with different ids or texts apart."""
+    return F.xxhash64(doc_id, F.coalesce(F.col(text), F.lit("")))
+
+
+def _spelled_windows(text: pa.Array, fps: list[int], widths: list[int], gram: int) -> list[dict]:
+    """The windows of one text that have one of the fingerprints."""
+    words = cut(text, PLAIN)
+    said, wanted, out = spelled(words), np.array(fps, np.int64), []
+    for width in widths:
+        at, fp = window_prints(words, width, gram)
+        out += [{"at": i, "width": width, "said": b" ".join(said[i : i + width]).decode(errors="replace")} for i in at[np.isin(fp, wanted)].tolist()]
+    return out
 
 
-def _extend(text: pa.Array, found: list[dict], cache: dict[str, ItemWindows], width: int) -> tuple[int, list[str], list[list[int]]]:
-    words = cut(text, PLAIN)
-    said = spelled(words)
-    grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    delta = np.zeros(len(said) + 1, np.int64)
-    hit_items = set()
-    for item in found:
-        if item["text"] not in cache:
-            if len(cache) >= ITEMS_KEPT:
-                cache.clear()
-            cache[item["text"]] = ItemWindows(item["text"], width)
-        windows = cache[item["text"]]
-        if windows.width not in grams:
-            grams[windows.width] = words.grams(windows.width)
-        hashes, inside = grams[windows.width]
-        for at in np.flatnonzero(inside & np.isin(hashes, windows.hashes)).tolist():
-            if tuple(said[at : at + windows.width]) in windows.windows:
-                delta[at] += 1
-                delta[at + windows.width] -= 1
-                hit_items.add(str(item["item_id"]))
-    hit = np.cumsum(delta[:-1]) > 0
-    edges = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False]))))
-    return int(hit.sum()), sorted(hit_items), edges.reshape(-1, 2).tolist()
-
-
-def items_digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(names).encode()).hexdigest()
+def _spans(batches):
+    """The words covered by each document's hits: how many, and their runs."""
+    for batch in batches:
+        counts, spans = [], []
+        for hits in batch.column(1).to_pylist():
+            begin = np.array([h["at"] for h in hits])
+            end = begin + np.array([h["width"] for h in hits])
+            low = int(begin.min())
+            delta = np.zeros(int(end.max()) - low + 1, np.int64)
+            np.add.at(delta, begin - low, 1)
+            np.add.at(delta, end - low, -1)
+            hit = np.cumsum(delta[:-1]) > 0
+            edges = np.flatnonzero(np.diff(np.concatenate(([False], hit, [False]))))
+            counts.append(int(hit.sum()))
+            spans.append((edges + low).reshape(-1, 2).tolist())
+        columns = [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64())))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "set", "n_hit", "spans"])

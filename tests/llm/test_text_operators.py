@@ -72,6 +72,26 @@ def test_contamination_equals_brute_force(spark):
     assert find_contamination(documents(spark, []), df).collect() == []
 
 
+def test_contamination_of_rows_that_share_an_id(spark):
+    shared = " ".join(f"s{k}" for k in range(20))
+    docs = [(1, shared), (1, "a clean text " * 9), (None, f"x {shared} y"), (None, None), (None, f"x {shared} y"), (2, "")]
+    items = spark.createDataFrame([(7, shared), (8, f"{shared} more"), (None, shared), (9, "s3 s4"), (10, None), (7, shared)], "item_id bigint, text string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"], r.spans) for r in find_contamination(documents(spark, docs), items).collect())
+    whole = (20, ["7", "8", "9"], [[0, 20]])
+    inner = (20, ["7", "8", "9"], [[1, 21]])
+    assert got == sorted([("1", 20, *whole), ("1", 27, 0, [], []), ("None", 22, *inner), ("None", 22, *inner), ("None", 0, 0, [], []), ("2", 0, 0, [], [])])
+
+
+def test_contamination_by_a_common_line_and_a_common_passage(spark):
+    rnd = random.Random(8)
+    line, passage = "one very common line of words", prose(rnd, 30)
+    items = [(str(k), f"{prose(rnd, 9)} {line} {prose(rnd, 9)} {passage if k % 3 == 0 else ''}") for k in range(60)]
+    docs = [(k, f"{prose(rnd, 9)} {line} {prose(rnd, 9)} {passage if k % 2 == 0 else ''}") for k in range(200)]
+    found = find_contamination(documents(spark, docs), spark.createDataFrame(items, "item_id string, text string")).collect()
+    lists = sorted(str(k) for k in range(0, 60, 3))
+    assert all((r.n_hit, r["items"]) == ((len(windows(passage)[0]), lists) if r.doc_id % 2 == 0 else (0, [])) for r in found)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="</p>";</script></head><body class="has-sidebar">
 <div id="cookie-notice"><p>We use cookies, %(long)s</p></div><header><a href="/">Home</a></header>
 <ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li><li><a>Four</a></li></ul>
