@@ -90,3 +90,34 @@ def test_pipeline_equals_brute_force(spark):
             want[r.doc_id] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids).encode()).hexdigest())
     got = {r.doc_id: tuple(r)[1:] for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == want
+
+
+ODD = [(1, "some plain words here " * 9, 5), (1, "other words than those " * 9, 5), (1, "some plain words here " * 9, 4), (2, "some plain words here " * 9, 3), (None, "some plain words here " * 9, 2), (3, None, 1), (4, "", 1), (None, None, 0), (5, "w" * 50_000, 0)]
+
+
+@pytest.mark.parametrize("columns", [("doc_id", "text"), ("doc_id", "text", "n_chars"), ("row", "doc_id", "text", "kept", "times", "place", "key", "_record", "a.b")])
+def test_stages_of_odd_rows(spark, columns):
+    said = [(i, t, n) for i, t, n in ODD]
+    docs = spark.createDataFrame(said, "doc_id bigint, text string, n_chars bigint")
+    docs = docs.select(*(F.col(c) if c in docs.columns else F.col("n_chars").alias(c) for c in columns))
+    assert corpus_pipeline.without_toxic(spark, docs, SF).count() == len(ODD)
+    once = corpus_pipeline.without_near_duplicates(spark, docs, SF)
+    assert once.columns == list(columns)
+    left = sorted(((r.doc_id, r.text) for r in once.collect()), key=repr)
+    assert left == sorted([(i, t) for k, (i, t, _) in enumerate(ODD) if k not in (2, 3)], key=repr)
+    if "row" in columns:
+        assert [r.row for r in once.collect() if (r.doc_id, r.text) == (1, ODD[0][1])] == [4]
+    parts = corpus_pipeline.without_repeated_passages(spark, docs, SF)
+    assert parts.columns == list(columns) and parts.count() == len(ODD) and parts.where("text is null").count() == 0
+    assert {r.doc_id: r.text for r in parts.where("doc_id in (2, 5)").collect()} == {2: "", 5: "w" * 50_000}
+    clean = corpus_pipeline.without_benchmark(spark, docs, SF)
+    assert clean.columns == list(columns) and clean.count() == len(ODD)
+    assert corpus_pipeline.encoded(spark, docs, SF).count() == len(ODD)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).collect() == []
+
+
+def test_benchmark_stage_judges_rows_by_their_own_texts(spark):
+    item = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(windows(r.text)[0]) > 13)
+    docs = spark.createDataFrame([(1, item), (1, "clean words only"), (None, item), (None, "clean too")], "doc_id bigint, text string")
+    assert sorted(r.text for r in corpus_pipeline.without_benchmark(spark, docs, SF).collect()) == ["clean too", "clean words only"]
