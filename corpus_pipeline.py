@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from rulecast.llm.common import table
-from rulecast.llm.decontamination import find_contamination
+from rulecast.llm.decontamination import document_key, find_contamination
 from rulecast.llm.near_duplicates import near_duplicate_classes
 from rulecast.llm.op2_query import contaminated
 from rulecast.llm.op7_query import MODEL, encoded_digests
@@ -14,8 +14,22 @@ from rulecast.llm.toxicity import fit_toxicity, keep_ordinary
 from rulecast.operators.lineage import materialize
 
 
+def _records(docs: DataFrame) -> DataFrame:
+    """Documents with all their columns in one, so that no name of theirs meets one of a stage's own."""
+    record = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_record")
+    return docs.select(record, F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+
+
+def _documents(records: DataFrame, docs: DataFrame) -> DataFrame:
+    return records.select(*(F.col(f"_record.`{c}`").alias(c) for c in docs.columns))
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression model does not find toxic."""
+    """Documents that the compression model does not find toxic.
+
+    Every row is judged by its own text, repeated rows and rows without id too; null and empty texts
+    are not toxic. All columns stay; no documents give no rows.
+    """
     return keep_ordinary(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
@@ -23,31 +37,49 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """One document, the one with the smallest id, of each class of near duplicates.
 
     Rows are judged by their own texts where they share an id; of rows with the same id and text,
-    one stays. Rows without id or without words are near duplicates of nothing and all stay.
+    one stays, the first by its other columns. Rows without id or without words are near duplicates
+    of nothing and all stay. All columns stay; no documents give no rows.
     """
     classes = near_duplicate_classes(docs, shingle=5, percent=80, rows=True).filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    marks = classes.groupBy("doc_id", "row").agg(F.min("kept").alias("kept"), F.count("*").alias("times")).filter(~F.col("kept") | (F.col("times") > 1))
-    marked = docs.withColumn("row", F.xxhash64(F.coalesce("text", F.lit("")))).join(marks, ["doc_id", "row"], "left")
-    place = F.row_number().over(Window.partitionBy("doc_id", "row").orderBy(*(c for c in docs.columns if c not in ("doc_id", "text"))))
-    once = marked.filter(F.coalesce("kept", F.lit(True))).withColumn("place", place)
-    return once.filter(F.col("times").isNull() | (F.col("place") == 1)).select(*docs.columns)
+    marks = classes.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.min("kept").alias("_kept"), F.count("*").alias("_times"))
+    marks = marks.filter(~F.col("_kept") | (F.col("_times") > 1))
+    marked = _records(docs).withColumn("_row", F.xxhash64(F.coalesce("_text", F.lit("")))).join(marks, ["_id", "_row"], "left")
+    others = [F.col(f"_record.`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.col("_row")]
+    place = F.row_number().over(Window.partitionBy("_id", "_row").orderBy(*others))
+    once = marked.filter(F.coalesce("_kept", F.lit(True))).withColumn("_place", place)
+    return _documents(once.filter(F.col("_times").isNull() | (F.col("_place") == 1)), docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that a document with a smaller id has; a null text becomes empty."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    found = remove_earlier_passages(docs, carry=others).withColumnRenamed("kept", "text")
-    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """All documents, without the passages that a document with a smaller id has.
+
+    A null text becomes empty; ``n_chars``, where there is such a column, is counted again. Rows that
+    share an id are one document to each other; other columns stay. No documents give no rows.
+    """
+    packed = _records(docs).select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), "_record")
+    found = remove_earlier_passages(packed, carry=("_record",)).withColumnRenamed("kept", "_kept")
+    new = {"text": F.col("_kept")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("_kept").cast(docs.schema["n_chars"].dataType)
+    return found.select(*(new.get(c, F.col(f"_record.`{c}`")).alias(c) for c in docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that benchmark items do not contaminate."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.filter(contaminated()).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents that benchmark items do not contaminate.
+
+    Every row is judged by its own text, rows that share an id or have none too; null and empty texts
+    are clean. All columns stay; no documents give no rows.
+    """
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark")).filter(contaminated())
+    keyed = _records(docs).withColumn("_key", document_key("_id", "_text"))
+    return _documents(keyed.join(found.select(F.col("key").alias("_key")).distinct(), "_key", "left_anti"), docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of each document's ids and of the text that they decode to."""
+    """Digests of each document's ids and of the text that they decode to.
+
+    One row for every row; null and empty texts have no ids. Other columns are ignored.
+    """
     return encoded_digests(docs, public_tokenizers.path(MODEL))
 
 
