@@ -30,7 +30,9 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Every row is judged by its own text, repeated rows and rows without id too; null and empty texts
     are not toxic. All columns stay; no documents give no rows.
     """
-    return keep_ordinary(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    model = fit_toxicity(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    packed = _records(docs).select("_record", F.col("_text").alias("text"))
+    return _documents(keep_ordinary(packed, model), docs)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,12 +58,13 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     A null text becomes empty; ``n_chars``, where there is such a column, is counted again. Rows that
     share an id are one document to each other; other columns stay. No documents give no rows.
     """
-    packed = _records(docs).select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"), "_record")
-    found = remove_earlier_passages(packed, carry=("_record",)).withColumnRenamed("kept", "_kept")
-    new = {"text": F.col("_kept")}
+    others = {c: f"_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "n_chars")}
+    own = docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(to) for c, to in others.items()))
+    found = remove_earlier_passages(own, carry=tuple(others.values()))
+    new = {c: F.col(to) for c, to in others.items()} | {"doc_id": F.col("doc_id"), "text": F.col("kept")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("_kept").cast(docs.schema["n_chars"].dataType)
-    return found.select(*(new.get(c, F.col(f"_record.`{c}`")).alias(c) for c in docs.columns))
+        new["n_chars"] = F.length("kept").cast(docs.schema["n_chars"].dataType)
+    return found.select(*(new[c].alias(c) for c in docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
