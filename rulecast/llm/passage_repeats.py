@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rulecast.llm.common import ship, small_batches
 from rulecast.llm.repeats import SCHEMA, keep_repeated, marked
 from rulecast.llm.suffix_runs import pack, unpack
-from rulecast.llm.words import EXACT, Words, cut, pieces, window_minima
+from rulecast.llm.words import EXACT, Words, cut, first_minima, pieces
 
 GRAM, SHARD_WORDS, HELD_BYTES, SHARDS_PER_PARTITION = 5, 60_000, 40 << 20, 64
 
@@ -103,9 +103,7 @@ def choices(words: Words, width: int) -> tuple[np.ndarray, ...]:
     hashes, _ = words.grams(gram)
     text = np.repeat(np.arange(len(counts)), counts)
     window = np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts) + words.first[:-1][text]
-    bits = np.uint64(len(hashes).bit_length())
-    keys = ((hashes >> bits) << bits) | np.arange(len(hashes), dtype=np.uint64)
-    chosen = (window_minima(keys, width - gram + 1)[window] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    chosen = first_minima(hashes, width - gram + 1)[window]
     first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
     last = np.concatenate((first[1:], [total])) - 1
     begin = words.first[text[first]]

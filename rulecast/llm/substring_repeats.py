@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rulecast.llm.common import ship, small_batches
 from rulecast.llm.repeats import SCHEMA, keep_repeated, marked
 from rulecast.llm.suffix_runs import decode_run, front_code, merge_runs, pack, shared_end, unpack
-from rulecast.llm.words import mix, pieces, window_minima
+from rulecast.llm.words import first_minima, mix, pieces
 from rulecast.operators.lineage import materialize
 
 SLICE_BYTES, RUN_BYTES, FEW = 1 << 20, 24 << 20, 24
@@ -78,9 +78,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
         rolled = rolled[:-reach] * np.uint64(factor) + rolled[reach:]
         reach, factor = 2 * reach, factor * factor & (1 << 64) - 1
     rolled = mix(rolled)
-    bits = np.uint64(len(rolled).bit_length())
-    keys = ((rolled >> bits) << bits) | np.arange(len(rolled), dtype=np.uint64)
-    chosen = (window_minima(keys, width)[window] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    chosen = first_minima(rolled, width)[window]
     first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
     last = np.concatenate((first[1:], [total])) - 1
     at = chosen[first]

@@ -126,19 +126,22 @@ def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def winnow(grams: np.ndarray, inside: np.ndarray, width: int) -> np.ndarray:
-    """Positions of the minimum of every window of ``width`` grams that lie in one text.
+def first_minima(keys: np.ndarray, width: int) -> np.ndarray:
+    """The first position of the minimum of each run of ``width`` consecutive keys.
 
-    Ties go to the first position, so which positions a window selects depends on its content alone.
-    ``inside`` must hold for the last gram of a window exactly if it does for the whole window; a
-    window that runs into another text has a first or middle gram outside its own.
+    Keys are compared in full, so which place of a run it is depends on the run's content alone.
     """
-    total = len(grams)
+    total = len(keys)
     if total < width:
         return np.zeros(0, np.int64)
-    bits = np.uint64(max(1, int(total).bit_length()))
-    keys = ((grams >> bits) << bits) | np.arange(total, dtype=np.uint64)
-    outside = np.concatenate(([0], np.cumsum(~inside)))
-    whole = outside[width:] == outside[:-width]
-    chosen = window_minima(keys, width)[whole] & ((np.uint64(1) << bits) - np.uint64(1))
-    return np.unique(chosen).astype(np.int64)
+    # One pass over keys whose low bits are the position; runs whose minimum those bits hid are looked through.
+    bits = np.uint64(total.bit_length())
+    least = window_minima(keys, width)
+    placed = ((keys >> bits) << bits) | np.arange(total, dtype=np.uint64)
+    out = (window_minima(placed, width) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    hidden = np.flatnonzero(keys[out] != least)
+    for step in reversed(range(width if len(hidden) else 0)):
+        at = hidden + step
+        is_least = keys[at] == least[hidden]
+        out[hidden[is_least]] = at[is_least]
+    return out

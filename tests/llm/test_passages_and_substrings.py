@@ -4,12 +4,14 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from helpers import WORD, corpus, documents
 
 from rulecast.llm.passage_repeats import SuffixAutomaton, first_documents, remove_earlier_passages
 from rulecast.llm.substring_repeats import remove_repeated_substrings, repeated_offsets
 from rulecast.llm.suffix_runs import decode_run, front_code, merge_runs, shared, shared_end
+from rulecast.llm.words import first_minima
 
 
 def passages(rows, width):
@@ -129,3 +131,12 @@ def test_large_stretch_equals_pairs():
     for i, (right, _, left, _) in enumerate(members):
         want = {o for o in range(2, len(left) + 1) if any(j != i and len(m[2]) >= o and m[2][len(m[2]) - o :] == left[len(left) - o :] and m[0][: 14 - o] == right[: 14 - o] for j, m in enumerate(members))}
         assert {o for a, b in got[i] for o in range(a, b + 1)} == want
+
+
+@pytest.mark.parametrize("bits", [1, 3, 64])
+def test_first_minima_compare_whole_keys(bits):
+    rnd = np.random.default_rng(bits)
+    for total, width in [(0, 3), (2, 3), (3, 3), (700, 1), (700, 9), (3000, 25)]:
+        keys = rnd.integers(0, 2**bits, total, np.uint64, endpoint=False) if bits < 64 else rnd.integers(0, 2**63, total).astype(np.uint64)
+        want = [i + int(np.argmin(keys[i : i + width])) for i in range(total - width + 1)]
+        assert first_minima(keys, width).tolist() == want
