@@ -4,7 +4,9 @@ A window is ``width`` consecutive words. Each window chooses one of its 5-word g
 smallest hash; equal windows choose equally, so a passage can only repeat where a chosen gram
 does. Around each gram that several documents chose, a document's windows make a segment. Equal
 segments of a task are folded: all but the smallest document's are decided by that alone. The rest
-is dealt by gram to reference shards of bounded size. A shard's segments become one suffix automaton over words, added in ascending order of
+is dealt by gram to reference shards of bounded size. A gram that more documents have than fit into a
+shard is not dealt whole: its segments are cut into single windows, which are dealt by their own
+words, so a frequent phrase with other words around it in each document is spread. A shard's segments become one suffix automaton over words, added in ascending order of
 document, so that each state knows the first document of its strings. All segments of the shard's
 grams are streamed through it: the matching statistics tell, for every window, the first document
 that holds it. The whole corpus is reference and query at once, so automata are not broadcast to
@@ -13,6 +15,8 @@ the input.
 """
 
 import hashlib
+from itertools import pairwise
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +28,7 @@ from rulecast.llm.common import ship, small_batches
 from rulecast.llm.repeats import SCHEMA, keep_repeated, marked
 from rulecast.llm.suffix_runs import pack, unpack
 from rulecast.llm.words import EXACT, Words, cut, first_minima, pieces
+from rulecast.operators.lineage import materialize
 
 GRAM, SHARD_WORDS, HELD_BYTES, SHARDS_PER_PARTITION = 5, 60_000, 40 << 20, 64
 
@@ -134,7 +139,12 @@ def first_documents(segments: list[tuple[bytes, int]], width: int) -> list[list[
 
 
 def remove_earlier_passages(
-    docs: DataFrame, width: int = 13, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] | None = None
+    docs: DataFrame,
+    width: int = 13,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    carry: tuple[str, ...] | None = None,
+    frequent: int | None = None,
 ) -> DataFrame:
     """``doc_id, n_words, n_removed, digest, kept`` of every document.
 
@@ -146,10 +156,14 @@ def remove_earlier_passages(
     between them. A null text has no words. Rows that share an id are one document, as none of them
     is smaller; a row with a null id is compared with nothing and stays whole. Other columns are
     ignored; no rows give no rows.
+
+    A gram is ``frequent`` if more documents than that choose it, by default as many as have the words
+    of one shard around it. It changes how the work is spread and never the result.
     """
     spark = docs.sparkSession
     ship(spark)
     small_batches(spark)
+    frequent = SHARD_WORDS // (2 * width) if frequent is None else frequent
     buckets = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     taken = [f"carried_{i}" for i in range(len(carry or ()))]
     carried = [F.col(name).alias(alias) for name, alias in zip(carry or (), taken, strict=True)]
@@ -163,27 +177,29 @@ def remove_earlier_passages(
                 which, _, _, sig = choices(cut(piece.column(2), EXACT), width)
                 yield marked(sig, piece.column(0).take(pa.array(which)), across_documents=True)
 
-    repeated = keep_repeated(own.filter(F.col("doc_id").isNotNull()).select("doc_id", "row", "text").mapInArrow(chosen, SCHEMA))
-    candidates = repeated.groupBy("doc").agg(F.collect_set("sig").alias("sigs")).select(F.col("doc").alias("doc_id"), "sigs")
+    repeated = materialize(keep_repeated(own.filter(F.col("doc_id").isNotNull()).select("doc_id", "row", "text").mapInArrow(chosen, SCHEMA)))
+    often = materialize(repeated.groupBy("sig").agg(F.count("*").alias("n")).filter(F.col("n") > frequent).select("sig", F.col("sig").alias("often")))
+    candidates = repeated.join(often, "sig", "left").groupBy(F.col("doc").alias("doc_id"))
+    candidates = candidates.agg(F.collect_set("sig").alias("sigs"), F.collect_set("often").alias("often"))
     # Taken along so that the shuffled columns are the same as below.
-    joined = own.join(candidates, "doc_id", "left").select("doc_id", "row", "text", "sigs", *taken)
+    joined = own.join(candidates, "doc_id", "left").select("doc_id", "row", "text", "sigs", "often", *taken)
 
     def segment(batches):
-        held = Segments(buckets)
+        held = Segments(buckets, width)
         for batch in batches:
             for piece in pieces(batch):
-                ids, row, sigs = (piece.column(i).to_pylist() for i in (0, 1, 3))
+                ids, row, sigs, often = (piece.column(i).to_pylist() for i in (0, 1, 3, 4))
                 said = piece.column(2)
                 which, first, last, sig = choices(cut(said, EXACT), width)
                 begin = np.searchsorted(which, np.arange(len(ids) + 1))
                 for i, wanted in enumerate(sigs):
                     if not wanted:
                         continue
-                    words = said[i].as_py().encode().split()
+                    words, spread = said[i].as_py().encode().split(), set(often[i])
                     here = slice(begin[i], begin[i + 1])
                     keep = np.flatnonzero(np.isin(sig[here], np.array(wanted, np.int64)))
                     for a, b, s in zip(first[here][keep].tolist(), last[here][keep].tolist(), sig[here][keep].tolist(), strict=True):
-                        held.add(b" ".join(words[a : b + width]), s, ids[i], row[i], a, b - a + 1)
+                        held.add(b" ".join(words[a : b + width]), None if s in spread else s, ids[i], row[i], a, b - a + 1)
                 if held.size > HELD_BYTES:
                     yield from held.flush()
         yield from held.flush()
@@ -205,8 +221,8 @@ def remove_earlier_passages(
         yield from _hits(_streamed(held, width))
 
     blocks = joined.mapInArrow(segment, "bucket bigint, payload binary")
-    hits = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stream, "doc_id bigint, row bigint, starts array<int>")
-    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("row", "starts")).alias("hits"))
+    hits = blocks.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(stream, "doc_id bigint, row bigint, first int, last int")
+    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("row", "first", "last")).alias("hits"))
     found = own.join(hits, "doc_id", "left").select("doc_id", "row", "text", "hits", *taken)
 
     def remove(batches):
@@ -215,13 +231,14 @@ def remove_earlier_passages(
                 out = []
                 for row, said, hits_ in zip(*(piece.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                     words = said.encode().split()
-                    starts = [k for hit in hits_ or [] if hit["row"] == row for k in hit["starts"]]
-                    if not starts:
+                    spans = [(hit["first"], hit["last"]) for hit in hits_ or [] if hit["row"] == row]
+                    if not spans:
                         out.append((len(words), 0, hashlib.sha256(b" ".join(words)).digest(), None if carry is None else said))
                         continue
                     change = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(change, np.array(starts), 1)
-                    np.add.at(change, np.array(starts) + width, -1)
+                    first, last = np.array(spans).T
+                    np.add.at(change, first, 1)
+                    np.add.at(change, last + width, -1)
                     keep = np.cumsum(change[:-1]) == 0
                     kept = [w for w, k in zip(words, keep.tolist(), strict=True) if k]
                     out.append((len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).digest(), _without(said, keep)))
@@ -244,20 +261,21 @@ class Segments:
 
     An occurrence in another document is later than that one in all its windows, so it is decided
     here; only the smallest document's occurrences ask the shard. So a segment sends one document
-    per task, however many have it.
+    per task, however many have it. A segment without ``sig`` is one of a frequent gram.
     """
 
-    def __init__(self, buckets: int):
+    def __init__(self, buckets: int, width: int):
         self.buckets = buckets
+        self.width = width
         self.least: dict[bytes, tuple] = {}
         self.decided: list[tuple] = []
         self.size = 0
 
-    def add(self, said: bytes, sig: int, doc: int, row: int, at: int, windows: int) -> None:
+    def add(self, said: bytes, sig: int | None, doc: int, row: int, at: int, windows: int) -> None:
         known = self.least.get(said)
         if known is None:
             self.least[said] = (sig, doc, [(row, at)], windows)
-            self.size += len(said) + 300
+            self.size += (len(said) + 300) * (windows if sig is None else 1)
         elif known[1] == doc:
             known[2].append((row, at))
         elif known[1] < doc:
@@ -276,7 +294,13 @@ class Segments:
             rows.append((hash((a, self.decided[a])) & (1 << 62) - 1, KNOWN + compress(body)))
         by_bucket: dict[int, list] = {}
         for said, (sig, doc, places, _) in self.least.items():
-            by_bucket.setdefault(sig % self.buckets, []).extend((said, doc, row, at) for row, at in places)
+            if sig is not None:
+                by_bucket.setdefault(sig % self.buckets, []).extend((said, doc, row, at) for row, at in places)
+                continue
+            words = said.split(b" ")
+            for k in range(len(words) - self.width + 1):
+                window = b" ".join(words[k : k + self.width])
+                by_bucket.setdefault(crc32(window) % self.buckets, []).extend((window, doc, row, at + k) for row, at in places)
         for bucket, found in by_bucket.items():
             found.sort()
             said, doc, row, at = zip(*found, strict=True)
@@ -293,11 +317,11 @@ class Segments:
 def _decided(payload: bytes):
     body = zstandard.ZstdDecompressor().decompress(payload[1:])
     for doc, row, at, windows in zip(*(x.tolist() for x in unpack(body, ["<i8", "<i8", "<i4", "<i4"])), strict=True):
-        yield doc, row, list(range(at, at + windows))
+        yield doc, row, at, at + windows - 1
 
 
 def _streamed(payloads: list[bytes], width: int):
-    """``(doc, row, starts)`` of the windows in one bucket that an earlier document has."""
+    """``(doc, row, first, last)`` of the stretches of windows in one bucket that an earlier document has."""
     asked = []
     for payload in payloads:
         doc, row, at, said = unpack(zstandard.ZstdDecompressor().decompress(payload[1:]), ["<i8", "<i8", "<i4", "u1"])
@@ -308,16 +332,18 @@ def _streamed(payloads: list[bytes], width: int):
     ordered = sorted(least.items(), key=lambda x: (x[1], x[0]))
     firsts = dict(zip((said for said, _ in ordered), first_documents(ordered, width), strict=True))
     for said, doc, row, at in asked:
-        starts = [at + k for k, first in enumerate(firsts[said]) if first < doc]
-        if starts:
-            yield doc, row, starts
+        later = [False, *(first < doc for first in firsts[said]), False]
+        edges = [at + k for k, (one, two) in enumerate(pairwise(later)) if one != two]
+        for first, stop in zip(edges[::2], edges[1::2], strict=True):
+            yield doc, row, first, stop - 1
 
 
 def _hits(found):
     out = list(found)
     for a in range(0, len(out), 2000):
-        doc, row, starts = zip(*out[a : a + 2000], strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(starts, pa.list_(pa.int32()))], names=["doc_id", "row", "starts"])
+        doc, row, first, last = zip(*out[a : a + 2000], strict=True)
+        columns = [pa.array(doc, pa.int64()), pa.array(row, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "first", "last"])
 
 
 def _without(said: str, keep: np.ndarray) -> str:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from helpers import WORD, corpus, documents
 
-from rulecast.llm.passage_repeats import SuffixAutomaton, first_documents, remove_earlier_passages
+from rulecast.llm.passage_repeats import Segments, SuffixAutomaton, first_documents, remove_earlier_passages
 from rulecast.llm.substring_repeats import remove_repeated_substrings, repeated_offsets
 from rulecast.llm.suffix_runs import decode_run, front_code, merge_runs, shared, shared_end
 from rulecast.llm.words import first_minima
@@ -32,11 +32,11 @@ def passages(rows, width):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("width", [13, 4])
-def test_passages_equal_brute_force(spark, width):
+@pytest.mark.parametrize(("width", "frequent"), [(13, None), (4, None), (13, 1), (4, 3)])
+def test_passages_equal_brute_force(spark, width, frequent):
     rows = corpus()
     rows += [(5, rows[0][1]), rows[3], rows[3], (None, rows[4][1])]
-    found = remove_earlier_passages(documents(spark, rows), width).collect()
+    found = remove_earlier_passages(documents(spark, rows), width, frequent=frequent).collect()
     got = sorted(((r.doc_id, r.n_words, r.n_removed, r.digest.hex()) for r in found), key=repr)
     assert got == passages(rows, width)
     for r in found:
@@ -44,6 +44,28 @@ def test_passages_equal_brute_force(spark, width):
             assert hashlib.sha256(" ".join(WORD.findall(r.kept)).encode()).digest() == r.digest
 
 
+def test_a_frequent_gram_is_spread_over_buckets(spark):
+    rnd = random.Random(11)
+
+    def around():
+        return " ".join(f"w{rnd.randrange(10**6)}" for _ in range(8))
+
+    phrase = "we use cookies on this"
+    rows = [(i, f"{around()} {phrase} {around()}") for i in range(4000)]
+    rows += [(i + 4000, f"{text} and more of it") for i, text in rows[::40]]
+    held = Segments(64, 13)
+    for i, text in rows:
+        held.add(" ".join(text.split()[:21]).encode(), None, i, 0, 0, 9)
+    dealt = Counter()
+    for batch in held.flush():
+        for bucket, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            dealt[bucket] += len(payload)
+    assert len(dealt) >= 64 and max(dealt.values()) < 3 * sum(dealt.values()) / 64
+    found = remove_earlier_passages(documents(spark, rows)).collect()
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.digest.hex()) for r in found)
+    assert got == sorted(passages(rows, 13))
+
+
 def test_passages_of_nothing(spark):
     assert remove_earlier_passages(documents(spark, [])).collect() == []
 
