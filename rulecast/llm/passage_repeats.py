@@ -6,7 +6,8 @@ does. Around each gram that several documents chose, a document's windows make a
 segments of a task are folded: all but the smallest document's are decided by that alone. The rest
 is dealt by gram to reference shards of bounded size. A gram that more documents have than fit into a
 shard is not dealt whole: its segments are cut into single windows, which are dealt by their own
-words, so a frequent phrase with other words around it in each document is spread. A shard's segments become one suffix automaton over words, added in ascending order of
+words, so a frequent phrase with other words around it in each document is spread. Such a window
+matches equal ones only and needs no automaton. A shard's segments become one suffix automaton over words, added in ascending order of
 document, so that each state knows the first document of its strings. All segments of the shard's
 grams are streamed through it: the matching statistics tell, for every window, the first document
 that holds it. The whole corpus is reference and query at once, so automata are not broadcast to
@@ -30,7 +31,8 @@ from rulecast.llm.suffix_runs import pack, unpack
 from rulecast.llm.words import EXACT, Words, cut, first_minima, pieces
 from rulecast.operators.lineage import materialize
 
-GRAM, SHARD_WORDS, HELD_BYTES, SHARDS_PER_PARTITION = 5, 60_000, 40 << 20, 64
+GRAM, SHARD_WORDS, HELD_BYTES = 5, 60_000, 40 << 20
+SHARDS_PER_PARTITION, WINDOW_BUCKETS_PER_PARTITION = 64, 2
 
 
 class SuffixAutomaton:
@@ -164,7 +166,7 @@ def remove_earlier_passages(
     ship(spark)
     small_batches(spark)
     frequent = SHARD_WORDS // (2 * width) if frequent is None else frequent
-    buckets = SHARDS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     taken = [f"carried_{i}" for i in range(len(carry or ()))]
     carried = [F.col(name).alias(alias) for name, alias in zip(carry or (), taken, strict=True)]
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *carried)
@@ -185,7 +187,7 @@ def remove_earlier_passages(
     joined = own.join(candidates, "doc_id", "left").select("doc_id", "row", "text", "sigs", "often", *taken)
 
     def segment(batches):
-        held = Segments(buckets, width)
+        held = Segments(partitions, width)
         for batch in batches:
             for piece in pieces(batch):
                 ids, row, sigs, often = (piece.column(i).to_pylist() for i in (0, 1, 3, 4))
@@ -252,8 +254,8 @@ def remove_earlier_passages(
     return out.withColumnsRenamed(dict(zip(taken, carry or (), strict=True)))
 
 
-#: What a block of rows is: occurrences that are decided, or segments that ask the shard.
-KNOWN, ASKED = b"k", b"a"
+#: What a block of rows is: occurrences that are decided, segments that ask the shard, or single windows of frequent grams.
+KNOWN, ASKED, WINDOWS = b"k", b"a", b"w"
 
 
 class Segments:
@@ -264,8 +266,9 @@ class Segments:
     per task, however many have it. A segment without ``sig`` is one of a frequent gram.
     """
 
-    def __init__(self, buckets: int, width: int):
-        self.buckets = buckets
+    def __init__(self, partitions: int, width: int):
+        self.buckets = SHARDS_PER_PARTITION * partitions
+        self.window_buckets = WINDOW_BUCKETS_PER_PARTITION * partitions
         self.width = width
         self.least: dict[bytes, tuple] = {}
         self.decided: list[tuple] = []
@@ -300,12 +303,12 @@ class Segments:
             words = said.split(b" ")
             for k in range(len(words) - self.width + 1):
                 window = b" ".join(words[k : k + self.width])
-                by_bucket.setdefault(crc32(window) % self.buckets, []).extend((window, doc, row, at + k) for row, at in places)
+                by_bucket.setdefault(self.buckets + crc32(window) % self.window_buckets, []).extend((window, doc, row, at + k) for row, at in places)
         for bucket, found in by_bucket.items():
             found.sort()
             said, doc, row, at = zip(*found, strict=True)
             body = pack([(np.array(doc), "<i8"), (np.array(row), "<i8"), (np.array(at), "<i4"), (np.frombuffer(b"\n".join(said), np.uint8), "u1")])
-            rows.append((bucket, ASKED + compress(body)))
+            rows.append((bucket, (ASKED if bucket < self.buckets else WINDOWS) + compress(body)))
         for a in range(0, len(rows), 200):
             keys, payloads = zip(*rows[a : a + 200], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(payloads, pa.binary())], names=["bucket", "payload"])
@@ -329,6 +332,9 @@ def _streamed(payloads: list[bytes], width: int):
     least: dict[bytes, int] = {}
     for said, doc, _, _ in asked:
         least[said] = min(doc, least.get(said, doc))
+    if payloads and payloads[0][:1] == WINDOWS:
+        yield from ((doc, row, at, at) for said, doc, row, at in asked if least[said] < doc)
+        return
     ordered = sorted(least.items(), key=lambda x: (x[1], x[0]))
     firsts = dict(zip((said for said, _ in ordered), first_documents(ordered, width), strict=True))
     for said, doc, row, at in asked:

@@ -60,7 +60,7 @@ def test_a_frequent_gram_is_spread_over_buckets(spark):
     for batch in held.flush():
         for bucket, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             dealt[bucket] += len(payload)
-    assert len(dealt) >= 64 and max(dealt.values()) < 3 * sum(dealt.values()) / 64
+    assert len(dealt) == 128 and max(dealt.values()) < 3 * sum(dealt.values()) / 128
     found = remove_earlier_passages(documents(spark, rows)).collect()
     got = sorted((r.doc_id, r.n_words, r.n_removed, r.digest.hex()) for r in found)
     assert got == sorted(passages(rows, 13))
