@@ -13,7 +13,7 @@ from rulecast.operators.distinct_state import new_numbers
 from rulecast.operators.lineage import materialize, scratch_tables
 from rulecast.plans import audience, catalog, clusters, feedback, feedback_state, offers, reach_state, rules
 from rulecast.sources.publishing import Published, replace_days, table_exists
-from rulecast.sources.readers import on_days, read_device_clusters, read_offer_control
+from rulecast.sources.readers import check_device_clusters, check_offer_control, on_days, read_device_clusters, read_offer_control
 from rulecast.sources.schemas import FEEDBACK, RULES
 from rulecast.sources.writers import (
     create_partitioned,
@@ -32,9 +32,19 @@ def _day(run_date) -> dt.date:
     return yesterday() if run_date is None else as_date(run_date)
 
 
-def upload_offer_control(spark: SparkSession, csv_path: str, out: str) -> None:
-    """Offer control file to a typed table."""
-    replace_table(offers.shape_offer_control(read_offer_control(spark, csv_path)), out)
+def upload_offer_control(
+    spark: SparkSession, csv_path: str, out: str, rejected: str | None = None, strict: bool = False
+) -> None:
+    """Offer control file to a typed table.
+
+    ``rejected`` is where the faults of the file go, if they are wanted. A field with a fault is NULL
+    in the table; with ``strict`` its whole line stays out.
+    """
+    checked = check_offer_control(spark, csv_path, offers.offer_checks())
+    raw = checked.rows if strict else read_offer_control(spark, csv_path)
+    replace_table(offers.shape_offer_control(raw), out)
+    if rejected is not None:
+        replace_table(checked.rejected, rejected)
 
 
 def run_feedback(
@@ -172,12 +182,20 @@ def export_rules(spark: SparkSession, table: str, out: str, run_date=None) -> No
 
 
 def build_cluster_rules(
-    spark: SparkSession, csv_path: str, out: str, export: str | None = None, models: str | None = None
+    spark: SparkSession,
+    csv_path: str,
+    out: str,
+    export: str | None = None,
+    models: str | None = None,
+    rejected: str | None = None,
 ) -> None:
     """Cluster file to rules per cluster label, as a CSV file too if asked for.
 
-    ``models`` is where the list of models per label goes, in their own case, if it is wanted.
+    ``models`` is where the list of models per label goes, in their own case, and ``rejected`` where
+    the faults of the file go, if they are wanted.
     """
+    if rejected is not None:
+        replace_table(check_device_clusters(spark, csv_path).rejected, rejected)
     labelled = clusters.cluster_brand(
         clusters.shape_device_clusters(read_device_clusters(spark, csv_path))
     )

@@ -11,6 +11,7 @@ from rulecast.operators.lineage import materialize
 from rulecast.operators.ordering import count_before
 from rulecast.operators.ranges import range_join
 from rulecast.operators.skew import salted_join
+from rulecast.sources.rejects import Check
 
 # Open price bounds, and the factor from a release price to the bounds' currency.
 OPEN_MIN, OPEN_MAX = -99999, 99999
@@ -50,6 +51,20 @@ def shape_offer_control(raw: DataFrame) -> DataFrame:
     )
 
 
+def offer_checks() -> tuple[Check, ...]:
+    """Values of the file that shaping or a later gate would turn into NULL: days and thresholds."""
+
+    def day(prefix):
+        parts = [F.col(f"{prefix}_{p}") for p in ("year", "month", "day")]
+        said = F.concat_ws("-", *(F.coalesce(p, F.lit("")) for p in parts))
+        return Check(f"{prefix}_date", said, "no such day", (said != "--") & date_of_parts(*parts).isNull())
+
+    def number(name):
+        return Check(name, F.col(name), "not a number", F.col(name).isNotNull() & as_number(F.col(name)).isNull())
+
+    return (day("start"), day("end"), *map(number, THRESHOLDS))
+
+
 def active_offers(control: DataFrame, run_date: dt.date | str) -> DataFrame:
     """Offers valid on the day (end excluded) with a flag set for any channel."""
     day = F.lit(as_date(run_date))

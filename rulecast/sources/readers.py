@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rulecast.functions.dates import as_date
+from rulecast.sources.rejects import Check, CheckedFile, check_positional_csv
 from rulecast.sources.schemas import DEVICE_CLUSTERS, OFFER_CONTROL
 
 
@@ -27,6 +28,14 @@ def read_device_clusters(spark: SparkSession, path: str) -> DataFrame:
     return read_positional_csv(spark, path, DEVICE_CLUSTERS, ("vendor", "VENDOR"))
 
 
+def check_offer_control(spark: SparkSession, path: str, checks: tuple[Check, ...] = ()) -> CheckedFile:
+    return check_positional_csv(spark, path, OFFER_CONTROL, ("offer", "Offer"), checks)
+
+
+def check_device_clusters(spark: SparkSession, path: str) -> CheckedFile:
+    return check_positional_csv(spark, path, DEVICE_CLUSTERS, ("vendor", "VENDOR"))
+
+
 def on_days(start: dt.date | str, end: dt.date | str | None = None) -> Column:
     """Partition predicate for the days ``start`` to ``end``, both included.
 

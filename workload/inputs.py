@@ -124,6 +124,17 @@ select 'offer-' || cast(case when s.s_suppkey % 40 = 39 then s.s_suppkey - 1 els
        case when s.s_suppkey % 3 = 0 then '0.2' else '30' end as max_cps
 from {supplier} s"""
 
+_FAULTY = {
+    "rrp": "case when apollo_price % 110 = 50 then 'n/a' when apollo_price % 130 = 20 then '4,990' else cast(rrp as string) end",
+    "end_month": "case when apollo_price % 90 = 10 then '13' else end_month end",
+    "end_day": "coalesce(end_day, '1')",
+}
+_TYPED = """uc1_priority active_flg_kd active_flg_fb active_flg_pt screen_size rrp apollo_price min_pack start_year start_month
+start_day end_year end_month end_day target_rlp_min target_rlp_max min_ctr min_landings min_submits min_s2l max_cps""".split()
+FAULTY_OFFERS = f"""
+select offer, {", ".join(f"{_FAULTY.get(c, f'cast({c} as string)')} as {c}" for c in _TYPED)}
+from ({OFFERS_RAW}) o"""
+
 PROPERTIES = f"""
 select {DEVICE} as dvc_techname,
        case when p.p_partkey % 401 = 5 then '1e300' when p.p_partkey % 401 = 6 then '-1e300'

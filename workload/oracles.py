@@ -400,6 +400,20 @@ group by model, user_agent having count(device_id) > 0"""
         for w in WINDOWS
     ),
     "offer_control_file": ORACLES["offer_control"],
+    "rejected_offer_fields": f"""
+with f as ({inputs.sql_for(inputs.FAULTY_OFFERS)}), short as (select offer from f where apollo_price::int % 70 = 30),
+more as (select * from f where apollo_price::int % 70 = 40), lines as (select * from f union all select * from more)
+select offer, 'rrp' as field, rrp as value, 'not a value of type int' as reason from lines
+where rrp is not null and not regexp_full_match(rrp, '[0-9]+')
+union all select offer, 'end_date', '2017-13-' || end_day, 'no such day' from lines where end_month = '13'
+union all select offer, 'min_ctr', min_ctr, 'not a number' from lines where min_ctr = 'n/a'
+union all select offer, null, null, 'number of fields' from short
+union all select offer, null, null, 'number of fields' from more""",
+    "accepted_offers": OFFER_CONTROL.replace(
+        f"({inputs.sql_for(inputs.OFFERS_RAW)})",
+        f"""(select * replace (coalesce(end_day, '1') as end_day) from ({inputs.sql_for(inputs.OFFERS_RAW)})
+        where apollo_price % 110 <> 50 and apollo_price % 130 <> 20 and apollo_price % 90 <> 10 and min_ctr <> 'n/a')""",
+    ),
     # The reader drops rows without a vendor, as it tells title rows by that column.
     "cluster_file": f"""
 select a.cluster_brand, a.rule, b.rule as models

@@ -389,6 +389,32 @@ def offer_control_file(spark, sf_dir):
     return spark.read.parquet(table)
 
 
+def _faulty_offers(spark, sf_dir):
+    """The control file with fields that are no numbers or days, and lines cut short or with a field more."""
+    path = _scratch(spark, "faulty-csv")
+    rows = inputs.derive(spark, sf_dir, inputs.FAULTY_OFFERS)
+    title = spark.range(1).select(*(F.lit("Offer" if c == "offer" else c).alias(c) for c in rows.columns))
+    rows.unionByName(title).write.csv(path)
+    rows.where("apollo_price % 70 = 30").select(*rows.columns[:5]).write.mode("append").csv(path)
+    rows.where("apollo_price % 70 = 40").withColumn("more", F.lit("x")).write.mode("append").csv(path)
+    return path
+
+
+def rejected_offer_fields(spark, sf_dir):
+    """Every fault of a control file, with the offer whose line has it."""
+    table, rejected = _scratch(spark, "offers"), _scratch(spark, "rejected")
+    jobs.upload_offer_control(spark, _faulty_offers(spark, sf_dir), table, rejected=rejected)
+    offer = F.substring_index("line", ",", 1).alias("offer")
+    return spark.read.parquet(rejected).select(offer, "field", "value", "reason")
+
+
+def accepted_offers(spark, sf_dir):
+    """The table from the lines of a control file that have no fault."""
+    table = _scratch(spark, "offers")
+    jobs.upload_offer_control(spark, _faulty_offers(spark, sf_dir), table, strict=True)
+    return spark.read.parquet(table)
+
+
 def cluster_file(spark, sf_dir):
     """The cluster file as CSV text, to stored rules and model lists, read back."""
     path, out, models = (_scratch(spark, n) for n in ("clusters-csv", "cluster-rules", "models"))
@@ -495,6 +521,8 @@ QUERIES = {
         cluster_reach_windows,
         model_reach,
         offer_control_file,
+        rejected_offer_fields,
+        accepted_offers,
         cluster_file,
         feedback_table,
         feedback_one_day,
