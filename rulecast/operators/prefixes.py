@@ -9,7 +9,10 @@ from rulecast.operators.skew import salted_join, spread_evenly
 WILDCARDS = r"[_%\\]"
 # Literal text before the first wildcard; escaped characters are literal.
 HEAD = r"^((?:[^_%\\]|\\.)*)"
+# What stands before the first ``%``: there every character has its place.
+FIXED = r"(?s)^((?:[^%\\]|\\.)*)"
 GRAM = 3
+LITERAL = "x"  # how a mask shows a literal place
 
 
 def best_prefix_rank(
@@ -21,41 +24,57 @@ def best_prefix_rank(
     the start, so the literal text before a pattern's first wildcard, its head, must begin the name.
     Heads and names are put into one order. Every head that begins a name also begins whatever lies
     between the two, so the last head before a name begins with all heads of the name: each name
-    needs that one only, and from it has the few heads that come into question. Only a pattern that
-    begins with a wildcard has no head; it meets names by a piece of up to three literal characters,
-    in a step of its own that is left out where there are none. Pairs with wildcards are then checked
-    by LIKE.
+    needs that one only, and from it has the few heads that come into question. Many patterns can
+    share a short head, so the characters after it are compared too, by equality: up to a pattern's
+    first ``%`` the places of its ``_`` are its mask, and a name meets only the patterns that have its
+    own characters at the other places of one of the masks of its heads. Only a pattern that begins
+    with ``%`` has no such place; it meets names by a piece of up to three literal characters, in a step
+    of its own that is left out where there are none. What follows a ``%`` is then checked by LIKE.
     """
     keys = materialize(names.select(F.col(name).alias("_name")).distinct())
     shaped = materialize(_shaped(patterns, pattern, rank))
-    headed = materialize(_lowest(shaped.where(~F.col("_loose")), F.col("_head")))
-    loose = materialize(_lowest(shaped.where("_loose"), F.left("_piece", F.lit(GRAM))))
+    headed = materialize(_lowest(shaped.where(~F.col("_loose")), F.col("_head").alias("_anchor"), "_mask", "_text"))
+    loose = materialize(_lowest(shaped.where("_loose"), F.left("_piece", F.lit(GRAM)).alias("_anchor")))
     matches = F.like(F.col("_name"), F.concat(F.col("_like"), F.lit("%")))
 
-    def hits(anchored: DataFrame, lookup: DataFrame) -> DataFrame:
-        pairs = salted_join(anchored, lookup, ["_anchor"], F.col("_name"))
+    def hits(anchored: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
+        pairs = salted_join(anchored, lookup, on, F.col("_name"))
         return pairs.where(F.col("_like").isNull() | matches).select("_name", "_rank")
 
-    found = hits(_with_heads(keys, headed.select(F.col("_anchor").alias("_head")).distinct()), headed)
+    masks = headed.select(F.col("_anchor").alias("_head"), "_mask").distinct()
+    found = hits(_with_heads(keys, masks), headed, ["_anchor", "_mask", "_text"])
     if not loose.isEmpty():
         pieces = spread_evenly(keys).select("_name", F.explode(_pieces(F.col("_name"))).alias("_anchor"))
-        found = found.unionByName(hits(pieces, loose))
+        found = found.unionByName(hits(pieces, loose, ["_anchor"]))
     rankless = keys.withColumn("_rank", F.lit(None).cast(patterns.schema[rank].dataType))
     return found.unionByName(rankless).groupBy(F.col("_name").alias(name)).agg(F.min("_rank").alias(rank))
 
 
-def _with_heads(keys: DataFrame, heads: DataFrame) -> DataFrame:
-    """``_name, _anchor``: each name with each of the heads that it begins with."""
+def _with_heads(keys: DataFrame, masks: DataFrame) -> DataFrame:
+    """``_name, _anchor, _mask, _text``: each name with the heads that it begins with and their masks.
+
+    The text is what the name has at the literal places of the mask.
+    """
     before = F.lit(None).cast("string")
+    heads = masks.select("_head").distinct()
     ordered = heads.select(F.col("_head").alias("_text"), F.lit(0).alias("_kind"), "_head")
     ordered = ordered.unionByName(keys.where("_name is not null").select(F.col("_name").alias("_text"), F.lit(1).alias("_kind"), before.alias("_head")))
     nearest = last_value(ordered, ["_text", "_kind"], "_head", "_last").where("_kind = 1 and _last is not null")
     # Heads are exploded to their beginnings, names are not.
     inner = heads.select(F.col("_head").alias("_last"), F.explode(_prefixes(F.col("_head"))).alias("_head"))
-    chains = materialize(inner.join(heads, "_head").groupBy("_last").agg(F.collect_list("_head").alias("_chain")))
+    entry = F.struct(F.col("_head").alias("_anchor"), "_mask")
+    chains = materialize(inner.join(masks, "_head").groupBy("_last").agg(F.collect_list(entry).alias("_chain")))
     named = salted_join(nearest.select(F.col("_text").alias("_name"), "_last"), chains, ["_last"], F.col("_name"))
-    begun = F.filter("_chain", lambda h: F.startswith("_name", h))
-    return named.select("_name", F.explode(begun).alias("_anchor"))
+    length = F.length("_name")
+    begun = F.filter("_chain", lambda c: F.startswith("_name", c["_anchor"]) & (length >= F.length(c["_mask"])))
+    return named.select("_name", F.inline(begun)).withColumn("_text", _at_places(F.col("_name"), F.col("_mask")))
+
+
+def _at_places(name: Column, mask: Column) -> Column:
+    """The characters of a name at the literal places of a mask, none for an empty mask."""
+    one = F.lit(1)
+    kept = F.transform(F.sequence(one, F.length(mask)), lambda i: F.when(F.substring(mask, i, one) == LITERAL, F.substring(name, i, one)))
+    return F.when(mask == "", F.lit("")).otherwise(F.array_join(kept, ""))
 
 
 def _prefixes(name: Column) -> Column:
@@ -88,18 +107,27 @@ def _shaped(patterns: DataFrame, pattern: str, rank: str) -> DataFrame:
     # Without a literal character only the number of ``_`` matters.
     shape = F.when(like.rlike("^[_%]*$"), F.regexp_replace(like, "%", "")).otherwise(like)
     wild = F.col("_pattern").rlike(WILDCARDS)
+    fixed = F.regexp_extract(shape, FIXED, 1)
+    mask = F.regexp_replace(fixed, r"(?s)\\.|[^_]", LITERAL)
+    text = F.regexp_replace(fixed, r"(?s)\\(.)|_", "$1")
+    none = F.lit("")
+    # Equality at the places of the mask decides where nothing follows them.
+    loose = shape.startswith("%")
+    decided = ~loose & (fixed == shape)
     return (
         patterns.where(F.col(pattern).isNotNull())
         .select(F.col(pattern).alias("_pattern"), F.col(rank).alias("_rank"))
         .select(
             "_rank",
-            F.when(wild, shape).alias("_like"),
+            F.when(wild & ~decided, shape).alias("_like"),
             F.when(wild, head).otherwise(F.col("_pattern")).alias("_head"),
+            F.when(wild, mask).otherwise(none).alias("_mask"),
+            F.when(wild, text).otherwise(none).alias("_text"),
             longest.alias("_piece"),
-            (wild & (head == "")).alias("_loose"),
+            (wild & loose).alias("_loose"),
         )
     )
 
 
-def _lowest(shaped: DataFrame, anchor: Column) -> DataFrame:
-    return shaped.groupBy(anchor.alias("_anchor"), "_like").agg(F.min("_rank").alias("_rank"))
+def _lowest(shaped: DataFrame, *by) -> DataFrame:
+    return shaped.groupBy(*by, "_like").agg(F.min("_rank").alias("_rank"))

@@ -69,6 +69,22 @@ def test_prefix_match_equals_like(spark):
         assert got[None] is None and len(got) == len(names) + 1
 
 
+def test_patterns_with_one_short_head_do_not_meet_all_its_names(spark, monkeypatch):
+    from rulecast.operators import prefixes
+
+    n, met = 200, []
+
+    def counted(facts, lookup, on, *rest):
+        met.append((joined := salted_join(facts, lookup, on, *rest)).count())
+        return joined
+
+    monkeypatch.setattr(prefixes, "salted_join", counted)
+    names = spark.createDataFrame([(f"ab-{k:03}z",) for k in range(n)], "name string")
+    patterns = spark.createDataFrame([(f"ab_{k:03}", k) for k in range(n)], "pat string, rank int")
+    assert rows(best_prefix_rank(names, patterns, "name", "pat", "rank")) == [(f"ab-{k:03}z", k) for k in range(n)]
+    assert max(met) <= 2 * n
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_join_equals_join(spark, how):
     facts = spark.createDataFrame([("hot", i) for i in range(50)] + [("cold", 1), (None, 2)], "k string, v int")
