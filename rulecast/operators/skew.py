@@ -12,6 +12,7 @@ def salted_join(
     spread_by: Column,
     how: str = "inner",
     salts: int = SALTS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Join on ``on``, spreading every key of ``facts`` over ``salts`` partitions.
 
@@ -20,13 +21,19 @@ def salted_join(
     fact rows (``inner``, ``left``, ``left_semi``, ``left_anti``). No side is forced to broadcast: when the lookup
     proves small at run time, adaptive execution does that by its measured size. A lookup that Spark
     takes for small enough beforehand needs no salt: it is sent to the facts, whose keys do not move.
+
+    ``partitions`` is for a join whose result is much larger than both sides: Adaptive execution would
+    size its tasks by their input.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type for salting: {how}")
     if _is_broadcast(lookup):
-        return facts.join(lookup, on, how)
+        spread = facts if partitions is None else facts.repartition(partitions, F.xxhash64(*facts.columns))
+        return spread.join(lookup, on, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if partitions is not None:
+        salted, copies = (side.repartition(partitions, *on, "_salt") for side in (salted, copies))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
@@ -43,5 +50,9 @@ def spread_evenly(df: DataFrame) -> DataFrame:
     For distinct rows that a next step multiplies. Adaptive execution sizes tasks by their input and
     would give a small table to one task; a stated number of partitions is left as it is.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, F.xxhash64(*df.columns))
+    return df.repartition(partitions_of(df), F.xxhash64(*df.columns))
+
+
+def partitions_of(df: DataFrame) -> int:
+    """As many partitions as the session shuffles into."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -3,14 +3,14 @@
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rulecast.functions.dates import as_date, date_of_parts
 from rulecast.functions.numbers import as_number
 from rulecast.operators.lineage import materialize
 from rulecast.operators.ordering import count_before
 from rulecast.operators.ranges import range_join
-from rulecast.operators.skew import salted_join
+from rulecast.operators.skew import partitions_of, salted_join
 from rulecast.sources.rejects import Check
 
 # Open price bounds, and the factor from a release price to the bounds' currency.
@@ -140,19 +140,41 @@ def feedback_condition() -> Column:
 def control_devices(active: DataFrame, properties: DataFrame) -> DataFrame:
     """Devices whose price lies in an offer's range, with the offer's terms.
 
-    The result has a row per device and offer. Only a name with several prices can meet an offer
-    more than once, so only those pairs are made distinct.
+    The result has a row per device and offer; nothing else grows like that. Only a name with several
+    prices can meet an offer more than once. The ranges of equal terms are one set of ranges that do
+    not touch each other, and a name is listed at the first of its prices in each of them. That leaves
+    equal pairs only for terms with several ranges, and only those pairs are made distinct.
     """
     price = as_number(F.col("release_price")) * PRICE_FACTOR
-    named = materialize(properties.groupBy("dvc_techname").agg(F.collect_set(price).alias("prices")))
-    prices = named.select("dvc_techname", F.explode("prices").alias("price"), (F.size("prices") > 1).alias("_several"))
-    offers = materialize(price_offers(active, prices))
-    pairs = salted_join(prices, offers, ["price"], F.col("dvc_techname"))
-    once = pairs.where("not _several").select(*TERMS, "dvc_techname")
-    several = pairs.where("_several").select(*TERMS, "dvc_techname").distinct()
+    named = properties.groupBy("dvc_techname").agg(F.sort_array(F.collect_set(price)).alias("_prices"))
+    places = F.transform("_prices", lambda p, i: F.struct(p.alias("price"), F.when(i > 0, F.get("_prices", i - 1)).alias("_previous")))
+    prices = materialize(named.select("dvc_techname", F.inline(places)))
+    offers = materialize(_priced_ranges(active, prices))
+    pairs = salted_join(prices, offers, ["price"], F.col("dvc_techname"), partitions=partitions_of(prices))
+    first = pairs.where("_previous is null or _previous < _low")
+    once = first.where("not _several").select(*TERMS, "dvc_techname")
+    several = first.where("_several").select(*TERMS, "dvc_techname").distinct()
     return once.unionByName(several).withColumn("feedback_cond", feedback_condition())
 
 
+def _priced_ranges(active: DataFrame, prices: DataFrame) -> DataFrame:
+    """The terms of the offers whose range holds a price, per distinct price.
+
+    Each with the lower end of that range, ``_low``, and whether the terms have ``_several``. Ranges of
+    equal terms that share a number count as one.
+    """
+    low, high = F.col("target_rlp_min"), F.col("target_rlp_max")
+    ranges = active.where(low <= high).select(*TERMS, low, high).distinct()
+    ordered = Window.partitionBy(*TERMS).orderBy(low, high)
+    reached = F.max(high).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    begins = ranges.withColumn("_begins", F.coalesce(low > reached, F.lit(True)).cast("int"))
+    number = F.sum("_begins").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    merged = begins.withColumn("_number", number).groupBy(*TERMS, "_number").agg(F.min(low).alias("_low"), F.max(high).alias("_high"))
+    counted = merged.withColumn("_several", F.count("*").over(Window.partitionBy(*TERMS)) > 1).drop("_number")
+    points = prices.select("price").distinct()
+    return range_join(points, counted, "price", "_low", "_high", cell=PRICE_FACTOR, bits=PRICE_BITS).drop("_high")
+
+
 def offer_list(control: DataFrame) -> DataFrame:
     """The offers that have a device or a price, with their terms."""
     return control.select(*TERMS).distinct().withColumn("feedback_cond", feedback_condition())

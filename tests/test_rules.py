@@ -84,6 +84,27 @@ def test_price_range_is_inclusive_and_ignores_unknown_prices(spark):
     assert listed.first().feedback_cond == "CTR>=0.005 and submits>=1 and S2L>=0.05 and CPS<=30"
 
 
+def test_names_with_several_prices_are_listed_once(spark, monkeypatch):
+    compared = []
+
+    def counted(df):
+        if {"offer", "dvc_techname"} <= set(df.columns):
+            compared.append(df.count())
+        return df.dropDuplicates()
+
+    prices = [("x", str(p)) for p in range(100, 140)] + [("y", "100"), ("y", "110"), (None, "120"), (None, "121"), ("z", "null")]
+    props = spark.createDataFrame(prices, PROPERTIES)
+    one = [control_row("open"), control_row("a", low=4000, high=4400), control_row("a", low=4100, high=4800)]
+    two = [control_row("b", low=4000, high=4010), control_row("b", low=4400, high=4400), control_row("c", low=9, high=8)]
+    monkeypatch.setattr(type(props), "distinct", counted)
+    listed = rows(control_devices(control(spark, *one), props).select("offer", "dvc_techname"))
+    assert listed == sorted([(o, d) for o in ("open", "a") for d in ("x", "y", None)], key=repr)
+    # Equal pairs come of terms with ranges apart only, not of every price of a name.
+    assert sum(compared) == 0
+    listed = rows(control_devices(control(spark, *one, *two), props).select("offer", "dvc_techname"))
+    assert listed == sorted([(o, d) for o in ("open", "a") for d in ("x", "y", None)] + [("b", "x"), ("b", "y")], key=repr)
+
+
 def outcomes(spark, offers, fb, evidence=SMALL, **options):
     totals = device_totals(fb)
     terms = offer_terms(offers, offer_activity(fb, totals), evidence)
