@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rulecast.functions.dates import as_date
-from rulecast.sources.publishing import Files, Published, changed_days, day_folder, decide, finish, staging
+from rulecast.sources.publishing import PART, Files, Published, changed_days, day_folder, decide, finish, part_of, staging
 from rulecast.sources.readers import on_days
 from rulecast.sources.schemas import PARTITION
 
@@ -51,14 +51,20 @@ def read_state(spark: SparkSession, path: str) -> FeedbackState:
 
 
 def day_sums(feedback: DataFrame) -> DataFrame:
-    """The contribution of each day (a partition of the table) per offer, channel and device."""
+    """The contribution of each day (a partition of the table) per offer, channel and device.
+
+    A feedback table has hardly a key twice on a day, so its rows are shuffled as they are, in the
+    parts in which the days are staged; sums and staging need no shuffle of their own then.
+    """
     given = [F.count(m).alias(f"{m}_given") for m in MEASURES]
     sums = [F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES]
     return (
         feedback.where(F.col("offer").isNotNull())
-        .groupBy(*PARTITION, "sighted_date", *KEYS)
+        .withColumn(PART, part_of("sighted_date", *KEYS))
+        .repartition(*PARTITION, PART)
+        .groupBy(*PARTITION, PART, "sighted_date", *KEYS)
         .agg(F.count("*").alias("rows"), F.count_if(F.col("submits") > 0).alias("conversions"), *sums, *given)
-        .select("sighted_date", *KEYS, *COUNTS, *PARTITION)
+        .select("sighted_date", *KEYS, *COUNTS, *PARTITION, PART)
     )
 
 

@@ -15,7 +15,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rulecast.sources.readers import on_days
 from rulecast.sources.schemas import PARTITION
@@ -23,6 +23,8 @@ from rulecast.sources.schemas import PARTITION
 WORK, DIGESTS = "_publish", "_digests.json"
 #: Parts of a day, so that a heavy one is not one task.
 PARTS = 8
+#: Rows that come dealt out by day and part say so by a column of this name.
+PART = "_part"
 
 
 @dataclass
@@ -100,9 +102,12 @@ def _digests(rows: DataFrame) -> dict[dt.date, list]:
     """Per day the number of rows and two sums of their hashes, whatever their order."""
     columns = [c for c in rows.columns if c not in PARTITION]
     one = F.xxhash64(*columns)
-    other = F.xxhash64(F.lit("second"), *columns).cast("decimal(38,0)")
-    days = rows.groupBy(*PARTITION).agg(F.count("*").alias("n"), F.bit_xor(one).alias("x"), F.sum(other).alias("s"))
-    return {dt.date(r.year, r.month, r.day): [r.n, r.x, str(r.s)] for r in days.toLocalIterator()}  # a row per day
+    other = F.xxhash64(F.lit("second"), *columns)
+    # The second sum does not fit a long; its halves do, and cost less than a decimal.
+    high, low = F.shiftright(other, 32), other.bitwiseAND(F.lit(0xFFFFFFFF))
+    sums = [F.sum(high).alias("high"), F.sum(low).alias("low")]
+    days = rows.groupBy(*PARTITION).agg(F.count("*").alias("n"), F.bit_xor(one).alias("x"), *sums)
+    return {dt.date(r.year, r.month, r.day): [r.n, r.x, str((r.high << 32) + r.low)] for r in days.toLocalIterator()}  # a row per day
 
 
 def staging(path: str, run: str) -> str:
@@ -170,9 +175,10 @@ def changed_days(rows: DataFrame, path: str, run: str, first: dt.date, last: dt.
     spark, inner = rows.sparkSession, f"{under}/" if under else ""
     files, staged = Files(spark, path), f"{staging(path, run)}/{under}".rstrip("/")
     stage_days(rows, staged)
-    digests = _digests(spark.read.schema(rows.schema).parquet(staged))
+    schema = rows.drop(PART).schema
+    digests = _digests(spark.read.schema(schema).parquet(staged))
     days = [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
-    held = _held(spark, files, inner, rows.schema, [d for d in days if d in digests])
+    held = _held(spark, files, inner, schema, [d for d in days if d in digests])
     change = Change(digests=digests)
     for day in days:
         if day in digests:
@@ -184,8 +190,13 @@ def changed_days(rows: DataFrame, path: str, run: str, first: dt.date, last: dt.
 
 def stage_days(rows: DataFrame, path: str) -> None:
     """Write rows by day, a heavy day in several parts."""
-    part = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in PARTITION]), F.lit(PARTS))
-    rows.repartition(*PARTITION, part).write.partitionBy(*PARTITION).parquet(path)
+    dealt = rows.drop(PART) if PART in rows.columns else rows.repartition(*PARTITION, part_of(*[c for c in rows.columns if c not in PARTITION]))
+    dealt.write.partitionBy(*PARTITION).parquet(path)
+
+
+def part_of(*columns: str) -> Column:
+    """The part of its day that a row belongs to."""
+    return F.pmod(F.xxhash64(*columns), F.lit(PARTS))
 
 
 def _held(spark: SparkSession, files: Files, inner: str, schema, days: list[dt.date]) -> dict[dt.date, list]:

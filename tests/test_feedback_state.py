@@ -56,6 +56,24 @@ def test_days_enter_are_replaced_and_leave(spark, tmp_path, seed):
     assert rows(read_state(spark, path).totals()) == [] == rows(read_state(spark, path).launch_days())
 
 
+def test_days_are_summed_and_staged_in_one_shuffle(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    from rulecast.plans.feedback_state import day_sums
+    from rulecast.sources import publishing
+
+    plans, finished = [], publishing._digests
+    sums = day_sums(feedback(spark, 3))
+    monkeypatch.setattr(type(sums), "repartition", lambda df, *by, f=type(sums).repartition: plans.append(by) or f(df, *by))
+    publishing.stage_days(sums, str(tmp_path / "days"))
+    assert not plans
+    # The digest is the one that stored tables have.
+    stored = spark.read.parquet(str(tmp_path / "days"))
+    columns = [c for c in stored.columns if c not in publishing.PARTITION]
+    second = F.xxhash64(F.lit("second"), *columns).cast("decimal(38,0)")
+    days = stored.groupBy(*publishing.PARTITION).agg(F.sum(second).alias("s")).collect()
+    assert {k: v[2] for k, v in finished(stored).items()} == {dt.date(r.year, r.month, r.day): str(r.s) for r in days}
+
+
 def test_a_run_that_stops_leaves_or_finishes_the_state(spark, tmp_path, monkeypatch):
     from test_publishing import stop_at
 
