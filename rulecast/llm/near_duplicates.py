@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rulecast.llm.common import ship, small_batches, texts
+from rulecast.llm.common import free_arrow, ship, small_batches, texts
 from rulecast.llm.components import connected_components
 from rulecast.llm.words import FOLDED, Words, cut, mix, pieces
 from rulecast.operators.lineage import materialize
@@ -82,6 +82,7 @@ def _sketched(docs: DataFrame, size: int, threshold: float, trees: int, levels:
                     rows.append((len(shingles), key, low.astype(np.uint32).view(np.int32).tolist(), [s if c else None for s, c in zip(second, chosen.tolist(), strict=True)], low.astype(np.uint8).tobytes()))
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), *columns], names=["doc_id", "row", "n_shingles", "key", "low", "second", "sketch"])
+            free_arrow()
 
     return docs.select("doc_id", "text", "row").mapInArrow(sketch, "doc_id bigint, row bigint, n_shingles bigint, key binary, low array<int>, second array<int>, sketch binary")
 
@@ -171,6 +172,7 @@ def _confirmed(pairs: DataFrame, said: DataFrame, size: int, percent: int) -> Da
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            free_arrow()
 
     return joined.mapInArrow(confirm, "a bigint, b bigint")
 

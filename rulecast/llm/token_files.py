@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rulecast.llm.common import ship, small_batches, texts
+from rulecast.llm.common import free_arrow, ship, small_batches, texts
 
 SCHEMA = "shard int, doc_id bigint, first bigint, n_tokens bigint, tokens array<int>"
 METADATA = ["shard", "doc_id", "first", "n_tokens"]
@@ -72,7 +72,7 @@ class WordEncoder:
         for i, word in enumerate(words):
             mark = self.marks.get(word[-1:])
             letters = word if mark is None else word[:-1]
-            if letters.isalpha() and max(letters) < "\u0100":
+            if letters.isalpha() and (letters.isascii() or max(letters) < "\u0100"):
                 ids = self._letters(letters.lower())
                 found.append(ids if mark is None else ids + mark)
             else:
@@ -96,7 +96,11 @@ class WordEncoder:
         size = length[which]
         before = np.concatenate(([0], np.cumsum(size)))
         per_text = np.diff(before[words.offsets.to_numpy() - words.offsets[0].as_py()])
-        taken = flat[np.repeat(start[which] - before[:-1], size) + np.arange(before[-1])]
+        # One text has fewer ids than bytes, so places among the ids of a chunk fit 32 bits.
+        place = np.repeat((start[which] - before[:-1]).astype(np.int32), size)
+        place += np.arange(before[-1], dtype=np.int32)
+        taken = flat[place]
+        del words, numbered, ids, which, size, place
         if end_id is None:
             return taken, per_text
         ends = np.cumsum(per_text + 1) - 1
@@ -150,6 +154,8 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int | None, p
                     names=["shard", "doc_id", "first", "n_tokens", "tokens"],
                 )
             first += int(at[-1])
+            del chunk, text, ids, size, at
+            free_arrow()
 
     return placed.sortWithinPartitions("doc_id", "text").mapInArrow(encode, SCHEMA)
 

@@ -164,6 +164,21 @@ def test_main_text_of_odd_pages(spark):
     assert extract_main_text(pages.limit(0)).collect() == []
 
 
+def test_encoding_holds_few_bytes_for_each_id():
+    import tracemalloc
+
+    from rulecast.llm.token_files import WordEncoder
+
+    encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    encoder.encode(pa.array(["the cat"]), 1)  # what is loaded once does not count
+    tracemalloc.start()
+    try:
+        ids, size = encoder.encode(pa.array(["the cat sat on a mat " * 50_000]), 1)
+        assert len(ids) == size[0] == 300_001 and tracemalloc.get_traced_memory()[1] < 30 * len(ids)
+    finally:
+        tracemalloc.stop()
+
+
 def test_token_files_equal_the_library(spark, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     rows = corpus() + [(3000, "Don't <|endoftext|> É̈ ϲ Σς\x0b漢字 İ ﬁ's 12ab"), (3001, "ÀB, the. The ST")]
