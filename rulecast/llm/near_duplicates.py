@@ -5,18 +5,20 @@ the distinct sets: at each level of a tree a set goes to the node of the token w
 hash under that level's function, and also to that of the second smallest if it lies below
 1 / (threshold * set size), so that similar sets keep meeting in some node. A node with few sets is
 compared exhaustively by sketches of the minima; a larger one branches on. A node that is still
-large at the last level holds sets that agree in several independent minima; its members are
-compared with some of them first, and, where that does not link them, exhaustively in blocks.
+large at the last level holds sets that agree in several independent minima.
 
-Pairs whose sketches are close enough are confirmed on the full sets, best partners first, and only
-as long as their ends are in different components: what is left out cannot change a component.
+Sets that close sketches or such a node join are a neighbourhood, and every link lies inside one. A
+task says of the pairs only what joins its sets, so there are no more rows than sets in nodes. The
+texts of a neighbourhood come together once, and its sets are linked by full comparison. One that is
+too heavy for a task is dealt by two hashes first; then its nodes are compared, where they hold sets
+that are not joined yet.
 """
 
 import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulecast.llm.common import free_arrow, ship, small_batches, texts
@@ -24,7 +26,11 @@ from rulecast.llm.components import connected_components
 from rulecast.llm.words import FOLDED, Words, cut, mix, pieces
 from rulecast.operators.lineage import materialize
 
-TREES, SMALL_NODE, PART, PIVOTS, BLOCK = 12, 64, 4096, 8, 1000
+TREES, SMALL_NODE = 12, 64
+#: What a task compares in full at once, in shingles, and what a set weighs besides its shingles.
+BLOCK, MEMBER = 1 << 20, 128
+#: Sets, or rows, that a task holds before it gives them on.
+HELD = 100_000
 #: Standard deviations by which a sketch may fall short of the threshold.
 SLACK = 4.5
 
@@ -88,11 +94,11 @@ def _sketched(docs: DataFrame, size: int, threshold: float, trees: int, levels:
 
 
 def _near(sketch: np.ndarray, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float, least: float) -> np.ndarray:
+    """Which of the pairs have sizes and sketches near enough."""
     small, large = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
     ok = small >= threshold * large - 1e-9
-    agree = np.zeros(len(i))
-    agree[ok] = (sketch[i[ok]] == sketch[j[ok]]).mean(axis=1)
-    return np.where(agree >= least, agree, -1.0)
+    ok[ok] = (sketch[i[ok]] == sketch[j[ok]]).mean(axis=1) >= least
+    return ok
 
 
 def _groups(batches, key: str):
@@ -120,93 +126,147 @@ def _sketches(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(joined.to_pylist()), np.uint8).reshape(len(joined), -1)
 
 
-def _pairs(found: list, rep: np.ndarray):
-    """Batches of ``a, b, agree`` from (rows, rows, agreement) triples."""
-    for i, j, agree in found:
-        close = agree >= 0
-        if close.any():
-            i, j = i[close], j[close]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j])), pa.array(agree[close])], names=["a", "b", "agree"])
+def _root(parent: dict[int, int], x: int) -> int:
+    while (up := parent.get(x, x)) != x:
+        parent[x] = x = parent.get(up, up)
+    return x
 
 
-def _compare(rows: DataFrame, threshold: float, least: float) -> DataFrame:
-    """``a, b, agree`` of close pairs. Rows: ``node, rep, n, sketch``.
+def _stars(parent: dict[int, int]) -> pa.RecordBatch:
+    """``a, b``: each member of a class but the smallest, with the smallest."""
+    members = [x for x, up in parent.items() if x != up]
+    return pa.RecordBatch.from_arrays([pa.array([_root(parent, x) for x in members], pa.int64()), pa.array(members, pa.int64())], names=["a", "b"])
 
-    Members of small nodes are all compared; those of larger ones with the node's first few.
-    """
+
+def _joined(rows: DataFrame, threshold: float, least: float) -> DataFrame:
+    """``a, b``: what joins the sets that close pairs join, fewer rows than sets. Rows: ``node, rep, n, sketch``."""
 
     def compare(batches):
+        parent: dict[int, int] = {}
         for table in _groups(batches, "node"):
             node, rep, n = (table[c].to_numpy() for c in ("node", "rep", "n"))
             sketch = _sketches(table["sketch"])
-            _, start, count = np.unique(node, return_index=True, return_counts=True)
-            small = np.repeat(count <= SMALL_NODE, count)
-            found = []
             for step in range(1, SMALL_NODE):
-                i = np.flatnonzero((node[step:] == node[:-step]) & small[step:])
+                i = np.flatnonzero(node[step:] == node[:-step])
                 if not len(i):
                     break
-                found.append((i, i + step, _near(sketch, n, i, i + step, threshold, least)))
-            for a, m in zip(start[count > SMALL_NODE].tolist(), count[count > SMALL_NODE].tolist(), strict=True):
-                for pivot in range(a, a + PIVOTS):
-                    others = np.arange(pivot + 1, a + m)
-                    found.append((np.full(len(others), pivot), others, _near(sketch, n, np.full(len(others), pivot), others, threshold, least)))
-            yield from _pairs(found, rep)
+                i = i[_near(sketch, n, i, i + step, threshold, least)]
+                for x, y in zip(rep[i].tolist(), rep[i + step].tolist(), strict=True):
+                    x, y = _root(parent, x), _root(parent, y)
+                    parent[max(x, y)] = min(x, y)
+            if len(parent) > HELD:
+                yield _stars(parent)
+                parent = {}
+        yield _stars(parent)
+        free_arrow()
+
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(compare, "a bigint, b bigint")
+
+
+def linked_labels(sets: list[np.ndarray], label: np.ndarray, percent: int) -> list[list[int]]:
+    """The labels that links join, class by class, from sets without repeats and none empty.
+
+    Sets with a common label are in one class already. From each class outwards, a set reached is
+    compared with all that are not reached yet and have a size near enough.
+    """
+    sizes = np.array([len(s) for s in sets])
+    order = np.argsort(sizes, kind="stable")
+    left, label = sizes[order], label[order]
+    ids = np.unique(np.concatenate([sets[k] for k in order.tolist()]), return_inverse=True)[1]
+    own = np.split(ids, np.cumsum(left)[:-1])
+    mark = np.zeros(int(ids.max()) + 1, bool)
+    at, start = np.arange(len(sets)), np.cumsum(left) - left
+    out = []
+    while len(at):
+        reached, ahead, names = label[at[:1]], [], []
+        while True:
+            if len(reached):
+                gone = np.isin(label[at], reached)
+                names += np.unique(reached).tolist()
+                ahead += at[gone].tolist()
+                ids = ids[np.repeat(~gone, left)]
+                at, left = at[~gone], left[~gone]
+                start = np.cumsum(left) - left
+            if not ahead or not len(at):
+                break
+            mine = own[ahead.pop()]
+            a = int(np.searchsorted(left, len(mine) * percent / 100 - 1e-6))
+            b = int(np.searchsorted(left, len(mine) * 100 / percent + 1e-6, "right")) if percent else len(left)
+            reached = label[:0]
+            if a < b:
+                mark[mine] = True
+                end = start[b] if b < len(start) else len(ids)
+                common = np.add.reduceat(mark[ids[start[a] : end]], start[a:b] - start[a], dtype=np.int64)
+                mark[mine] = False
+                reached = label[at[a:b][100 * common >= percent * (len(mine) + left[a:b] - common)]]
+        if len(names) > 1:
+            out.append(sorted(names))
+    return out
 
-    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(compare, "a bigint, b bigint, agree double")
 
+def _linked(members: DataFrame, own: DataFrame, size: int, percent: int) -> DataFrame:
+    """``a, b``: labels that links inside a group join. Members: ``group, rep, label, doc_id, row``."""
+    # Texts are never few enough to be sent everywhere, and how many members are depends on the corpus.
+    told = members.hint("merge").join(own, ["doc_id", "row"]).select("group", "rep", "label", "text")
 
-def _confirmed(pairs: DataFrame, said: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have ``100 * intersection >= percent * union``."""
-    one = said.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
-    other = said.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    joined = pairs.select("a", "b").join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
+    def link(batches):
+        group = rep = None
+        sets: list[np.ndarray] = []
+        labels: list[int] = []
+        found: list[tuple[int, int]] = []
+
+        def settle():
+            if len(sets) > 1:
+                for names in linked_labels(sets, np.array(labels), percent):
+                    found.extend((names[0], other) for other in names[1:])
+
+        def links():
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    def confirm(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                left, right = (shingle_sets(cut(part.column(c), FOLDED), size) for c in (2, 3))
-                keep = []
-                for x, y in zip(left, right, strict=True):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for piece in pieces(batch):
+                places = zip(*(piece.column(k).to_pylist() for k in range(3)), strict=True)
+                for (its, one, label), shingles in zip(places, shingle_sets(cut(piece.column(3), FOLDED), size), strict=True):
+                    if its != group:
+                        settle()
+                        group, sets, labels = its, [], []
+                    elif one == rep:
+                        continue
+                    rep = one
+                    sets.append(shingles)
+                    labels.append(label)
+                if len(found) > HELD:
+                    yield links()
+                    found = []
             free_arrow()
+        settle()
+        yield links()
 
-    return joined.mapInArrow(confirm, "a bigint, b bigint")
+    return told.repartition("group").sortWithinPartitions("group", "rep").mapInArrow(link, "a bigint, b bigint")
 
 
-def _compare_large(large: DataFrame, labels: DataFrame, threshold: float, least: float) -> DataFrame:
-    """``a, b, agree`` of the close pairs in large nodes whose ends are in different components yet.
+def _dealt_nodes(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """``group, rep, label, doc_id, row``: nodes whose members have different labels, in groups a task can hold.
 
-    A node's members are dealt into blocks of about ``BLOCK`` by a hash; each pair of blocks is one
-    group. Nodes all of one component are left out, as nothing can be added there.
+    One end of a new link has another label than most of its node. Those sets are dealt into blocks
+    of their own, all sets into parts, and every block meets every part.
     """
-    members = large.join(labels, large.rep == labels.id, "left").select("node", "rep", "n", "sketch", F.coalesce("component", "rep").alias("label"))
-    nodes = members.groupBy("node").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m"))
-    nodes = nodes.filter("x < y").select("node", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    placed = members.join(nodes, "node").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    group = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("group")
+    placed = nodes.join(members, "rep")
+    weights = placed.groupBy("node", "label").agg(F.sum("weight").alias("w"))
+    shares = weights.groupBy("node").agg(F.sum("w").alias("all"), F.max("w").alias("most"), F.max_by("label", F.struct("w", "label")).alias("usual"))
+    counts = [F.ceil(F.col(c) / BLOCK).cast("int").alias(to) for c, to in (("all", "parts"), ("odd", "blocks"))]
+    shares = shares.withColumn("odd", F.col("all") - F.col("most")).filter("odd > 0").select("node", "usual", *counts)
+    placed = placed.join(shares, "node")
 
-    def compare(batches):
-        for table in _groups(batches, "group"):
-            group, rep, n, label = (table[c].to_numpy() for c in ("group", "rep", "n", "label"))
-            sketch = _sketches(table["sketch"])
-            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                # One end of such a pair has another label than most members have.
-                names, number = np.unique(label[a:b], return_inverse=True)
-                usual = names[np.bincount(number).argmax()]
-                odd = label[a:b] != usual
-                for i in (np.flatnonzero(odd) + a).tolist():
-                    j = np.flatnonzero((label[a:b] != label[i]) & (~odd | (np.arange(a, b) > i))) + a
-                    if len(j):
-                        one = np.full(len(j), i)
-                        yield from _pairs([(one, j, _near(sketch, n, one, j, threshold, least))], rep)
+    def spread(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    def place(count: str, seed: int):
+        return F.pmod(F.xxhash64("rep", F.lit(seed)), count).cast("int")
 
-    return dealt.select(group, "rep", "n", "sketch", "label").repartition("group").sortWithinPartitions("group").mapInArrow(compare, "a bigint, b bigint, agree double")
+    whole = placed.withColumn("part", place("parts", 1)).withColumn("block", spread("blocks"))
+    odd = placed.filter("parts > 1 and label <> usual").withColumn("part", spread("parts")).withColumn("block", place("blocks", 2))
+    return whole.unionByName(odd).select(F.xxhash64("node", "part", "block").alias("group"), "rep", "label", "doc_id", "row")
 
 
 def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80, trees: int = TREES, rows: bool = False) -> DataFrame:
@@ -242,60 +302,37 @@ def near_duplicate_classes(docs: DataFrame, shingle: int = 5, percent: int = 80,
 
     paths = sets.select("rep", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "low", "second")
     paths = paths.select("rep", "tree", F.explode(tokens(F.col("tree"), 0)).alias("token")).select("rep", "tree", F.xxhash64("tree", "token").alias("node"))
-    small, large = [], None
+    small = large = None
     for level in range(1, levels + 1):
         counts = paths.groupBy("node").agg(F.count("*").alias("m")).filter("m > 1")
         sized = materialize(paths.join(counts, "node"))
-        small.append(sized.filter(F.col("m") <= SMALL_NODE).select("node", "rep"))
-        large = sized.filter(F.col("m") > SMALL_NODE).select("node", "tree", "rep", "m")
+        few = sized.filter(F.col("m") <= SMALL_NODE).select("node", "rep")
+        small = few if small is None else small.unionByName(few)
+        large = sized.filter(F.col("m") > SMALL_NODE).select("node", "tree", "rep")
         if level < levels:
             down = large.join(sets.select("rep", "low", "second"), "rep")
             paths = down.select("rep", "tree", "node", F.explode(tokens(F.col("tree"), level)).alias("token"))
             paths = paths.select("rep", "tree", F.xxhash64("node", "token").alias("node"))
-    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("m") / PART)).alias("part")
-    nodes = large.select(F.xxhash64("node", part).alias("node"), "rep")
-    for more in small:
-        nodes = nodes.unionByName(more)
-    compared = nodes.join(sets.select("rep", "n", "sketch"), "rep").select("node", "rep", "n", "sketch")
-    first = large.groupBy("node").agg(F.min("rep").alias("b"))
-    stars = large.join(first, "node").filter("rep <> b").select(F.col("b").alias("a"), F.col("rep").alias("b"), F.lit(threshold).alias("agree"), F.lit(True).alias("hub"))
-    close = _compare(compared, threshold, least).withColumn("hub", F.lit(False)).unionByName(stars)
-    close = materialize(close.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("hub").alias("hub")))
-    involved = close.select(F.col("a").alias("rep")).union(close.select("b")).union(large.select("rep")).distinct()
-    involved = sets.select("rep", "doc_id", "row").join(involved, "rep")
-    said = own.join(involved, ["doc_id", "row"]).groupBy("doc_id", "row").agg(F.min("rep").alias("rep"), F.min("text").alias("text"))
-    said = materialize(said.select("rep", "text"))
-    links = labels = None
-    for best in (3, 8, None):
-        pairs = close if links is None else _across(close, labels)
-        if best is not None:
-            # The best partners of each end, and as many of the hubs of its large nodes: those join
-            # the clusters that the nearest partners form.
-            partners = pairs.select("a", "b", "agree", "hub", F.explode(F.array("a", "b")).alias("end"))
-            order = Window.partitionBy("end", "hub").orderBy(F.desc("agree"), "a", "b")
-            pairs = partners.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= best).select("a", "b").distinct()
-        pairs = materialize(pairs.select("a", "b"))
-        if links is not None and not pairs.head(1):
-            break
-        new = _confirmed(pairs, said, shingle, percent)
-        links = materialize(new if links is None else links.unionByName(new))
-        labels = materialize(connected_components(links))
-        if best == 3 and large.head(1):
-            members = large.select("node", "rep").join(sets.select("rep", "n", "sketch"), "rep")
-            more = _compare_large(members, labels, threshold, least).withColumn("hub", F.lit(False))
-            close = _across(close, labels).unionByName(more)
-            close = materialize(close.groupBy("a", "b").agg(F.max("agree").alias("agree"), F.max("hub").alias("hub")))
+    first = large.groupBy("node").agg(F.min("rep").alias("a"))
+    stars = large.join(first, "node").filter("rep <> a").select("a", F.col("rep").alias("b"))
+    compared = small.join(sets.select("rep", "n", "sketch"), "rep").select("node", "rep", "n", "sketch")
+    whole = connected_components(_joined(compared, threshold, least).unionByName(stars)).withColumnRenamed("id", "rep")
+    members = materialize(sets.select("rep", "doc_id", "row", (F.col("n") + MEMBER).alias("weight")).join(whole, "rep"))
+    parts = members.groupBy("component").agg(F.ceil(F.sum("weight") / BLOCK).cast("int").alias("parts"))
+    members = materialize(members.join(parts, "component"))
+    deals = members.withColumn("deal", F.explode(F.sequence(F.lit(1), F.least("parts", F.lit(2)))))
+    group = F.xxhash64("component", "deal", F.pmod(F.xxhash64("rep", "deal"), "parts")).alias("group")
+    links = materialize(_linked(deals.select(group, "rep", F.col("rep").alias("label"), "doc_id", "row"), own, shingle, percent))
+    labels = materialize(connected_components(links))
+    heavy = members.filter("parts > 1").drop("component")
+    if heavy.head(1):
+        heavy = heavy.join(labels, heavy.rep == labels.id, "left").withColumn("label", F.coalesce("component", "rep"))
+        heavy = heavy.select("rep", "doc_id", "row", "weight", "label")
+        more = _linked(_dealt_nodes(small.unionByName(large.select("node", "rep")), heavy), own, shingle, percent)
+        labels = materialize(connected_components(links.unionByName(more)))
     named = sets.select("key", "rep", "doc_id").join(labels, sets.rep == labels.id, "left").select("key", "doc_id", F.coalesce("component", "rep").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component"))
     found = sketched.select("doc_id", "row", "n_shingles", "key").join(named.select("key", "label").join(least, "label"), "key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     kept = F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept")
     return found.select("doc_id", "n_shingles", component.alias("component_id"), kept, *(["row"] if rows else []))
-
-
-def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    one = labels.select(F.col("id").alias("a"), F.col("component").alias("la"))
-    other = labels.select(F.col("id").alias("b"), F.col("component").alias("lb"))
-    joined = pairs.join(one, "a", "left").join(other, "b", "left")
-    return joined.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b", "agree", "hub")

@@ -5,11 +5,13 @@ import re
 import string
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from helpers import WORD, corpus, documents, prose
 
+from rulecast.llm import near_duplicates
 from rulecast.llm.components import connected_components
-from rulecast.llm.near_duplicates import near_duplicate_classes
+from rulecast.llm.near_duplicates import linked_labels, near_duplicate_classes
 
 FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
@@ -61,6 +63,64 @@ def test_large_group_of_near_copies(spark):
     assert sorted(tuple(r) for r in got) == classes(rows, 2, 80)
 
 
+def test_rows_made_do_not_grow_with_the_pairs_of_a_group(spark, monkeypatch):
+    rnd = random.Random(11)
+    base = prose(rnd, 80).split()
+    rows = []
+    for i in range(500):
+        words = list(base)
+        for _ in range(rnd.randint(0, 6)):
+            words[rnd.randint(0, 79)] = f"other{rnd.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    made = []
+    write = near_duplicates.materialize
+
+    def counted(df):
+        table = write(df)
+        made.append(table.count())
+        return table
+
+    monkeypatch.setattr(near_duplicates, "materialize", counted)
+    got = near_duplicate_classes(documents(spark, rows), 2, 80).collect()
+    assert sorted(tuple(r) for r in got) == classes(rows, 2, 80)
+    # Each set lies in at most 12 trees times 2 nodes a level.
+    assert max(made) <= 12 * 2**3 * len(rows) / 2
+
+
+def test_neighbourhoods_too_heavy_for_a_task(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 1500)
+    monkeypatch.setattr(near_duplicates, "SMALL_NODE", 12)
+    rnd = random.Random(3)
+    line, base = prose(rnd, 300).split(), prose(rnd, 60).split()
+    rows = [(500 + k, " ".join(line[3 * k : 3 * k + 60])) for k in range(80)]
+    for i in range(80):
+        words = list(base)
+        for _ in range(rnd.randint(0, 8)):
+            words[rnd.randint(0, 59)] = f"other{rnd.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    rnd.shuffle(rows)
+    got = near_duplicate_classes(documents(spark, rows), 2, 80).collect()
+    assert sorted(tuple(r) for r in got) == classes(rows, 2, 80)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_labels_joined_by_links_equal_brute_force(percent):
+    rnd = np.random.default_rng(4)
+    for _ in range(40):
+        base = np.arange(30, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([rnd.choice(base, rnd.integers(1, 31), replace=False), rnd.integers(100, 104, rnd.integers(0, 3)).astype(np.uint64)])) for _ in range(25)]
+        label = rnd.integers(0, 20, len(sets)) * 7
+        parent = {int(x): int(x) for x in label}
+        for i, one in enumerate(sets):
+            for j, other in enumerate(sets[:i]):
+                common = len(np.intersect1d(one, other))
+                if 100 * common >= percent * (len(one) + len(other) - common):
+                    x, y = parent[int(label[i])], parent[int(label[j])]
+                    parent = {k: x if v == y else v for k, v in parent.items()}
+        want = [sorted(k for k, v in parent.items() if v == root) for root in set(parent.values())]
+        assert sorted(linked_labels(sets, label, percent)) == sorted(w for w in want if len(w) > 1)
+
+
 def test_null_ids_and_repeated_rows_stay(spark):
     text = prose(random.Random(1), 30)
     rows = [(3, text), (3, text), (None, text), (2, text), (None, None)]
