@@ -16,6 +16,7 @@ import re
 import struct
 from array import array
 from functools import lru_cache
+from itertools import pairwise
 
 import ahocorasick
 import numpy as np
@@ -24,11 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulecast.llm.common import ship, small_batches, texts
+from rulecast.llm.common import free_memory, ship, small_batches, texts
+from rulecast.llm.words import pieces
 
 BLANK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CHUNK_BYTES = 6 << 20
+#: Bytes of text encoded at once, and rows decoded at once.
+CHUNK_BYTES, DECODED = 1 << 20, 200
 CACHE_UNITS, CACHE_UNIT_CHARS, CACHE_PAIRS = 150_000, 32, 1_000_000
 
 
@@ -216,19 +219,6 @@ def model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def chunks(batches, limit: int):
-    """Batches joined to about ``limit`` bytes."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size >= limit:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, size = [], 0
-    if held and sum(b.num_rows for b in held):
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def encode_pieces(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``ids`` (array of int) of every document, without begin or end ids.
 
@@ -239,15 +229,15 @@ def encode_pieces(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text
     small_batches(docs.sparkSession)
 
     def encode(batches):
-        pieces = model(model_path)
-        for chunk in chunks(batches, CHUNK_BYTES):
-            column = chunk["text"].combine_chunks()
-            ids, count = pieces.encode_column(column)
-            at = np.concatenate(([0], np.cumsum(count)))
-            for a in range(0, chunk.num_rows, 500):
-                b = min(a + 500, chunk.num_rows)
-                lists = pa.ListArray.from_arrays(pa.array((at[a : b + 1] - at[a]).astype(np.int32)), pa.array(ids[at[a] : at[b]]))
-                yield pa.RecordBatch.from_arrays([chunk["doc_id"].slice(a, b - a).combine_chunks(), lists], names=["doc_id", "ids"])
+        known = model(model_path)
+        for batch in batches:
+            for piece in pieces(batch, limit=CHUNK_BYTES):
+                ids, count = known.encode_column(piece["text"])
+                at = np.concatenate(([0], np.cumsum(count)))
+                for a in range(0, piece.num_rows, 500):
+                    b = min(a + 500, piece.num_rows)
+                    lists = pa.ListArray.from_arrays(pa.array((at[a : b + 1] - at[a]).astype(np.int32)), pa.array(ids[at[a] : at[b]]))
+                    yield pa.RecordBatch.from_arrays([piece["doc_id"].slice(a, b - a), lists], names=["doc_id", "ids"])
 
     return texts(docs, doc_id, text).mapInArrow(encode, "doc_id bigint, ids array<int>")
 
@@ -262,22 +252,27 @@ def decode_pieces(encoded: DataFrame, model_path: str) -> DataFrame:
     ship(encoded.sparkSession)
 
     def decode(batches):
-        pieces = model(model_path)
-        table = pieces.decode_tables()
-        control = {i for i, k in enumerate(pieces.kinds) if k == CONTROL}
-        blank = {i for i, p in enumerate(pieces.pieces) if p.startswith(BLANK)} if pieces.dummy_prefix else set()
+        known = model(model_path)
+        table = known.decode_tables()
+        control = {i for i, k in enumerate(known.kinds) if k == CONTROL}
+        blank = {i for i, p in enumerate(known.pieces) if p.startswith(BLANK)} if known.dummy_prefix else set()
         for batch in batches:
-            lists = batch.column(1).fill_null([]) if batch.column(1).null_count else batch.column(1)
-            offsets, values = lists.offsets.to_pylist(), lists.values.to_pylist()
-            found = []
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                raw = b"".join([table[i] for i in values[a:b]])
-                if next((i for i in values[a:b] if i not in control), None) in blank:
-                    raw = raw[1:]
-                try:
-                    found.append(raw.decode())
-                except UnicodeDecodeError:
-                    found.append(re.sub("[\udc80-\udcff]", "�", raw.decode(errors="surrogateescape")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], names=["doc_id", "ids", "text"])
+            for at in range(0, batch.num_rows, DECODED):
+                some = batch.slice(at, DECODED)
+                lists = some.column(1).fill_null([]) if some.column(1).null_count else some.column(1)
+                offsets = lists.offsets.to_pylist()
+                values = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).to_pylist()
+                found = []
+                for a, b in pairwise(offsets):
+                    ids = values[a - offsets[0] : b - offsets[0]]
+                    raw = b"".join([table[i] for i in ids])
+                    if next((i for i in ids if i not in control), None) in blank:
+                        raw = raw[1:]
+                    try:
+                        found.append(raw.decode())
+                    except UnicodeDecodeError:
+                        found.append(re.sub("[\udc80-\udcff]", "�", raw.decode(errors="surrogateescape")))
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(found, pa.string())], names=["doc_id", "ids", "text"])
+            free_memory()
 
     return encoded.select(F.col("doc_id"), F.col("ids")).mapInArrow(decode, "doc_id bigint, ids array<int>, text string")

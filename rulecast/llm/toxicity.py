@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rulecast.llm.common import ship, small_batches, texts
-from rulecast.llm.piece_encoding import chunks
 from rulecast.llm.words import BLANKS, _classes, cut, mix, pieces
 from rulecast.operators.lineage import materialize
 
@@ -34,7 +33,7 @@ SAVED = (2, 3, 4, 5)
 BEGINNINGS = (5,)
 LEVEL, DICTIONARY_BYTES, TAIL_BYTES, G_LIMIT, WORDS_LIMIT = 6, 4096, 64, 30.0, 1500
 SAMPLES = 60_000
-CHUNK_BYTES, CACHE_WINDOWS = 6 << 20, 200_000
+CHUNK_BYTES, CACHE_WINDOWS = 1 << 20, 200_000
 #: The offsets that a trained dictionary ends its tables with; its content follows.
 _REPEATS = b"\1\0\0\0\4\0\0\0\x08\0\0\0"
 
@@ -259,10 +258,10 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def score(batches):
         own = ToxicityModel(model.ordinary, model.toxic, model.raw, model.tail, model.window, model.weights).start()
-        for chunk in chunks(batches, CHUNK_BYTES):
-            scores = own.scores(own.features(chunk["text"].combine_chunks()))
-            ids = chunk["doc_id"].combine_chunks()
-            yield pa.RecordBatch.from_arrays([ids, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
+        for batch in batches:
+            for piece in pieces(batch, limit=CHUNK_BYTES):
+                scores = own.scores(own.features(piece["text"]))
+                yield pa.RecordBatch.from_arrays([piece["doc_id"], pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
     return texts(docs).mapInArrow(score, "doc_id bigint, score double, predicted int")
 
@@ -277,8 +276,8 @@ def keep_ordinary(docs: DataFrame, model: ToxicityModel, text: str = "text") ->
 
     def keep(batches):
         own = ToxicityModel(model.ordinary, model.toxic, model.raw, model.tail, model.window, model.weights).start()
-        for chunk in chunks(batches, CHUNK_BYTES):
-            said = chunk[text].combine_chunks().fill_null("")
-            yield from chunk.filter(pa.array(own.scores(own.features(said)) < 0.5)).to_batches(max_chunksize=500)
+        for batch in batches:
+            for piece in pieces(batch, text, CHUNK_BYTES):
+                yield piece.filter(pa.array(own.scores(own.features(piece[text].fill_null(""))) < 0.5))
 
     return docs.mapInArrow(keep, docs.schema)
