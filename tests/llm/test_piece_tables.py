@@ -1,0 +1,75 @@
+"""Tables of last tokens filled for many units at once, ids decoded together, and the map behind them."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from helpers import corpus
+
+from rulecast.llm import piece_encoding
+from rulecast.llm.number_map import NumberMap
+from rulecast.llm.piece_encoding import PieceModel, decode_pieces
+
+PATH = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def said() -> list[str]:
+    rnd = random.Random(5)
+    letters = "ab e▁ \n漢é😀̀\tthing.,#\0ß﷽"
+    mixed = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40))) for _ in range(400)]
+    return [t or "" for _, t in corpus(n=20)] + mixed + ["▁", " ", "\n", "", "漢字" * 30, "a\nb" * 40, "x" * 39, "x" * 40, "x" * 41]
+
+
+def encoded(texts: list[str]) -> list[list[int]]:
+    ids, counts = PieceModel(PATH).encode_column(pa.array(texts, pa.string()))
+    at = np.concatenate(([0], np.cumsum(counts)))
+    return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def test_units_do_not_pass_the_automaton_one_by_one(monkeypatch):
+    passed = []
+    alone = PieceModel._unit
+    monkeypatch.setattr(PieceModel, "_unit", lambda self, unit: passed.append(unit) or alone(self, unit))
+    texts = said() + ["y" * (piece_encoding.LONG + 1)]
+    assert encoded(texts) == sentencepiece.SentencePieceProcessor(model_file=PATH).encode(texts)
+    assert sorted(map(len, passed)) == [piece_encoding.LONG + 2, 3001]  # the two longest
+
+
+@pytest.mark.parametrize(("together", "long", "pairs", "units"), [(7, 40, 1_000_000, 150_000), (1 << 17, 512, 9, 3), (50, 1, 0, 0)])
+def test_bounds_do_not_change_ids(monkeypatch, together, long, pairs, units):
+    for name, value in {"TOGETHER": together, "LONG": long, "CACHE_PAIRS": pairs, "CACHE_UNITS": units}.items():
+        monkeypatch.setattr(piece_encoding, name, value)
+    assert encoded(said()) == sentencepiece.SentencePieceProcessor(model_file=PATH).encode(said())
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 1 << 16])
+def test_rows_are_decoded_each_by_itself(monkeypatch, stretch):
+    monkeypatch.setattr(piece_encoding, "STRETCH", stretch)
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    known = PieceModel(PATH)
+    e, acute = known.bytes[0xC3], known.bytes[0xA9]
+    valid = [*library.encode(said()[:40]), [], [1], [1, *library.encode("a b")], [e, acute], [0, 300]]
+    for rows in (valid, [*valid, [e], [acute, 300]], [[e], [acute]], [[], []], [[300, e], [300]]):
+        lists = pa.array([[7], *rows], pa.list_(pa.int32())).slice(1)
+        assert known.decode_column(lists).to_pylist() == [library.decode(x) for x in rows]
+
+
+def test_null_lists_have_the_empty_text(spark):
+    rows = spark.createDataFrame([(1, None), (None, [300]), (2, [])], "doc_id bigint, ids array<int>")
+    got = decode_pieces(rows, PATH).collect()
+    text = sentencepiece.SentencePieceProcessor(model_file=PATH).decode([300])
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(1, ""), (None, text), (2, "")], key=repr)
+
+
+def test_number_map_is_a_map():
+    rnd, plain, many = random.Random(1), {}, NumberMap(2)
+    for size in (0, 1, 3, 500, 4000):
+        new = [k for k in {rnd.randrange(1 << rnd.choice([4, 12, 40])) for _ in range(size)} if k not in plain]
+        values = [rnd.randrange(1 << 20) for _ in new]
+        plain.update(zip(new, values, strict=True))
+        many.add(np.array(new, np.int64), np.array(values, np.int32))
+        asked = [*plain, *(rnd.randrange(1 << 13) for _ in range(300))]
+        assert many.get(np.array(asked, np.int64)).tolist() == [plain.get(k, -1) for k in asked]
