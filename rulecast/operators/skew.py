@@ -2,7 +2,11 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rulecast.operators.lineage import materialize
+
 SALTS = 16
+#: Rows of one side in a tile: one meets as many of the other side there.
+TILE = 512
 
 
 def salted_join(
@@ -37,6 +41,34 @@ def salted_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+def tiled_join(facts: DataFrame, lookup: DataFrame, on: list[str], tile: int = TILE) -> DataFrame:
+    """Inner join on ``on`` whose result is much larger than both sides.
+
+    The pairs of a key are a table of its fact rows by its lookup rows. It is cut into tiles of about
+    ``tile`` by ``tile`` rows, each of them a key of the join, so that neither side of a hot key stays
+    together, and tasks have about as many pairs each. What is shuffled besides the rows themselves
+    is a row of each side per ``tile`` pairs. Rows are told apart by the hash of all their columns.
+    """
+    counts = facts.groupBy(*on).agg(F.count("*").alias("_facts"))
+    counts = counts.join(lookup.groupBy(*on).agg(F.count("*").alias("_found")), on)
+    rows, columns = (F.ceil(F.col(n) / tile).cast("int") for n in ("_facts", "_found"))
+    # A row per key with its parts.
+    parts = materialize(counts.select(*on, rows.alias("_rows"), columns.alias("_columns")))
+
+    def one(side, count):
+        return F.pmod(F.xxhash64(*side.columns), F.col(count)).cast("int")
+
+    def each(count):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    down = facts.join(parts, on).withColumn("_row", one(facts, "_rows")).withColumn("_column", each("_columns"))
+    across = lookup.join(parts, on).withColumn("_column", one(lookup, "_columns")).withColumn("_row", each("_rows"))
+    keys = [*on, "_row", "_column"]
+    down, across = (side.drop("_rows", "_columns").repartition(partitions_of(side), *keys) for side in (down, across))
+    # Both sides are larger than the tables they come from, by which Spark would broadcast them.
+    return across.hint("merge").join(down, keys).drop("_row", "_column")
+
+
 def _is_broadcast(lookup: DataFrame) -> bool:
     """Whether Spark's own estimate of the table lies below its threshold for broadcasts."""
     execution = lookup._jdf.queryExecution()

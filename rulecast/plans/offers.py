@@ -9,8 +9,7 @@ from rulecast.functions.dates import as_date, date_of_parts
 from rulecast.functions.numbers import as_number
 from rulecast.operators.lineage import materialize
 from rulecast.operators.ordering import count_before
-from rulecast.operators.ranges import range_join
-from rulecast.operators.skew import partitions_of, salted_join
+from rulecast.operators.ranges import first_in_range, range_join
 from rulecast.sources.rejects import Check
 
 # Open price bounds, and the factor from a release price to the bounds' currency.
@@ -149,19 +148,25 @@ def control_devices(active: DataFrame, properties: DataFrame) -> DataFrame:
     named = properties.groupBy("dvc_techname").agg(F.sort_array(F.collect_set(price)).alias("_prices"))
     places = F.transform("_prices", lambda p, i: F.struct(p.alias("price"), F.when(i > 0, F.get("_prices", i - 1)).alias("_previous")))
     prices = materialize(named.select("dvc_techname", F.inline(places)))
-    offers = materialize(_priced_ranges(active, prices))
-    pairs = salted_join(prices, offers, ["price"], F.col("dvc_techname"), partitions=partitions_of(prices))
-    first = pairs.where("_previous is null or _previous < _low")
-    once = first.where("not _several").select(*TERMS, "dvc_techname")
-    several = first.where("_several").select(*TERMS, "dvc_techname").distinct()
-    return once.unionByName(several).withColumn("feedback_cond", feedback_condition())
+    # The text is made per offer, not per pair.
+    ranges = materialize(_merged_ranges(active).withColumn("feedback_cond", feedback_condition()))
+    apart, width = ranges.agg(F.max("_several"), F.percentile_approx(F.col("_high").cast("double") - F.col("_low"), 0.5)).first()
 
+    def listed(some):
+        pairs = first_in_range(
+            prices, some, "price", "_previous", "_low", "_high", width=width or 0, cell=PRICE_FACTOR, bits=PRICE_BITS
+        )
+        # It has a value always, which the table does not say.
+        return pairs.select(*TERMS, "dvc_techname", F.coalesce("feedback_cond", F.lit("")).alias("feedback_cond"))
+
+    once = listed(ranges.where("not _several").drop("_several"))
+    return once.unionByName(listed(ranges.where("_several").drop("_several")).distinct()) if apart else once
 
-def _priced_ranges(active: DataFrame, prices: DataFrame) -> DataFrame:
-    """The terms of the offers whose range holds a price, per distinct price.
 
-    Each with the lower end of that range, ``_low``, and whether the terms have ``_several``. Ranges of
-    equal terms that share a number count as one.
+def _merged_ranges(active: DataFrame) -> DataFrame:
+    """The terms of the offers with their ranges, ``_low`` to ``_high``, and whether they have ``_several``.
+
+    Ranges of equal terms that share a number count as one.
     """
     low, high = F.col("target_rlp_min"), F.col("target_rlp_max")
     ranges = active.where(low <= high).select(*TERMS, low, high).distinct()
@@ -170,9 +175,7 @@ def _priced_ranges(active: DataFrame, prices: DataFrame) -> DataFrame:
     begins = ranges.withColumn("_begins", F.coalesce(low > reached, F.lit(True)).cast("int"))
     number = F.sum("_begins").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     merged = begins.withColumn("_number", number).groupBy(*TERMS, "_number").agg(F.min(low).alias("_low"), F.max(high).alias("_high"))
-    counted = merged.withColumn("_several", F.count("*").over(Window.partitionBy(*TERMS)) > 1).drop("_number")
-    points = prices.select("price").distinct()
-    return range_join(points, counted, "price", "_low", "_high", cell=PRICE_FACTOR, bits=PRICE_BITS).drop("_high")
+    return merged.withColumn("_several", F.count("*").over(Window.partitionBy(*TERMS)) > 1).drop("_number")
 
 
 def offer_list(control: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from rulecast.operators.lineage import checkpoint_dir, materialize, scratch_tabl
 from rulecast.operators.merging import exclude, outer_merge, override
 from rulecast.operators.nested import any_map_has_key, element_count, key_count, unnest, unnest_map
 from rulecast.operators.prefixes import best_prefix_rank
-from rulecast.operators.ranges import range_join
-from rulecast.operators.skew import salted_join
+from rulecast.operators.ranges import first_in_range, range_join
+from rulecast.operators.skew import salted_join, tiled_join
 
 
 def rows(df):
@@ -40,6 +40,29 @@ def test_range_join_equals_nested_loop(spark, seed, cell, bits):
     assert rows(got) == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("seed, width, cell, bits", [(1, 0, 1.0, 10), (2, 20, 7.5, 6), (3, 9999, 1.0, 4), (4, 90, 0.25, 18)])
+def test_first_in_range_equals_nested_loop(spark, seed, width, cell, bits):
+    rnd = random.Random(seed)
+    points = [(900, None, None), (901, math.inf, 1.0), (902, 1e300, -1e300), (903, -math.inf, None), (904, math.nan, math.inf)]
+    for i in range(60):
+        own = sorted({rnd.choice([rnd.uniform(-300, 300), float(rnd.randint(-300, 300))]) for _ in range(rnd.randint(1, 6))})
+        points += [(i, x, before) for x, before in zip(own, [None, *own])]
+    ranges = [(98, -99999, 99999), (99, None, 5)]
+    for j in range(40):
+        low = rnd.randint(-350, 300)
+        ranges.append((j, low, low + rnd.choice([0, 1, 5, 90, 500, -3])))
+    p = spark.createDataFrame(points, "p int, x double, before double")
+    r = spark.createDataFrame(ranges, "r int, low int, high int")
+    expected = [
+        (i, x, j)
+        for i, x, before in points
+        for j, low, high in ranges
+        if x is not None and low is not None and low <= x <= high and (before is None or before < low)
+    ]
+    got = first_in_range(p, r, "x", "before", "low", "high", width=width, cell=cell, bits=bits).select("p", "x", "r")
+    assert rows(got) == sorted(expected, key=repr)
+
+
 def like(name, pattern):
     """LIKE with the wildcards ``_`` and ``%`` and the escape ``\\``, by recursion."""
     if not pattern:
@@ -100,6 +123,23 @@ def test_salted_join_spreads_a_hot_key(spark):
     assert joined.count() == 1000
 
 
+@pytest.mark.parametrize("tile", [1, 7, 512])
+def test_tiled_join_equals_join(spark, tile):
+    facts = spark.createDataFrame([("hot", i % 40) for i in range(50)] + [("cold", 1), (None, 2)], "k string, v int")
+    lookup = spark.createDataFrame([("hot", i // 2) for i in range(20)] + [("warm", 3), (None, 4)], "k string, w int")
+    joined = tiled_join(facts, lookup, ["k"], tile)
+    assert rows(joined.select("k", "v", "w")) == rows(facts.join(lookup, "k").select("k", "v", "w"))
+
+
+def test_tiled_join_divides_the_pairs_of_one_key(spark):
+    facts = spark.createDataFrame([("hot", i) for i in range(1000)], "k string, v int")
+    lookup = spark.createDataFrame([("hot", i) for i in range(100)], "k string, w int")
+    joined = tiled_join(facts, lookup, ["k"], tile=10)
+    parts = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(parts) == 100_000
+    assert len(parts) == 4 and max(parts) < 2 * min(parts)
+
+
 def test_salted_join_rejects_other_joins(spark):
     df = spark.range(1)
     with pytest.raises(ValueError):

@@ -105,6 +105,25 @@ def test_names_with_several_prices_are_listed_once(spark, monkeypatch):
     assert listed == sorted([(o, d) for o in ("open", "a") for d in ("x", "y", None)] + [("b", "x"), ("b", "y")], key=repr)
 
 
+def test_prices_of_a_name_do_not_multiply_its_offers(spark, monkeypatch):
+    met, join = [], type(spark.range(0)).join
+
+    def counted(df, other, *args, **kwargs):
+        joined = join(df, other, *args, **kwargs)
+        if {"offer", "dvc_techname"} <= set(joined.columns):
+            met.append(joined.count())
+        return joined
+
+    monkeypatch.setattr(type(spark.range(0)), "join", counted)
+    names = [f"d{k}" for k in range(5)]
+    props = spark.createDataFrame([(d, str(p)) for d in names for p in range(100, 140)], PROPERTIES)
+    items = [control_row("open"), *(control_row(f"o{k}", low=4000, high=5000 + k) for k in range(9))]
+    listed = rows(control_devices(control(spark, *items), props).select("offer", "dvc_techname"))
+    assert listed == sorted((o, d) for o in ["open", *(f"o{k}" for k in range(9))] for d in names)
+    # Pairs are made once, not for each of the 40 prices.
+    assert 0 < sum(met) < 3 * len(listed)
+
+
 def outcomes(spark, offers, fb, evidence=SMALL, **options):
     totals = device_totals(fb)
     terms = offer_terms(offers, offer_activity(fb, totals), evidence)
