@@ -1,5 +1,7 @@
 """``name LIKE concat(pattern, '%')`` for two tables, without a nested loop."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rulecast.operators.lineage import materialize
@@ -42,7 +44,11 @@ def best_prefix_rank(
         return pairs.where(F.col("_like").isNull() | matches).select("_name", "_rank")
 
     masks = headed.select(F.col("_anchor").alias("_head"), "_mask").distinct()
-    found = hits(_with_heads(keys, masks), headed, ["_anchor", "_mask", "_text"])
+    length = F.length("_name")
+    named = _with_heads(keys, masks, lambda told: length >= F.length(told["_mask"]))
+    # The text is what the name has at the literal places of the mask.
+    named = named.withColumn("_text", _at_places(F.col("_name"), F.col("_mask")))
+    found = hits(named, headed, ["_anchor", "_mask", "_text"])
     if not loose.isEmpty():
         pieces = spread_evenly(keys).select("_name", F.explode(_pieces(F.col("_name"))).alias("_anchor"))
         found = found.unionByName(hits(pieces, loose, ["_anchor"]))
@@ -50,24 +56,23 @@ def best_prefix_rank(
     return found.unionByName(rankless).groupBy(F.col("_name").alias(name)).agg(F.min("_rank").alias(rank))
 
 
-def _with_heads(keys: DataFrame, masks: DataFrame) -> DataFrame:
-    """``_name, _anchor, _mask, _text``: each name with the heads that it begins with and their masks.
+def _with_heads(keys: DataFrame, told: DataFrame, fits: Callable[[Column], Column] = lambda _: F.lit(True)) -> DataFrame:
+    """``_name, _anchor``: each name with the heads that it begins with, and what else is ``told`` of them.
 
-    The text is what the name has at the literal places of the mask.
+    ``fits`` says of a head's row whether the name takes it.
     """
     before = F.lit(None).cast("string")
-    heads = masks.select("_head").distinct()
+    heads = told.select("_head").distinct()
     ordered = heads.select(F.col("_head").alias("_text"), F.lit(0).alias("_kind"), "_head")
     ordered = ordered.unionByName(keys.where("_name is not null").select(F.col("_name").alias("_text"), F.lit(1).alias("_kind"), before.alias("_head")))
     nearest = last_value(ordered, ["_text", "_kind"], "_head", "_last").where("_kind = 1 and _last is not null")
     # Heads are exploded to their beginnings, names are not.
     inner = heads.select(F.col("_head").alias("_last"), F.explode(_prefixes(F.col("_head"))).alias("_head"))
-    entry = F.struct(F.col("_head").alias("_anchor"), "_mask")
-    chains = materialize(inner.join(masks, "_head").groupBy("_last").agg(F.collect_list(entry).alias("_chain")))
+    entry = F.struct(F.col("_head").alias("_anchor"), *(c for c in told.columns if c != "_head"))
+    chains = materialize(inner.join(told, "_head").groupBy("_last").agg(F.collect_list(entry).alias("_chain")))
     named = salted_join(nearest.select(F.col("_text").alias("_name"), "_last"), chains, ["_last"], F.col("_name"))
-    length = F.length("_name")
-    begun = F.filter("_chain", lambda c: F.startswith("_name", c["_anchor"]) & (length >= F.length(c["_mask"])))
-    return named.select("_name", F.inline(begun)).withColumn("_text", _at_places(F.col("_name"), F.col("_mask")))
+    begun = F.filter("_chain", lambda c: F.startswith("_name", c["_anchor"]) & fits(c))
+    return named.select("_name", F.inline(begun))
 
 
 def _at_places(name: Column, mask: Column) -> Column:
